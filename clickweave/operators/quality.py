@@ -75,6 +75,13 @@ def quality_report(
     return df.agg(row.alias("checks")).select(F.inline("checks"))
 
 
+def _outside(value: Column, bounds: dict[str, Any]) -> Column:
+    """True for a value beyond a bound; nulls are the business of the null check."""
+    tests = [value < bounds["min"]] if "min" in bounds else []
+    tests += [value > bounds["max"]] if "max" in bounds else []
+    return tests[0] | tests[1] if len(tests) == 2 else tests[0]
+
+
 def enforce(df: DataFrame, **expectations) -> DataFrame:
     """Run ``quality_report`` now and raise if any check is violated."""
     failed = quality_report(df, **expectations).filter("violations > 0").collect()

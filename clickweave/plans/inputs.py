@@ -47,7 +47,7 @@ def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    return stream_files(spark, f"{sf_dir}/events.parquet", schema)
+    return stream_files(spark, sf_dir, schema, options={"pathGlobFilter": "events.parquet"})
 
 
 def click_messages(events: DataFrame) -> DataFrame:

@@ -356,7 +356,7 @@ def profile(spark, sf_dir):
 
 @query(
     "windowed_user_agg",
-    """SELECT CAST(user_id AS VARCHAR) AS user_id, epoch_ms(ts) // 1800000 * 1800000 AS window_start_ms,
+    """SELECT CAST(user_id AS VARCHAR) AS user_id, (epoch_us(ts) // 1000) // 1800000 * 1800000 AS window_start_ms,
         CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS duration_seconds_sum,
         count(event_type) AS page_count
     FROM events GROUP BY 1, 2""",

@@ -11,7 +11,7 @@ CAP_MS = MAX_MINUTES * 60_000
 CLICKS = """
 clicks AS (
     SELECT CAST(user_id AS VARCHAR) AS uuid, event_id, event_type AS page_name,
-           epoch_ms(ts) AS ms
+           (epoch_us(ts) // 1000) AS ms
     FROM events
 )"""
 

@@ -46,7 +46,7 @@ def drain(df: DataFrame, label: str, **options) -> DataFrame:
 
 
 def watermark_cte(delay_ms: int = TEN_MINUTES) -> str:
-    return f"wm AS (SELECT max(epoch_ms(ts)) - {delay_ms} AS at FROM events)"
+    return f"wm AS (SELECT max((epoch_us(ts) // 1000)) - {delay_ms} AS mark FROM events)"
 
 
 @query("stream_to_files", "SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'")
@@ -116,7 +116,7 @@ def stream_payload(spark, sf_dir):
     SELECT uuid, uuid || '_session_' || min(ms) AS session_id, min(ms) AS session_start_time_ms,
         max(ms) AS session_end_time_ms, count(*) AS event_count,
         (max(ms) - min(ms)) / 1000.0::DOUBLE AS session_duration_seconds
-    FROM isl GROUP BY uuid, island HAVING max(ms) + {GAP_MS} < (SELECT at FROM wm)""",
+    FROM isl GROUP BY uuid, island HAVING max(ms) + {GAP_MS} < (SELECT mark FROM wm)""",
 )
 def stream_session_window(spark, sf_dir):
     closed = stream_windowed_sessions(click_stream(spark, sf_dir), inactivity_minutes=INACTIVITY_MINUTES)
@@ -132,10 +132,10 @@ def stream_tumbling(spark, sf_dir):
 @query(
     "stream_windowed_user_agg",
     f"""WITH {watermark_cte(3 * TEN_MINUTES)}, w AS (
-        SELECT CAST(user_id AS VARCHAR) AS user_id, epoch_ms(ts) // 1800000 * 1800000 AS window_start_ms,
+        SELECT CAST(user_id AS VARCHAR) AS user_id, (epoch_us(ts) // 1000) // 1800000 * 1800000 AS window_start_ms,
             CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
     SELECT user_id, window_start_ms, CAST(sum(k) AS BIGINT) AS duration_seconds_sum, count(*) AS page_count
-    FROM w WHERE window_start_ms + 1800000 <= (SELECT at FROM wm) GROUP BY 1, 2""",
+    FROM w WHERE window_start_ms + 1800000 <= (SELECT mark FROM wm) GROUP BY 1, 2""",
 )
 def stream_windowed_user_agg(spark, sf_dir):
     totals = stream_windowed_activity(page_activity(event_stream(spark, sf_dir)), ["user_id"])
@@ -156,7 +156,7 @@ HOUR_MS = 3_600_000
 @query(
     "stream_late_data",
     f"""WITH e AS (
-        SELECT epoch_ms(ts) AS ms, epoch_ms(ts) // {HOUR_MS} * {HOUR_MS} AS s,
+        SELECT (epoch_us(ts) // 1000) AS ms, (epoch_us(ts) // 1000) // {HOUR_MS} * {HOUR_MS} AS s,
             ts < TIMESTAMP '{LATE_CUT}' AND event_type <> 'error' AS on_time FROM events),
     wm AS (SELECT max(ms) FILTER (WHERE on_time) - {LATE_DELAY_MS} AS first,
                   max(ms) - {LATE_DELAY_MS} AS last FROM e)
@@ -171,22 +171,22 @@ def stream_late_data(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("at"))
     source, target, checkpoint = (scratch(spark, f"late_{part}") for part in ("in", "out", "checkpoint"))
     on_time = (F.col("at") < LATE_CUT) & (F.col("event_type") != "error")
-    stream = (
-        stream_files(spark, source, events.schema)
-        .withWatermark("at", f"{LATE_DELAY_MS} milliseconds")
-        .groupBy(F.window("at", "1 hour").alias("w"))
-        .agg(F.count(F.lit(1)).alias("event_count"))
-        .select(F.unix_millis("w.start").alias("window_start_ms"), "event_count")
-    )
     for arrived in (events.filter(on_time), events.filter(~on_time)):
         arrived.write.mode("append").parquet(source)
-        write_stream(stream, checkpoint, path=target, trigger=DRAIN).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(target)
+        hourly = (
+            stream_files(spark, source, events.schema)
+            .withWatermark("at", f"{LATE_DELAY_MS} milliseconds")
+            .groupBy(F.window("at", "1 hour").alias("w"))
+            .agg(F.count(F.lit(1)).alias("event_count"))
+            .select(F.unix_millis("w.start").alias("window_start_ms"), "event_count")
+        )
+        write_stream(hourly, checkpoint, path=target, trigger=DRAIN).awaitTermination()
+    return spark.read.parquet(target)
 
 
 STREAM_SESSIONS = f"""
 WITH RECURSIVE {watermark_cte()}, all_{CLICKS.strip()},
-clicks AS (SELECT * FROM all_clicks WHERE ms <= (SELECT at FROM wm)), {islands()}, {greedy()}"""
+clicks AS (SELECT * FROM all_clicks WHERE ms <= (SELECT mark FROM wm)), {islands()}, {greedy()}"""
 
 
 @query(
@@ -196,7 +196,7 @@ clicks AS (SELECT * FROM all_clicks WHERE ms <= (SELECT at FROM wm)), {islands()
         max(ms) AS session_end_time_ms, count(*) AS event_count,
         (max(ms) - s) / 1000.0::DOUBLE AS session_duration_seconds
     FROM sess GROUP BY uuid, s, n
-    HAVING max(ms) + {GAP_MS} < (SELECT at FROM wm)
+    HAVING max(ms) + {GAP_MS} < (SELECT mark FROM wm)
         OR n < (SELECT max(n) FROM starts WHERE starts.uuid = sess.uuid)""",
 )
 def stream_sessions_capped(spark, sf_dir):
@@ -225,7 +225,7 @@ def stream_events(spark, sf_dir):
 
 @query(
     "job_typed_events_stream",
-    "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, epoch_ms(ts) AS ms,"
+    "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, (epoch_us(ts) // 1000) AS ms,"
     " event_type FROM events",
 )
 def job_typed_events_stream(spark, sf_dir):

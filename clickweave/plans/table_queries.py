@@ -23,7 +23,7 @@ from clickweave.sources.files import rate_events, read_files, read_table
 # Sources and sinks -------------------------------------------------------------------------
 
 
-@query("scan_files", "SELECT event_id, epoch_ms(ts) AS ms, user_id, event_type, value, props FROM events")
+@query("scan_files", "SELECT event_id, (epoch_us(ts) // 1000) AS ms, user_id, event_type, value, props FROM events")
 def scan_files(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return events.withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp"))).drop("ts")
@@ -47,7 +47,7 @@ def table_scan(spark, sf_dir):
     "rate_projection",
     """SELECT CAST(event_id AS VARCHAR) AS event_id,
         CASE event_id % 3 WHEN 0 THEN 'click' WHEN 1 THEN 'view' ELSE 'purchase' END AS event_type,
-        'user_' || (event_id % 10) AS user_id, epoch_ms(ts) AS ms, 'session_' || (event_id % 5) AS session_id,
+        'user_' || (event_id % 10) AS user_id, (epoch_us(ts) // 1000) AS ms, 'session_' || (event_id % 5) AS session_id,
         'https://example.com/page' || (event_id % 20) AS page_url,
         CASE event_id % 2 WHEN 0 THEN 'button_click' ELSE 'scroll' END AS action,
         CAST(event_id * 100 AS INTEGER) AS duration_ms
@@ -62,7 +62,7 @@ def rate_projection(spark, sf_dir):
 
 CLICK_FIELDS = """
     CAST(event_id AS VARCHAR) AS event_id, event_type AS page_name,
-    CAST(epoch_ms(ts) AS VARCHAR) AS event_timestamp,
+    CAST((epoch_us(ts) // 1000) AS VARCHAR) AS event_timestamp,
     json_extract_string(props, '$.k') AS booking_k, CAST(user_id AS VARCHAR) AS uuid,
     'user-' || event_type AS event_name"""
 
@@ -214,7 +214,7 @@ def json_extract(spark, sf_dir):
 
 @query(
     "json_parse_meta",
-    f"SELECT {CLICK_FIELDS}, epoch_ms(ts) AS kafka_ms, true AS stamped FROM events",
+    f"SELECT {CLICK_FIELDS}, (epoch_us(ts) // 1000) AS kafka_ms, true AS stamped FROM events",
 )
 def json_parse_meta(spark, sf_dir):
     messages = click_messages(table(spark, sf_dir, "events"))
@@ -261,9 +261,9 @@ def parse_timestamp_query(spark, sf_dir):
 
 
 MIXED_TIMES = """
-    CASE event_type WHEN 'click' THEN epoch_ms(ts)
+    CASE event_type WHEN 'click' THEN (epoch_us(ts) // 1000)
         WHEN 'view' THEN epoch_ms(date_trunc('second', ts)) WHEN 'error' THEN NULL
-        ELSE epoch_ms(ts) END"""
+        ELSE (epoch_us(ts) // 1000) END"""
 
 
 def _mixed_times(spark, sf_dir):
@@ -357,7 +357,7 @@ def row_group_agg(spark, sf_dir):
 
 @query(
     "row_group_window",
-    """SELECT epoch_ms(ts) // 3600000 * 3600000 AS window_start_ms, count(event_id) AS event_id_count
+    """SELECT (epoch_us(ts) // 1000) // 3600000 * 3600000 AS window_start_ms, count(event_id) AS event_id_count
     FROM events GROUP BY 1""",
 )
 def row_group_window(spark, sf_dir):
@@ -560,8 +560,8 @@ def job_quality_files(spark, sf_dir):
 @query(
     "job_windowed_activity",
     """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS session_id,
-        epoch_ms(ts) // 1800000 * 1800000 AS window_start_ms,
-        strftime(epoch_ms(epoch_ms(ts) // 1800000 * 1800000), '%Y-%m-%d') AS window_day,
+        (epoch_us(ts) // 1000) // 1800000 * 1800000 AS window_start_ms,
+        strftime(epoch_ms((epoch_us(ts) // 1000) // 1800000 * 1800000), '%Y-%m-%d') AS window_day,
         CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS duration_seconds_sum,
         count(*) AS page_count
     FROM events GROUP BY 1, 2, 3, 4""",
@@ -583,7 +583,7 @@ def job_windowed_activity(spark, sf_dir):
 @query(
     "job_typed_events",
     """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(user_id AS VARCHAR) AS user_id,
-        epoch_ms(ts) AS ms, CAST(json_extract_string(props, '$.k') AS INTEGER) AS duration_ms,
+        (epoch_us(ts) // 1000) AS ms, CAST(json_extract_string(props, '$.k') AS INTEGER) AS duration_ms,
         strftime(ts, '%Y-%m-%d') AS event_day
     FROM events""",
 )

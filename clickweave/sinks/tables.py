@@ -108,10 +108,7 @@ def write_table(
     rows = gather_partitions(df, partition_by)
     exists = df.sparkSession.catalog.tableExists(name)
     if mode == "overwrite" and exists:
-        # insertInto goes by position, so follow the table's own column order.
-        target = df.sparkSession.table(name).columns
-        writer = rows.select(*target).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").insertInto(name)
+        _replace_partitions(rows, name)
         return
     writer = rows.write.format(format).mode(
         {"create": "errorifexists", "replace": "overwrite"}.get(mode, "append")
@@ -122,6 +119,18 @@ def write_table(
     writer.partitionBy(*partition_by).saveAsTable(name)
 
 
+def _replace_partitions(rows: DataFrame, name: str) -> None:
+    # insertInto goes by position, so follow the table's own column order. It takes the overwrite
+    # mode from the session, not from writer options.
+    spark, setting = rows.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        rows.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _write_v2(df: DataFrame, name, mode, partition_by, properties) -> None:
     exists = df.sparkSession.catalog.tableExists(name)
     writer = df.writeTo(name)
