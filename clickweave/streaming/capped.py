@@ -18,13 +18,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
 
 from clickweave.operators.sessions import SessionRules, usable_events
 from clickweave.streaming.windows import DEFAULT_DELAY
 
 OPEN_SCHEMA = "start bigint, last bigint, events bigint"
 WAITING_SCHEMA = "moments array<bigint>, counts array<bigint>"
+# Keep microseconds when an event travels as JSON.
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def stream_capped_sessions(
@@ -69,22 +73,32 @@ def stream_session_events(
     Column order of the input is kept. Only events the watermark has not reached are in state.
     """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
-    events = usable_events(events, user, time_ms)
-    added = [StructField("session_start_time_ms", LongType()), StructField("session_end_time_ms", LongType())]
-    output = StructType(events.schema.fields + added)
-    marked = (
-        events.withWatermark(event_time, delay)
-        .groupBy(user)
-        .transformWithStateInPandas(
-            statefulProcessor=SessionEvents(
-                user, time_ms, rules.gap_ms, rules.cap_ms, events.schema.json()
-            ),
-            outputStructType=output,
-            outputMode="append",
-            timeMode="EventTime",
+    columns = events.columns
+    key_type = events.schema[user].dataType.simpleString()
+    # The rest of the event is of no interest to the processor and travels as one JSON text.
+    packed = (
+        usable_events(events, user, time_ms)
+        .withWatermark(event_time, delay)
+        .select(
+            user,
+            event_time,
+            F.col(time_ms).alias("moment"),
+            F.to_json(F.struct(*columns), JSON_OPTIONS).alias("packed"),
         )
     )
-    return _describe(marked, user)
+    marked = packed.groupBy(user).transformWithStateInPandas(
+        statefulProcessor=SessionEvents(user, "moment", rules.gap_ms, rules.cap_ms),
+        outputStructType=(
+            f"`{user}` {key_type}, session_start_time_ms bigint, session_end_time_ms bigint, packed string"
+        ),
+        outputMode="append",
+        timeMode="EventTime",
+    )
+    event = F.from_json("packed", events.schema, JSON_OPTIONS).alias("event")
+    unpacked = marked.select("session_start_time_ms", "session_end_time_ms", event).select(
+        "event.*", "session_start_time_ms", "session_end_time_ms"
+    )
+    return _describe(unpacked, user)
 
 
 def session_starts(
@@ -204,33 +218,31 @@ class ClosedSessions(_Waiting):
 class SessionEvents(_Waiting):
     """Emit each event with its session once the watermark has passed it."""
 
-    def __init__(self, user, time_ms, gap_ms, cap_ms, schema_json: str):
-        super().__init__(user, time_ms, gap_ms, cap_ms)
-        self.schema_json = schema_json
-
     def init(self, handle: StatefulProcessorHandle) -> None:
-        import json
-
         super().init(handle)
-        self.schema = StructType.fromJson(json.loads(self.schema_json))
-        self.waiting = handle.getListState("waiting", self.schema)
+        self.waiting = handle.getListState("waiting", "moment bigint, packed string")
 
     def keep(self, rows: Iterator[pd.DataFrame]) -> None:
         for batch in rows:
-            self.waiting.appendList(list(batch[self.schema.names].itertuples(index=False, name=None)))
+            moments = batch[self.time_ms].tolist()
+            self.waiting.appendList(list(zip(moments, batch["packed"].tolist())))
 
     def advance(self, key, watermark: int) -> Iterator[pd.DataFrame]:
-        at = self.schema.names.index(self.time_ms)
-        waiting = sorted(self.waiting.get(), key=lambda row: row[at])
+        waiting = sorted(self.waiting.get())
         start, last, events = self.open.get() if self.open.exists() else (None, None, 0)
-        moments = np.asarray([row[at] for row in waiting], dtype=np.int64)
+        moments = np.asarray([moment for moment, _ in waiting], dtype=np.int64)
         ripe = int(np.searchsorted(moments, watermark, side="right"))
         frame = None
         if ripe:
             starts = session_starts(moments[:ripe], start, last, self.gap_ms, self.cap_ms)
-            frame = pd.DataFrame(waiting[:ripe], columns=self.schema.names)
-            frame["session_start_time_ms"] = starts
-            frame["session_end_time_ms"] = moments[:ripe]
+            frame = pd.DataFrame(
+                {
+                    self.user: key[0],
+                    "session_start_time_ms": starts,
+                    "session_end_time_ms": moments[:ripe],
+                    "packed": [packed for _, packed in waiting[:ripe]],
+                }
+            )
             start, last = int(starts[-1]), int(moments[ripe - 1])
         if start is not None and last + self.gap_ms < watermark:
             start = None
@@ -241,9 +253,9 @@ class SessionEvents(_Waiting):
             self.waiting.clear()
         elif ripe:
             self.waiting.put(waiting[ripe:])
-        alarms = moments[ripe : ripe + 1].tolist() + (
-            [last + self.gap_ms + 1] if start is not None else []
-        )
+        alarms = moments[ripe : ripe + 1].tolist()
+        if start is not None:
+            alarms.append(last + self.gap_ms + 1)
         self.wake_at(alarms, watermark)
         if frame is not None:
             yield frame
