@@ -45,14 +45,14 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def stream_rate(spark: SparkSession, rows_per_second: int = 5, start: str | None = None) -> DataFrame:
-    """The built-in generator of ``(timestamp, value)`` rows; ``start`` makes it repeatable."""
-    if start is None:
+def stream_rate(spark: SparkSession, rows_per_second: int = 5, start_ms: int | None = None) -> DataFrame:
+    """The built-in generator of ``(timestamp, value)`` rows; ``start_ms`` makes it repeatable."""
+    if start_ms is None:
         return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
     return (
         spark.readStream.format("rate-micro-batch")
         .option("rowsPerBatch", rows_per_second)
-        .option("startTimestamp", start)
+        .option("startTimestamp", start_ms)
         .load()
     )
 

@@ -24,6 +24,9 @@ from clickweave.streaming.windows import DEFAULT_DELAY
 
 OPEN_SCHEMA = "start bigint, last bigint, events bigint"
 WAITING_SCHEMA = "moments array<bigint>, counts array<bigint>"
+# Fixed value: a Python worker's clock counts nanoseconds and ends in the year 2262. A later time
+# is a broken clock; it would also move the watermark past every real event.
+END_OF_CLOCK_MS = 9223372036854
 # Keep microseconds when an event travels as JSON.
 JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -42,11 +45,11 @@ def stream_capped_sessions(
 ) -> DataFrame:
     """One row per finished session. Needs the RocksDB state store."""
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
-    events = usable_events(events, user, time_ms)
     key_type = events.schema[user].dataType.simpleString()
     output = f"`{user}` {key_type}, session_start_time_ms bigint, session_end_time_ms bigint, event_count bigint"
     closed = (
-        events.select(user, event_time, time_ms)
+        _within_clock(events, user, time_ms)
+        .select(user, event_time, time_ms)
         .withWatermark(event_time, delay)
         .groupBy(user)
         .transformWithStateInPandas(
@@ -77,7 +80,7 @@ def stream_session_events(
     key_type = events.schema[user].dataType.simpleString()
     # The rest of the event is of no interest to the processor and travels as one JSON text.
     packed = (
-        usable_events(events, user, time_ms)
+        _within_clock(events, user, time_ms)
         .withWatermark(event_time, delay)
         .select(
             user,
@@ -261,6 +264,10 @@ class SessionEvents(_Waiting):
             yield frame
 
 
+def _within_clock(events: DataFrame, user: str, time_ms: str) -> DataFrame:
+    return usable_events(events, user, time_ms).filter(F.abs(time_ms) < END_OF_CLOCK_MS)
+
+
 def _describe(df: DataFrame, user: str) -> DataFrame:
     start, end = F.col("session_start_time_ms"), F.col("session_end_time_ms")
     return df.withColumns(
