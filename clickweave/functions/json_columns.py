@@ -31,7 +31,9 @@ def parse_json(
         df = df.withColumnRenamed("timestamp", "kafka_timestamp")
     kept = [c for c in df.columns if keep_value or c != value_column]
     parsed = F.from_json(F.col(value_column).cast("string"), fields, options)
-    return df.withColumn("_parsed", parsed).select(*kept, "_parsed.*")
+    # As a generator, the text is parsed once per row. In a projection, each later filter on a
+    # field would be pushed below it together with another copy of the parser.
+    return df.select(*kept, F.inline(F.array(parsed)))
 
 
 def extract_fields(df: DataFrame, names: list[str], value_column: str = "value") -> DataFrame:

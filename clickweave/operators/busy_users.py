@@ -242,29 +242,36 @@ def _restarts(placed: DataFrame, user, cap_ms) -> DataFrame:
     """Greedy restarts by pointer doubling.
 
     Every moment of a long island points to the first moment more than one cap later. The
-    restarts are the moments reachable from the island start; each round doubles the length of
-    the known chain, so the number of rounds is the logarithm of the longest one.
+    restarts are the moments reachable from the island start. Pointers over 1, 2, 4, ... steps
+    are composed until they span the longest island, then followed from the longest step down.
+    A pointer is kept only for moments that some pointer of the same length reaches; chains merge
+    quickly, so the tables shrink from round to round.
     """
     bin_number = F.floor((F.col("_ms") - F.col("_island_start")) / cap_ms)
     binned = placed.select(user, "_island", "_island_start", "_ms", bin_number.alias("bin"))
     long_islands = binned.groupBy(user, "_island").agg(F.max("bin").alias("bins")).filter("bins > 0")
     binned = cut_lineage(binned.join(long_islands, [user, "_island"]))
+    # A session covers more than one cap, so the number of bins bounds the length of a chain.
     longest = binned.agg(F.max("bins")).first()[0] or 0
+    starts = binned.filter(F.col("_ms") == F.col("_island_start")).select(user, "_ms")
 
-    jump = cut_lineage(_next_after_cap(binned, user, cap_ms))
-    reached = cut_lineage(
-        binned.filter(F.col("_ms") == F.col("_island_start")).select(user, "_ms")
-    )
-    rounds = longest.bit_length()
-    for done in range(rounds):
+    pointers = []
+    jump = _next_after_cap(binned, user, cap_ms)
+    for _ in range(longest.bit_length()):
+        if pointers:
+            onward = jump.select(user, F.col("_ms").alias("_next"), F.col("_next").alias("_after"))
+            jump = jump.join(onward, [user, "_next"]).select(
+                user, "_ms", F.col("_after").alias("_next")
+            )
+        jump = cut_lineage(jump)
+        reachable = jump.select(user, F.col("_next").alias("_ms")).distinct().union(starts)
+        jump = cut_lineage(jump.join(reachable, [user, "_ms"], "left_semi"))
+        pointers.append(jump)
+
+    reached = cut_lineage(starts)
+    for jump in reversed(pointers):
         further = reached.join(jump, [user, "_ms"]).select(user, F.col("_next").alias("_ms"))
         reached = cut_lineage(reached.union(further).distinct())
-        if done < rounds - 1:
-            second = jump.select(user, F.col("_ms").alias("_next"), F.col("_next").alias("_after"))
-            jump = cut_lineage(
-                jump.join(second, [user, "_next"]).select(user, "_ms", F.col("_after").alias("_next"))
-            )
-    starts = binned.filter(F.col("_ms") == F.col("_island_start")).select(user, "_ms")
     return reached.join(starts, [user, "_ms"], "left_anti")
 
 
