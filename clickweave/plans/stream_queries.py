@@ -184,19 +184,24 @@ def stream_late_data(spark, sf_dir):
     return spark.read.parquet(target)
 
 
-STREAM_SESSIONS = f"""
+def stream_sessions_sql(settled: str) -> str:
+    """Greedy sessions of the events up to the watermark, or up to its last full second."""
+    return f"""
 WITH RECURSIVE {watermark_cte()}, all_{CLICKS.strip()},
-clicks AS (SELECT * FROM all_clicks WHERE ms <= (SELECT mark FROM wm)), {islands()}, {greedy()}"""
+clicks AS (SELECT * FROM all_clicks WHERE ms <= (SELECT {settled} FROM wm)), {islands()}, {greedy()}"""
+
+
+STREAM_SESSIONS = stream_sessions_sql("mark")
 
 
 @query(
     "stream_sessions_capped",
-    f"""{STREAM_SESSIONS}
+    f"""{stream_sessions_sql("mark // 1000 * 1000 - 1")}
     SELECT uuid, uuid || '_session_' || s AS session_id, s AS session_start_time_ms,
         max(ms) AS session_end_time_ms, count(*) AS event_count,
         (max(ms) - s) / 1000.0::DOUBLE AS session_duration_seconds
     FROM sess GROUP BY uuid, s, n
-    HAVING max(ms) + {GAP_MS} < (SELECT mark FROM wm)
+    HAVING max(ms) + {GAP_MS} < (SELECT mark // 1000 * 1000 - 1 FROM wm)
         OR n < (SELECT max(n) FROM starts WHERE starts.uuid = sess.uuid)""",
 )
 def stream_sessions_capped(spark, sf_dir):

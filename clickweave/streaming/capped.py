@@ -4,9 +4,8 @@ Events wait until the watermark has passed them, so they are taken in time order
 arrival order, and the result equals the bounded ``greedy`` policy. Session ids come from the
 session start and stay unique after a user's state has been removed.
 
-Two outputs exist: finished sessions, whose state is one number per waiting moment plus the open
-session, and event rows, emitted as soon as the watermark passes them with the session end as
-known at that event.
+Two outputs exist: finished sessions, and event rows, emitted as soon as the watermark passes them
+with the session end as known at that event.
 """
 
 from __future__ import annotations
@@ -23,7 +22,8 @@ from clickweave.operators.sessions import SessionRules, usable_events
 from clickweave.streaming.windows import DEFAULT_DELAY
 
 OPEN_SCHEMA = "start bigint, last bigint, events bigint"
-WAITING_SCHEMA = "moments array<bigint>, counts array<bigint>"
+# Fixed value: moments are handed on once the watermark has passed the second they lie in.
+SETTLING = "1 second"
 # Fixed value: a Python worker's clock counts nanoseconds and ends in the year 2262. A later time
 # is a broken clock; it would also move the watermark past every real event.
 END_OF_CLOCK_MS = 9223372036854
@@ -43,21 +43,30 @@ def stream_capped_sessions(
     max_minutes: float = 120,
     delay: str = DEFAULT_DELAY,
 ) -> DataFrame:
-    """One row per finished session. Needs the RocksDB state store."""
+    """One row per finished session. Needs the RocksDB state store.
+
+    Events are first counted per user and millisecond, spread over all tasks and combined before
+    the shuffle, and held back until the watermark has passed their second. So the task that
+    follows a user sees at most 1000 rows per second of event time, however busy the user is, and
+    keeps nothing but the open session.
+    """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
     key_type = events.schema[user].dataType.simpleString()
-    output = f"`{user}` {key_type}, session_start_time_ms bigint, session_end_time_ms bigint, event_count bigint"
-    closed = (
+    moments = (
         _within_clock(events, user, time_ms)
-        .select(user, event_time, time_ms)
         .withWatermark(event_time, delay)
-        .groupBy(user)
-        .transformWithStateInPandas(
-            statefulProcessor=ClosedSessions(user, time_ms, rules.gap_ms, rules.cap_ms),
-            outputStructType=output,
-            outputMode="append",
-            timeMode="EventTime",
-        )
+        .groupBy(F.col(user), F.col(time_ms).alias("moment"), F.window(event_time, SETTLING).alias("second"))
+        .agg(F.count(F.lit(1)).alias("events"))
+        .select(user, "moment", "events", F.window_time("second").alias("settled"))
+    )
+    closed = moments.groupBy(user).transformWithStateInPandas(
+        statefulProcessor=ClosedSessions(user, rules.gap_ms, rules.cap_ms),
+        outputStructType=(
+            f"`{user}` {key_type}, session_start_time_ms bigint, session_end_time_ms bigint,"
+            " event_count bigint"
+        ),
+        outputMode="append",
+        timeMode="EventTime",
     )
     return _describe(closed, user)
 
@@ -90,7 +99,7 @@ def stream_session_events(
         )
     )
     marked = packed.groupBy(user).transformWithStateInPandas(
-        statefulProcessor=SessionEvents(user, "moment", rules.gap_ms, rules.cap_ms),
+        statefulProcessor=SessionEvents(user, rules.gap_ms, rules.cap_ms),
         outputStructType=(
             f"`{user}` {key_type}, session_start_time_ms bigint, session_end_time_ms bigint, packed string"
         ),
@@ -129,26 +138,19 @@ def session_starts(
     return starts
 
 
-class _Waiting(StatefulProcessor):
-    """Shared timer handling: wake when the watermark passes something of interest."""
+class _PerUser(StatefulProcessor):
+    """State and timer handling shared by both processors."""
 
-    def __init__(self, user: str, time_ms: str, gap_ms: int, cap_ms: int):
-        self.user, self.time_ms, self.gap_ms, self.cap_ms = user, time_ms, gap_ms, cap_ms
+    def __init__(self, user: str, gap_ms: int, cap_ms: int):
+        self.user, self.gap_ms, self.cap_ms = user, gap_ms, cap_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", OPEN_SCHEMA)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        self.keep(rows)
-        yield from self.advance(key, timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self.advance(key, timerValues.getCurrentWatermarkInMs())
-
-    def wake_at(self, times: list[int], watermark: int) -> None:
-        known = set(self.handle.listTimers())
-        wanted = min((t for t in times if t > watermark), default=None)
+    def wake_at(self, times: list[int]) -> None:
+        """Keep one timer, at the earliest of the given times."""
+        wanted, known = min(times, default=None), set(self.handle.listTimers())
         for timer in known:
             if timer != wanted:
                 self.handle.deleteTimer(timer)
@@ -159,57 +161,46 @@ class _Waiting(StatefulProcessor):
         pass
 
 
-class ClosedSessions(_Waiting):
-    """Emit each session once, when no event can join it any more."""
+class ClosedSessions(_PerUser):
+    """Emit each session once, when no event can join it any more.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.waiting = handle.getValueState("waiting", WAITING_SCHEMA)
-
-    def keep(self, rows: Iterator[pd.DataFrame]) -> None:
-        counts: pd.Series | None = None
-        if self.waiting.exists():
-            moments, numbers = self.waiting.get()
-            counts = pd.Series(list(numbers), index=list(moments), dtype="int64")
-        for batch in rows:
-            more = batch.groupby(self.time_ms).size()
-            counts = more if counts is None else counts.add(more, fill_value=0)
-        if counts is not None:
-            counts = counts.sort_index().astype("int64")
-            self.waiting.update((counts.index.astype("int64").tolist(), counts.tolist()))
+    Moments arrive after the watermark has settled them: later batches hold later moments only.
+    """
 
-    def advance(self, key, watermark: int) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        settled = pd.concat([batch[["moment", "events"]] for batch in rows]).sort_values("moment")
+        moments = settled["moment"].to_numpy(dtype=np.int64)
+        counts = settled["events"].to_numpy(dtype=np.int64)
         start, last, events = self.open.get() if self.open.exists() else (None, None, 0)
-        moments, counts = self.waiting.get() if self.waiting.exists() else ([], [])
-        moments, counts = np.asarray(moments, dtype=np.int64), np.asarray(counts, dtype=np.int64)
-        ripe = int(np.searchsorted(moments, watermark, side="right"))
+        starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms)
+        edges = np.flatnonzero(np.diff(starts, prepend=starts[0] - 1))
+        totals = np.add.reduceat(counts, edges)
+        ends = moments[np.append(edges[1:], len(moments)) - 1]
         done = []
-        if ripe:
-            starts = session_starts(moments[:ripe], start, last, self.gap_ms, self.cap_ms)
-            edges = np.flatnonzero(np.diff(starts, prepend=starts[0] - 1))
-            totals = np.add.reduceat(counts[:ripe], edges)
-            ends = moments[np.append(edges[1:], ripe) - 1]
-            for begin, end, total in zip(starts[edges].tolist(), ends.tolist(), totals.tolist()):
-                if start is not None and begin == start:
-                    last, events = end, events + total
-                    continue
-                if start is not None:
-                    done.append((start, last, events))
-                start, last, events = begin, end, total
-        if start is not None and last + self.gap_ms < watermark:
-            done.append((start, last, events))
-            start = None
-        moments, counts = moments[ripe:], counts[ripe:]
-        if start is None:
+        for begin, end, total in zip(starts[edges].tolist(), ends.tolist(), totals.tolist()):
+            if begin == start:
+                last, events = end, events + total
+                continue
+            if start is not None:
+                done.append((start, last, events))
+            start, last, events = begin, end, total
+        yield from self.settle(key, done, (start, last, events), timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.open.exists():
+            yield from self.settle(key, [], self.open.get(), timerValues)
+
+    def settle(self, key, done, session, timerValues) -> Iterator[pd.DataFrame]:
+        # Moments of a second that the watermark has not left may still be on their way.
+        settled = timerValues.getCurrentWatermarkInMs() // 1000 * 1000
+        expires = session[1] + self.gap_ms + 1
+        if expires <= settled - 1:
+            done.append(tuple(session))
             self.open.clear()
+            self.wake_at([])
         else:
-            self.open.update((start, last, events))
-        if len(moments):
-            self.waiting.update((moments.tolist(), counts.tolist()))
-        else:
-            self.waiting.clear()
-        alarms = moments[:1].tolist() + ([last + self.gap_ms + 1] if start is not None else [])
-        self.wake_at(alarms, watermark)
+            self.open.update(tuple(session))
+            self.wake_at([-(-(expires + 1) // 1000) * 1000])
         if done:
             frame = pd.DataFrame(
                 done, columns=["session_start_time_ms", "session_end_time_ms", "event_count"]
@@ -218,7 +209,7 @@ class ClosedSessions(_Waiting):
             yield frame
 
 
-class SessionEvents(_Waiting):
+class SessionEvents(_PerUser):
     """Emit each event with its session once the watermark has passed it."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -227,8 +218,14 @@ class SessionEvents(_Waiting):
 
     def keep(self, rows: Iterator[pd.DataFrame]) -> None:
         for batch in rows:
-            moments = batch[self.time_ms].tolist()
-            self.waiting.appendList(list(zip(moments, batch["packed"].tolist())))
+            self.waiting.appendList(list(zip(batch["moment"].tolist(), batch["packed"].tolist())))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        self.keep(rows)
+        yield from self.advance(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self.advance(key, timerValues.getCurrentWatermarkInMs())
 
     def advance(self, key, watermark: int) -> Iterator[pd.DataFrame]:
         waiting = sorted(self.waiting.get())
@@ -259,7 +256,7 @@ class SessionEvents(_Waiting):
         alarms = moments[ripe : ripe + 1].tolist()
         if start is not None:
             alarms.append(last + self.gap_ms + 1)
-        self.wake_at(alarms, watermark)
+        self.wake_at(alarms)
         if frame is not None:
             yield frame
 
