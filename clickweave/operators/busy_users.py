@@ -8,7 +8,7 @@ the number of events. What one slice must tell the next fits in one summary row.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,21 +23,23 @@ class BusyUsers:
     ``rows``: users with more events than this are busy. ``limit``: at most this many users are
     listed, the largest ones; by counting, any user beyond the list owns less than 1/limit of the
     table, which an ordinary task can sort. ``slice_minutes``: length of one timeline slice.
+    ``known``: ids found earlier by ``measure_busy``, to save the counting job.
     """
 
     rows: int = 1_000_000
     limit: int = 100_000
     slice_minutes: int = 60
+    known: tuple | None = None
 
     @property
     def slice_ms(self) -> int:
         return self.slice_minutes * 60_000
 
 
-def list_busy(df: DataFrame, user: str, busy: BusyUsers) -> DataFrame | None:
-    """The busy users of a table, or None. Runs one job that reads the user column only.
+def measure_busy(df: DataFrame, user: str = "uuid", busy: BusyUsers = BusyUsers()) -> BusyUsers:
+    """Count once and remember the busy users, for several operators over the same events.
 
-    The list has at most ``limit`` ids, so it may be gathered and broadcast.
+    One job that reads the user column only. At most ``limit`` ids reach the driver.
     """
     largest = (
         df.groupBy(user)
@@ -45,10 +47,17 @@ def list_busy(df: DataFrame, user: str, busy: BusyUsers) -> DataFrame | None:
         .filter(F.col("_rows") > busy.rows)
         .orderBy(F.desc("_rows"))
         .limit(busy.limit)
-        .select(user)
     )
-    ids = largest.collect()
-    return df.sparkSession.createDataFrame(ids, largest.schema) if ids else None
+    return replace(busy, known=tuple(row[0] for row in largest.select(user).collect()))
+
+
+def list_busy(df: DataFrame, user: str, busy: BusyUsers) -> DataFrame | None:
+    """The busy users of a table as a one-column table small enough to broadcast, or None."""
+    ids = busy.known if busy.known is not None else measure_busy(df, user, busy).known
+    if not ids:
+        return None
+    schema = df.select(user).schema
+    return df.sparkSession.createDataFrame([(value,) for value in ids], schema)
 
 
 def separate(df: DataFrame, user: str, busy: BusyUsers | None) -> tuple[DataFrame, DataFrame | None]:
@@ -71,11 +80,15 @@ def mark_sessions(events: DataFrame, user, time_ms, rules, with_cut, busy, cappe
 
 
 def gaps(events: DataFrame, user, time_ms, tie_break, busy) -> DataFrame:
-    """Add ``gap_ms``: time since the previous moment for the first event of a moment, else 0."""
+    """Add ``gap_ms``: time since the previous moment for the first event of a moment, else 0.
+
+    ``tie_break`` tells the events of one moment apart.
+    """
     inside = Window.partitionBy(user, "_slice").orderBy("_ms")
     slices = Window.partitionBy(user).orderBy("_slice")
     moments = cut_lineage(
-        _moments(events, user, time_ms, False)
+        events.groupBy(user, F.col(time_ms).alias("_ms"))
+        .agg(F.min(tie_break).alias("_first"))
         .withColumn("_slice", F.floor(F.col("_ms") / busy.slice_ms))
         .withColumn("_previous", F.lag("_ms").over(inside))
     )
@@ -85,13 +98,15 @@ def gaps(events: DataFrame, user, time_ms, tie_break, busy) -> DataFrame:
         .select(user, "_slice", F.lag("last").over(slices).alias("_carried"))
     )
     previous = moments.join(carried, [user, "_slice"]).select(
-        user, F.col("_ms").alias(time_ms), F.coalesce("_previous", "_carried").alias("_previous")
+        user,
+        F.col("_ms").alias(time_ms),
+        "_first",
+        F.coalesce("_previous", "_carried").alias("_previous"),
     )
-    same_moment = Window.partitionBy(user, time_ms).orderBy(tie_break)
-    gap = F.when(F.row_number().over(same_moment) > 1, F.lit(0)).otherwise(
+    gap = F.when(F.col(tie_break) > F.col("_first"), F.lit(0)).otherwise(
         F.col(time_ms) - F.col("_previous")
     )
-    return events.join(previous, [user, time_ms]).withColumn("gap_ms", gap).drop("_previous")
+    return events.join(previous, [user, time_ms]).withColumn("gap_ms", gap).drop("_previous", "_first")
 
 
 def number_within_session(sessions: DataFrame, user, time_ms, tie_break, busy) -> DataFrame:

@@ -12,7 +12,11 @@ from clickweave.sources.envelope import to_envelope
 from clickweave.sources.files import read_files, stream_files
 
 # Settings the results depend on, and the state store of stateful streams.
-QUERY_CONF = ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass")
+QUERY_CONF = (
+    "spark.sql.session.timeZone",
+    "spark.sql.streaming.stateStore.providerClass",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition",
+)
 
 
 def prepare(spark: SparkSession) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.layout import add_layout_columns, for_user
 from clickweave.operators import analytics
-from clickweave.operators.busy_users import BusyUsers
+from clickweave.operators.busy_users import BusyUsers, measure_busy
 from clickweave.operators.sessions import (
     detect_sessions,
     rollup_sessions,
@@ -65,6 +65,16 @@ def session_gap(spark, sf_dir):
     return session_gaps(clicks(spark, sf_dir)).select("uuid", "event_id", "event_time_ms", "gap_ms")
 
 
+@query(
+    "session_gap_sliced",
+    f"WITH {CLICKS} SELECT uuid, event_id, ms AS event_time_ms,"
+    " ms - lag(ms) OVER (PARTITION BY uuid ORDER BY ms, event_id) AS gap_ms FROM clicks",
+)
+def session_gap_sliced(spark, sf_dir):
+    gaps = session_gaps(clicks(spark, sf_dir), busy=ALL_BUSY)
+    return gaps.select("uuid", "event_id", "event_time_ms", "gap_ms")
+
+
 @query(
     "session_islands",
     f"WITH {CLICKS}, {islands()} SELECT uuid, event_id, island, island_start AS island_start_ms FROM isl",
@@ -133,7 +143,8 @@ def session_rollup(spark, sf_dir):
     " string_agg(page_name, '>' ORDER BY ms, event_id) AS pages_visited FROM sess GROUP BY uuid, session_id",
 )
 def session_paths_query(spark, sf_dir):
-    paths = session_paths(sessions(spark, sf_dir))
+    busy = measure_busy(clicks(spark, sf_dir))
+    paths = session_paths(sessions(spark, sf_dir, busy=busy), busy=busy)
     return paths.withColumn("pages_visited", F.array_join("pages_visited", ">"))
 
 

@@ -22,7 +22,7 @@ from clickweave.plans.inputs import (
 )
 from clickweave.plans.registry import query
 from clickweave.plans.session_queries import EVENT_OUTPUT, LIMITS, TUMBLING, page_activity
-from clickweave.plans.sql_parts import CAP_MS, CLICKS, GAP_MS, INACTIVITY_MINUTES, greedy, islands
+from clickweave.plans.sql_parts import CLICKS, GAP_MS, INACTIVITY_MINUTES, greedy, islands
 from clickweave.plans.table_queries import user_event_messages
 from clickweave.sinks.streams import kafka_payload, write_stream
 from clickweave.sources.files import stream_files
@@ -246,6 +246,33 @@ def job_typed_events_stream(spark, sf_dir):
     )
 
 
+@query(
+    "job_activity_stream",
+    f"""WITH {watermark_cte(3 * TEN_MINUTES)}, w AS (
+        SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS session_id,
+            (epoch_us(ts) // 1000) // 1800000 * 1800000 AS window_start_ms,
+            CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+    SELECT user_id, session_id, window_start_ms, CAST(sum(k) AS BIGINT) AS duration_seconds_sum,
+        count(*) AS page_count, strftime(epoch_ms(window_start_ms), '%Y-%m-%d') AS window_day
+    FROM w WHERE window_start_ms + 1800000 <= (SELECT mark FROM wm) GROUP BY ALL""",
+)
+def job_activity_stream(spark, sf_dir):
+    pages = page_activity(event_stream(spark, sf_dir)).withColumn("session_id", F.col("page"))
+    messages = pages.select(F.to_json(F.struct(*pages.columns)).alias("value"))
+    path = scratch(spark, "activity")
+    jobs.activity_stream(
+        messages, checkpoint=scratch(spark, "activity_checkpoint"), path=path, trigger=DRAIN
+    ).awaitTermination()
+    return spark.read.parquet(path).select(
+        "user_id",
+        "session_id",
+        F.unix_millis("window.start").alias("window_start_ms"),
+        "duration_seconds_sum",
+        "page_count",
+        F.col("window_date").cast("string").alias("window_day"),
+    )
+
+
 @query(
     "job_sessions_stream",
     f"""{STREAM_SESSIONS}

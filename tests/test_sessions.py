@@ -4,7 +4,7 @@ import pytest
 from brute import sessions as brute_sessions
 from pyspark.sql import functions as F
 
-from clickweave.operators.busy_users import BusyUsers, list_busy
+from clickweave.operators.busy_users import BusyUsers, list_busy, measure_busy
 from clickweave.operators.sessions import (
     SessionRules,
     count_unusable,
@@ -224,6 +224,10 @@ def test_busy_list(spark):
     assert {r.uuid for r in listed.collect()} == {"a", "b"}
     assert [r.uuid for r in list_busy(frame, "uuid", BusyUsers(rows=2, limit=1)).collect()] == ["a"]
     assert list_busy(frame, "uuid", BusyUsers(rows=9)) is None
+    measured = measure_busy(frame, busy=BusyUsers(rows=2, slice_minutes=5))
+    assert sorted(measured.known) == ["a", "b"] and measured.slice_minutes == 5
+    with_list = detect_sessions(frame, busy=measured)
+    assert sorted(map(str, with_list.collect())) == sorted(map(str, detect_sessions(frame, busy=None).collect()))
 
 
 def plan_of(frame):

@@ -182,3 +182,29 @@ def test_lineage_is_cut_in_the_named_folder(spark):
 
 def test_session_builder_reuses_the_session(spark):
     assert build_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_memory_and_console_sinks(spark, tmp_path):
+    rows = spark.range(20).withColumn("s", F.lit("x"))
+    rows.write.parquet(str(tmp_path / "in"))
+    from clickweave.sources.files import stream_files
+
+    stream = stream_files(spark, str(tmp_path / "in"), rows.schema, max_files_per_trigger=2)
+    drain = {"availableNow": True}
+    counted = stream.groupBy("s").count()
+    streams.write_stream(
+        counted, str(tmp_path / "c1"), "memory", output_mode="complete", trigger=drain, name="kept", stateful=True
+    ).awaitTermination()
+    assert spark.table("kept").first()["count"] == 20
+    streams.write_stream(stream.limit(1), str(tmp_path / "c2"), "console", trigger=drain).awaitTermination()
+    with pytest.raises(ValueError):
+        streams.write_stream(stream, str(tmp_path / "c3"), output_mode="replace")
+
+
+def test_spread(spark):
+    from clickweave.functions.layout import spread
+
+    frame = spark.range(10)
+    assert spread(frame) is frame
+    assert spread(frame, partitions=3).rdd.getNumPartitions() == 3
+    assert "hashpartitioning(id" in spread(frame, ["id"], 4)._jdf.queryExecution().toString()
