@@ -278,16 +278,16 @@ def _restarts(placed: DataFrame, user, cap_ms) -> DataFrame:
             jump = jump.join(onward, [user, "_next"]).select(
                 user, "_ms", F.col("_after").alias("_next")
             )
-        jump = cut_lineage(jump)
         reachable = jump.select(user, F.col("_next").alias("_ms")).distinct().union(starts)
         jump = cut_lineage(jump.join(reachable, [user, "_ms"], "left_semi"))
         pointers.append(jump)
 
-    reached = cut_lineage(starts)
+    # Every moment of the chain so far keeps its place and adds the one its pointer leads to.
+    reached = starts
     for jump in reversed(pointers):
-        further = reached.join(jump, [user, "_ms"]).select(user, F.col("_next").alias("_ms"))
-        reached = cut_lineage(reached.union(further).distinct())
-    return reached.join(starts, [user, "_ms"], "left_anti")
+        both = F.explode(F.array_compact(F.array("_ms", "_next")))
+        reached = reached.join(jump, [user, "_ms"], "left").select(user, both.alias("_ms"))
+    return cut_lineage(reached.join(starts, [user, "_ms"], "left_anti"))
 
 
 def _next_after_cap(binned: DataFrame, user, cap_ms) -> DataFrame:
