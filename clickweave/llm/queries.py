@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import exact_dedup, simhash, warc
+from clickweave.llm import exact_dedup, hilbert, simhash, warc
 from clickweave.llm.common import Scratch, load
 from clickweave.plans.registry import Query
 
@@ -42,6 +42,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op6_hilbert")
+def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.hilbert_shards(load(spark, sf_dir, "documents"))
+
+
 @query("op9_simhash")
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")

@@ -157,7 +157,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", order: str = "doc_id",
     )
     bests = labelled.groupBy("root").agg(F.min("first").alias("best"))
     of_print = labelled.join(bests, "root").select(F.col("print").alias(name), F.col("best").alias(best))
-    out = rows.join(of_print, name)
+    out = rows.join(scratch.keep(of_print), name)
     return out.withColumns({component: F.col(best)["o"], kept: F.col(best)["r"] == F.col(row)}).drop(best, row)
 
 

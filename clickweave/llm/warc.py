@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import column
+from clickweave.llm.common import Scratch, column
 
 CHUNK_CHARS = 64 * 1024
 #: Payloads of fewer bytes are never replaced by a revisit record.
@@ -57,6 +57,8 @@ def records(pages: DataFrame, page_id: str = "page_id", html: str = "html", url:
         .where("copies > 1 AND first_id IS NOT NULL")
         .select("payload_digest", "first_id")
     )
+    # Written first: Spark splits a skewed join only where both sides come straight from a shuffle.
+    first = Scratch(pages.sparkSession, "warc-first").keep(first)
     refers = F.when(long_enough & ~F.col("first_id").eqNullSafe(F.col("page_id")), F.col("first_id"))
     return rows.join(first, "payload_digest", "left").withColumn("refers_to", refers).drop("first_id")
 
