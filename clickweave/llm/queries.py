@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import exact_dedup, hilbert, packing, simhash, warc
+from clickweave.llm import exact_dedup, hilbert, langid, packing, simhash, warc
 from clickweave.llm.common import Scratch, load
 from clickweave.plans.registry import Query
 
@@ -47,6 +47,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op5_langid")
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id"))
+    model = langid.train(docs.where(out))
+    found = langid.detect(docs.select("doc_id", "text", langid.held_out(F.col("doc_id")).alias("held_out")), model)
+    return found.drop("text")
+
+
 @query("op6_hilbert")
 def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(load(spark, sf_dir, "documents"))
