@@ -60,6 +60,8 @@ def exact_duplicates(docs: DataFrame, text: str = "text", order: str = "doc_id",
     groups = hashed.where(F.col(full).isNotNull()).groupBy(F.col(full).alias(key)).agg(
         F.count(F.lit(1)).alias(group_size), F.max(F.struct(F.col(order), F.col(row))).alias(best)
     )
+    # Written first: Spark splits a skewed join only where both sides come straight from a shuffle.
+    groups = scratch.keep(groups)
     # Rows of no group get keys of their own, so that the join does not send them all to one task.
     own = F.coalesce(F.col(full), F.encode(F.concat(F.lit("row "), F.col(row).cast("string")), "UTF-8"))
     out = hashed.withColumn(key, own).join(groups, key, "left")
