@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import exact_dedup, hilbert, langid, packing, simhash, suffix_dedup, warc
+from clickweave.llm import exact_dedup, hilbert, langid, lattice, packing, simhash, suffix_dedup, warc
 from clickweave.llm.common import Scratch, load
 from clickweave.plans.registry import Query
 
@@ -28,6 +28,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
+@query("op2_lattice")
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(load(spark, sf_dir, "embeddings"), least=0.93)
+
+
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
