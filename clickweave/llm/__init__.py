@@ -7,6 +7,17 @@ from types import ModuleType
 
 def worker_modules() -> list[ModuleType]:
     """Modules whose functions run in Python workers, which may start where the package cannot be imported."""
-    from clickweave.llm import exact_dedup, langid, lattice, packing, simhash, suffix_array, suffix_dedup, warc
+    from clickweave.llm import (
+        exact_dedup,
+        langid,
+        lattice,
+        packing,
+        pieces,
+        simhash,
+        suffix_array,
+        suffix_dedup,
+        trie_counts,
+        warc,
+    )
 
-    return [exact_dedup, langid, lattice, packing, simhash, suffix_array, suffix_dedup, warc]
+    return [exact_dedup, langid, lattice, packing, pieces, simhash, suffix_array, suffix_dedup, trie_counts, warc]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import exact_dedup, hilbert, langid, lattice, packing, simhash, suffix_dedup, warc
+from clickweave.llm import exact_dedup, hilbert, langid, lattice, packing, simhash, suffix_dedup, trie_counts, warc
 from clickweave.llm.common import Scratch, load
 from clickweave.plans.registry import Query
 
@@ -72,6 +72,11 @@ def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(load(spark, sf_dir, "documents"))
 
 
+@query("op7_trie_counts")
+def op7_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_counts.count_tokens(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 @query("op9_simhash")
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
