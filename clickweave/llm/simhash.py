@@ -70,15 +70,14 @@ def variants(prints: DataFrame, radius: int) -> DataFrame:
     """
     if radius != 3:
         raise ValueError("masked variants are worked out for a radius of three bits")
-    keys = []
-    for number, mask in enumerate(masks(radius)):
+
+    def under(number: int, mask: int) -> Column:
         rest = ~mask & ((1 << BITS) - 1)
-        flips = [0] + [1 << i for i in range(BITS) if rest >> i & 1]
         base = F.col("print").bitwiseAND(F.lit(signed(rest)))
-        flipped = F.transform(
-            F.array(*[F.lit(signed(f)) for f in flips]), lambda f, base=base: base.bitwiseXOR(f)
-        )
-        keys.append(F.transform(flipped, lambda k, number=number: F.struct(F.lit(number).cast("tinyint").alias("mask"), k.alias("key"))))
+        flips = F.array(*[F.lit(signed(f)) for f in [0] + [1 << i for i in range(BITS) if rest >> i & 1]])
+        return F.transform(flips, lambda f: F.struct(F.lit(number).cast("tinyint").alias("mask"), base.bitwiseXOR(f).alias("key")))
+
+    keys = [under(number, mask) for number, mask in enumerate(masks(radius))]
     return prints.select("print", F.explode(F.concat(*keys)).alias("v")).select("v.mask", "v.key", "print")
 
 
