@@ -12,6 +12,7 @@ def worker_modules() -> list[ModuleType]:
         langid,
         lattice,
         packing,
+        piece_lattice,
         pieces,
         simhash,
         suffix_array,
@@ -20,4 +21,4 @@ def worker_modules() -> list[ModuleType]:
         warc,
     )
 
-    return [exact_dedup, langid, lattice, packing, pieces, simhash, suffix_array, suffix_dedup, trie_counts, warc]
+    return [exact_dedup, langid, lattice, packing, piece_lattice, pieces, simhash, suffix_array, suffix_dedup, trie_counts, warc]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import exact_dedup, hilbert, langid, lattice, packing, simhash, suffix_dedup, trie_counts, warc
+from clickweave.llm import exact_dedup, hilbert, langid, lattice, packing, piece_lattice, simhash, suffix_dedup, trie_counts, warc
 from clickweave.llm.common import Scratch, load
 from clickweave.plans.registry import Query
 
@@ -77,6 +77,17 @@ def op7_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_counts.count_tokens(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+@query("op8_piece_lattice")
+def op8_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_lattice.encode(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_xxhash64"),
+        F.sha2(piece_lattice.decode(F.col("ids")).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query("op9_simhash")
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
