@@ -24,16 +24,17 @@ def normalise_event_time(
     """Add ``event_time`` (timestamp) and ``event_time_ms`` (epoch milliseconds).
 
     The source column may hold epoch milliseconds as a number or as text, ISO text, or a
-    timestamp. A value that is none of these gives null in both columns.
+    timestamp. A value that is none of these, or lies beyond the year 9999, gives null in both
+    columns, whatever its type and on streams as well as bounded tables.
     """
     kind = df.schema[column].dataType
     value = F.col(column)
     if isinstance(kind, (TimestampType, TimestampNTZType)):
-        ms = F.unix_millis(value.cast("timestamp"))
+        ms = _valid(F.unix_millis(value.cast("timestamp")))
     else:
         ms = _valid(value.try_cast("double").try_cast("bigint"))
         if isinstance(kind, StringType):
-            ms = F.coalesce(ms, F.unix_millis(F.try_to_timestamp(value)))
+            ms = F.coalesce(ms, _valid(F.unix_millis(F.try_to_timestamp(value))))
     if truncate_to_seconds:
         ms = ms - F.pmod(ms, F.lit(1000))
     return df.withColumn("event_time_ms", ms).withColumn(

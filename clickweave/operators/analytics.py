@@ -9,6 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def rollup_stored(table: DataFrame, user: str = "uuid") -> DataFrame:
+    """One row per session of a stored session table, with its partition columns.
+
+    A session lies in one partition, so filters on ``session_date`` and ``user_hash_bucket`` put on the result reach
+    the scan of the table as partition filters.
+    """
+    start, end = F.col("session_start_time_ms"), F.col("session_end_time_ms")
+    return (
+        table.groupBy("session_date", "user_hash_bucket", user, "session_id")
+        .agg(F.min(start).alias("session_start_time_ms"), F.max(end).alias("session_end_time_ms"), F.count(F.lit(1)).alias("event_count"))
+        .withColumn("session_duration_seconds", (end - start) / 1000.0)
+    )
+
+
 def daily_sessions(rollup: DataFrame, first: str, last: str) -> DataFrame:
     """Sessions and average duration per start date within a date range."""
     return (

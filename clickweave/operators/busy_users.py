@@ -82,13 +82,14 @@ def mark_sessions(events: DataFrame, user, time_ms, rules, with_cut, busy, cappe
 def gaps(events: DataFrame, user, time_ms, tie_break, busy) -> DataFrame:
     """Add ``gap_ms``: time since the previous moment for the first event of a moment, else 0.
 
-    ``tie_break`` tells the events of one moment apart.
+    Of the events of one moment the first in the order of ``tie_break`` (nulls first) gets the gap; of
+    events that repeat its ``tie_break`` too, one of them does.
     """
     inside = Window.partitionBy(user, "_slice").orderBy("_ms")
     slices = Window.partitionBy(user).orderBy("_slice")
     moments = cut_lineage(
         events.groupBy(user, F.col(time_ms).alias("_ms"))
-        .agg(F.min(tie_break).alias("_first"))
+        .agg(F.count(F.lit(1)).alias("_events"))
         .withColumn("_slice", F.floor(F.col("_ms") / busy.slice_ms))
         .withColumn("_previous", F.lag("_ms").over(inside))
     )
@@ -100,13 +101,16 @@ def gaps(events: DataFrame, user, time_ms, tie_break, busy) -> DataFrame:
     previous = moments.join(carried, [user, "_slice"]).select(
         user,
         F.col("_ms").alias(time_ms),
-        "_first",
+        "_events",
         F.coalesce("_previous", "_carried").alias("_previous"),
     )
-    gap = F.when(F.col(tie_break) > F.col("_first"), F.lit(0)).otherwise(
-        F.col(time_ms) - F.col("_previous")
-    )
-    return events.join(previous, [user, time_ms]).withColumn("gap_ms", gap).drop("_previous", "_first")
+    joined = events.join(previous, [user, time_ms])
+    # Only events that share their millisecond have to be ranked.
+    same_moment = Window.partitionBy(user, time_ms).orderBy(tie_break)
+    alone = joined.filter("_events = 1").withColumn("_place", F.lit(1))
+    shared = joined.filter("_events > 1").withColumn("_place", F.row_number().over(same_moment))
+    gap = F.when(F.col("_place") > 1, F.lit(0)).otherwise(F.col(time_ms) - F.col("_previous"))
+    return alone.unionByName(shared).withColumn("gap_ms", gap).drop("_previous", "_events", "_place")
 
 
 def number_within_session(sessions: DataFrame, user, time_ms, tie_break, busy) -> DataFrame:

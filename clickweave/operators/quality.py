@@ -77,6 +77,8 @@ def quality_report(
 
 def _outside(value: Column, bounds: dict[str, Any]) -> Column:
     """True for a value beyond a bound; nulls are the business of the null check."""
+    if not bounds.keys() & {"min", "max"}:
+        raise ValueError("a range needs a min, a max or both")
     tests = [value < bounds["min"]] if "min" in bounds else []
     tests += [value > bounds["max"]] if "max" in bounds else []
     return tests[0] | tests[1] if len(tests) == 2 else tests[0]
@@ -92,18 +94,23 @@ def enforce(df: DataFrame, **expectations) -> DataFrame:
 
 def uniqueness_report(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column: rows, different values (null counts as one) and surplus rows."""
-    reports = []
-    for name in columns:
-        values = df.groupBy(F.col(name)).agg(F.count(F.lit(1)).alias("n"))
-        reports.append(
-            values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count(F.lit(1)).alias("distinct_count"))
-            .withColumn("duplicates", F.col("row_count") - F.col("distinct_count"))
-            .withColumn("column_name", F.lit(name))
-        )
-    result = reports[0]
-    for other in reports[1:]:
-        result = result.unionByName(other)
-    return result
+    # One scan: each row is taken apart into (column, value), and values are counted before they are shuffled.
+    def text(name: str) -> Column:
+        # Adding zero makes -0.0 and 0.0 the same; a null field is left out of the JSON.
+        value = F.col(name) + 0.0 if dict(df.dtypes)[name] in ("float", "double") else F.col(name)
+        return F.to_json(F.struct(value.alias("v")))
+
+    cells = F.array(*[F.struct(F.lit(name).alias("column_name"), text(name).alias("value")) for name in columns])
+    values = df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    found = values.groupBy("column_name").agg(F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("distinct_count"))
+    # An empty table has no cells, but a report.
+    names = df.sparkSession.createDataFrame([(name,) for name in columns], "column_name string")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("row_count", "distinct_count")]
+    return (
+        names.join(found, "column_name", "left")
+        .select(*counts, "column_name")
+        .select("row_count", "distinct_count", (F.col("row_count") - F.col("distinct_count")).alias("duplicates"), "column_name")
+    )
 
 
 def duplicate_values(df: DataFrame, column: str) -> DataFrame:

@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable, Iterable
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The aggregates a groupBy step may name; the result column is <column>_<name>.
@@ -42,11 +42,44 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 def first_rows(df: DataFrame, count: int, order_by: Iterable[str] = ()) -> DataFrame:
     """The first rows; with ``order_by`` each task keeps only its own best ``count``."""
-    order = [F.expr(re.sub(r"(?i)\s+(asc|desc)$", "", o.strip())) for o in order_by]
-    directed = [
-        c.desc() if o.strip().lower().endswith(" desc") else c.asc() for c, o in zip(order, order_by)
-    ]
-    return (df.orderBy(*directed) if directed else df).limit(count)
+    order = [_order_item(item) for item in order_by]
+    return (df.orderBy(*order) if order else df).limit(count)
+
+
+ORDER_ITEM = re.compile(
+    r"(?is)(?P<expr>.*?)(?:\s+(?P<direction>asc|desc))?(?:\s+nulls\s+(?P<nulls>first|last))?\s*"
+)
+
+
+def _order_item(item: str) -> Column:
+    """``expression [ASC | DESC] [NULLS FIRST | NULLS LAST]``; without the last part nulls go first when ascending."""
+    found = ORDER_ITEM.fullmatch(item.strip())
+    falling = (found["direction"] or "asc").lower() == "desc"
+    nulls = (found["nulls"] or ("last" if falling else "first")).lower()
+    return getattr(F.expr(found["expr"]), f"{'desc' if falling else 'asc'}_nulls_{nulls}")()
+
+
+def split_list(text: str) -> list[str]:
+    """Items of a comma-separated list; commas within brackets or quotes do not count."""
+    items, start, depth, quote, skip = [], 0, 0, None, False
+    for at, char in enumerate(text):
+        if skip:
+            skip = False
+        elif quote:
+            if char == "\\" and quote != "`":
+                skip = True
+            elif char == quote:
+                quote = None
+        elif char in "'\"`":
+            quote = char
+        elif char in "([{":
+            depth += 1
+        elif char in ")]}":
+            depth -= 1
+        elif char == "," and depth == 0:
+            items.append(text[start:at].strip())
+            start = at + 1
+    return [*items, text[start:].strip()]
 
 
 def group_rows(df: DataFrame, keys: Iterable[str], aggregates: dict[str, str | list[str]]) -> DataFrame:
@@ -120,7 +153,7 @@ def _from_text(text: str) -> dict[str, Any]:
     if name == "distinct":
         return {"distinct": True}
     if name == "select":
-        return {"select": [c.strip() for c in re.split(r",(?![^()]*\))", rest)]}
+        return {"select": split_list(rest)}
     if name == "filter" and rest:
         return {"filter": rest}
     raise ValueError(f"unknown step {text!r}")

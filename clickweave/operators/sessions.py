@@ -46,11 +46,11 @@ class SessionRules:
 
     @property
     def gap_ms(self) -> int:
-        return int(self.inactivity_minutes * 60_000)
+        return round(self.inactivity_minutes * 60_000)
 
     @property
     def cap_ms(self) -> int:
-        return int(self.max_minutes * 60_000)
+        return round(self.max_minutes * 60_000)
 
 
 def usable_events(df: DataFrame, user: str = "uuid", time_ms: str = "event_time_ms") -> DataFrame:
@@ -132,7 +132,7 @@ def rollup_sessions(
     """
     start, end = F.min(time_ms), F.max(time_ms)
     if cap_minutes is not None:
-        end = F.least(end, start + int(cap_minutes * 60_000))
+        end = F.least(end, start + round(cap_minutes * 60_000))
     return (
         sessions.groupBy(user, "session_id")
         .agg(
@@ -185,10 +185,12 @@ def windowed_sessions(
     """Inactivity-only sessions by the built-in session window, one row per session.
 
     Works on streams as well. On bounded tables busy users are merged slice by slice instead,
-    because a session window sorts all of a user's events in one task.
+    because a session window sorts all of a user's events in one task. Events without user or
+    readable time are left out, as everywhere.
     """
-    small, large = (df, None) if df.isStreaming else busy_users.separate(df, user, busy)
-    gap = f"{int(inactivity_minutes * 60_000)} milliseconds"
+    events = usable_events(df, user, time_ms)
+    small, large = (events, None) if df.isStreaming else busy_users.separate(events, user, busy)
+    gap = f"{round(inactivity_minutes * 60_000)} milliseconds"
     window = F.session_window(F.timestamp_millis(time_ms), gap)
     if df.isStreaming:
         window = F.session_window(event_time, gap)

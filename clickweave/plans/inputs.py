@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clickweave.session import DEFAULT_CONF, shared_dir
 from clickweave.sources.envelope import to_envelope
@@ -54,6 +56,17 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_files(spark, sf_dir, schema, options={"pathGlobFilter": "events.parquet"})
 
 
+def end_marker(schema: StructType, user: str = "user_id", time: str = "ts") -> dict:
+    """One row that closes a finished stream: an event of an own user (-1) at the end of time.
+
+    It moves the watermark past every other event. Its own session or window stays open, so it never
+    reaches the output.
+    """
+    kinds = {f.name: f.dataType for f in schema}
+    row = {name: None for name in kinds} | {user: -1, time: datetime(9999, 12, 1)}
+    return row | ({"event_id": -1} if "event_id" in kinds else {})
+
+
 def click_messages(events: DataFrame) -> DataFrame:
     """Events as broker messages carrying clickstream JSON."""
     time = F.col("ts").cast("timestamp")

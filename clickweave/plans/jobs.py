@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickweave.functions.event_time import normalise_event_time, parse_timestamp
@@ -13,7 +15,8 @@ from clickweave.functions.layout import add_layout_columns, with_date_column
 from clickweave.functions.schema import to_schema
 from clickweave.operators.quality import clean_rows
 from clickweave.operators.row_ops import apply_steps
-from clickweave.operators.sessions import detect_sessions, usable_events
+from clickweave.operators.sessions import detect_sessions
+from clickweave.session import shared_dir
 from clickweave.sinks.files import write_files
 from clickweave.sinks.streams import write_stream
 from clickweave.sources.files import read_files
@@ -68,24 +71,62 @@ def run_stream(source: DataFrame, transforms: Iterable[Transform], **write) -> S
     return write_stream(source, **write)
 
 
+def with_reason(messages: DataFrame) -> DataFrame:
+    """Parsed clickstream messages with event time, their text and why they are no usable event, if so.
+
+    The reason is null for a usable event. The rule is the same for bounded tables and streams.
+    """
+    events = normalise_event_time(parse_json(messages, to_schema(CLICKSTREAM_SCHEMA)).drop(*ENVELOPE_REST))
+    reason = F.when(F.col("uuid").isNull(), "no user").when(F.col("event_time_ms").isNull(), "no readable time")
+    return events.withColumn("reason", reason)
+
+
 def clickstream_events(messages: DataFrame) -> DataFrame:
-    """Typed clickstream events from envelope rows, with event time."""
-    events = parse_json(messages, to_schema(CLICKSTREAM_SCHEMA), keep_value=False)
-    events = events.filter("uuid IS NOT NULL AND event_timestamp IS NOT NULL")
-    return usable_events(normalise_event_time(events.drop(*ENVELOPE_REST)))
+    """Typed clickstream events from envelope rows, with event time; see ``clickstream_rejects`` for the others."""
+    return with_reason(messages).filter("reason IS NULL").drop("reason", "value")
+
+
+def clickstream_rejects(messages: DataFrame) -> DataFrame:
+    """``value`` and ``reason`` of the messages that ``clickstream_events`` leaves out."""
+    return with_reason(messages).filter("reason IS NOT NULL").select("value", "reason")
 
 
-def sessions_batch(messages: DataFrame, sink: Callable[[DataFrame], None], **limits) -> None:
-    """Bounded messages to sessionised event rows with layout columns."""
+def land(events: DataFrame, path: str) -> DataFrame:
+    """Write typed rows once and read them back, so that later passes neither read nor parse messages again."""
+    events.write.parquet(path)
+    return events.sparkSession.read.schema(events.schema).parquet(path)
+
+
+def sessions_batch(
+    messages: DataFrame,
+    sink: Callable[[DataFrame], None],
+    rejects: Callable[[DataFrame], None] | None = None,
+    landing: str | None = None,
+    **limits,
+) -> None:
+    """Bounded messages to sessionised event rows with layout columns; what is no event goes to ``rejects``.
+
+    Messages are read and parsed once, into Parquet at ``landing`` (by default a new folder under the shared
+    one), before anything is counted: the busy users are counted on the landed user column while
+    the plan is built, which runs a job. The landed rows are needed until ``sink`` has run.
+    """
+    spark = messages.sparkSession
+    path = landing or f"{shared_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    landed = land(with_reason(messages), path)
+    if rejects is not None:
+        rejects(landed.filter("reason IS NOT NULL").select("value", "reason"))
     run_batch(
-        messages,
-        [clickstream_events, lambda e: detect_sessions(e, **limits), add_layout_columns],
+        landed.filter("reason IS NULL").drop("reason", "value"),
+        [lambda e: detect_sessions(e, **limits), add_layout_columns],
         sink,
     )
 
 
 def sessions_stream(messages: DataFrame, limits: dict | None = None, **write) -> StreamingQuery:
-    """Message stream to a session table partitioned by date and user bucket."""
+    """Message stream to a session table partitioned by date and user bucket.
+
+    ``rejects_stream`` is a second query over the same messages, for what is no event.
+    """
     return run_stream(
         messages,
         [clickstream_events, lambda e: stream_session_events(e, **(limits or {})), add_layout_columns],
@@ -95,15 +136,32 @@ def sessions_stream(messages: DataFrame, limits: dict | None = None, **write) ->
     )
 
 
+def rejects_stream(messages: DataFrame, **write) -> StreamingQuery:
+    """Messages that are no usable clickstream event, with the reason."""
+    return run_stream(messages, [clickstream_rejects], **write)
+
+
+REQUIRED = ("event_id", "event_type", "user_id", "timestamp")
+
+
+def _parsed_user_events(messages: DataFrame) -> DataFrame:
+    return parse_timestamp(parse_json(messages, to_schema(USER_EVENT_SCHEMA)), "timestamp", USER_EVENT_TIME)
+
+
+def typed_rejects(messages: DataFrame) -> DataFrame:
+    """``value`` and ``reason`` (the first required field that is missing or unreadable) of what ``typed_events`` leaves out."""
+    events = _parsed_user_events(messages)
+    reason = F.coalesce(*[F.when(F.col(c).isNull(), f"no {c}") for c in REQUIRED])
+    return events.select("value", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def typed_events(messages: DataFrame, delay: str = "10 minutes", by_date: bool = False) -> DataFrame:
-    """Typed user events without heartbeats; the stamp is the processing time."""
-    events = parse_json(messages, to_schema(USER_EVENT_SCHEMA))
-    events = parse_timestamp(with_processing_time(events), "timestamp", USER_EVENT_TIME)
-    required = " AND ".join(f"{c} IS NOT NULL" for c in ("event_id", "event_type", "user_id", "timestamp"))
+    """Typed user events without heartbeats; the stamp is the processing time. See ``typed_rejects`` for the others."""
+    events = with_processing_time(_parsed_user_events(messages))
     events = apply_steps(
         events,
         [
-            {"filter": required},
+            {"filter": " AND ".join(f"{c} IS NOT NULL" for c in REQUIRED)},
             {"filter": "event_type != 'heartbeat'"},
             {"watermark": f"timestamp, {delay}"},
             {"drop": ["value", "kafka_timestamp", *ENVELOPE_REST]},

@@ -17,7 +17,8 @@ from clickweave.operators.sessions import (
     tumbling_sessions,
     windowed_sessions,
 )
-from clickweave.plans.inputs import clicks, table
+from clickweave.plans import jobs
+from clickweave.plans.inputs import click_messages, clicks, scratch, table
 from clickweave.plans.registry import query
 from clickweave.plans.sql_parts import (
     BIN_SESSIONS,
@@ -32,6 +33,7 @@ from clickweave.plans.sql_parts import (
     bucket,
     islands,
 )
+from clickweave.sinks.tables import write_table
 
 LIMITS = {"inactivity_minutes": INACTIVITY_MINUTES, "max_minutes": MAX_MINUTES}
 # Every user through the path for oversized users, in slices of one day.
@@ -231,7 +233,24 @@ def user_bucket_query(spark, sf_dir):
 # Analytics ---------------------------------------------------------------------------------
 
 DATES = ("2024-01-05", "2024-01-20")
-BUCKETS = [10, 25, 50, 75]
+BUCKETS = [3, 29, 61, 88]
+LOOKUP_DATE, LOOKUP_BUCKET = "2024-01-09", 29
+STORED: dict[tuple, str] = {}
+
+
+def stored_sessions(spark, sf_dir):
+    """The session table of the batch job, by date and user bucket; written once per application and table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in STORED:
+        path = scratch(spark, "session_table")
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        jobs.sessions_batch(
+            click_messages(table(spark, sf_dir, "events")),
+            lambda df: write_table(df, name, "create", ["session_date", "user_hash_bucket"], location=path),
+            **LIMITS,
+        )
+        STORED[key] = name
+    return spark.table(STORED[key])
 
 
 @query(
@@ -241,7 +260,7 @@ BUCKETS = [10, 25, 50, 75]
     FROM rollup WHERE session_date BETWEEN '{DATES[0]}' AND '{DATES[1]}' GROUP BY session_date""",
 )
 def daily(spark, sf_dir):
-    report = analytics.daily_sessions(rollup(spark, sf_dir), *DATES)
+    report = analytics.daily_sessions(analytics.rollup_stored(stored_sessions(spark, sf_dir)), *DATES)
     return report.withColumn("avg_duration", F.round("avg_duration", 3)).orderBy("session_date")
 
 
@@ -250,19 +269,19 @@ def daily(spark, sf_dir):
     f"""WITH {CLICKS}, b AS (SELECT DISTINCT uuid FROM clicks),
     c AS (SELECT uuid, {bucket('uuid')} AS user_hash_bucket FROM b)
     SELECT user_hash_bucket, count(*) AS unique_users FROM c
-    WHERE user_hash_bucket IN (10, 25, 50, 75) GROUP BY user_hash_bucket""",
+    WHERE user_hash_bucket IN (3, 29, 61, 88) GROUP BY user_hash_bucket""",
 )
 def cohort(spark, sf_dir):
-    return analytics.bucket_cohort(add_layout_columns(sessions(spark, sf_dir)), BUCKETS)
+    return analytics.bucket_cohort(stored_sessions(spark, sf_dir), BUCKETS)
 
 
 @query(
     "session_lookup",
     f"""{ROLLUP} SELECT uuid, session_id, session_duration_seconds FROM rollup
-    WHERE session_date = '2024-01-16' AND {bucket('uuid')} = 42""",
+    WHERE session_date = '{LOOKUP_DATE}' AND {bucket('uuid')} = {LOOKUP_BUCKET}""",
 )
 def lookup(spark, sf_dir):
-    return analytics.session_lookup(rollup(spark, sf_dir), "2024-01-16", 42)
+    return analytics.session_lookup(analytics.rollup_stored(stored_sessions(spark, sf_dir)), LOOKUP_DATE, LOOKUP_BUCKET)
 
 
 @query(
@@ -271,8 +290,8 @@ def lookup(spark, sf_dir):
     " FROM rollup WHERE uuid = '8'",
 )
 def user_lookup(spark, sf_dir):
-    found = for_user(rollup(spark, sf_dir), "8")
-    return found.select("uuid", "session_id", "session_date", "user_hash_bucket")
+    found = for_user(analytics.rollup_stored(stored_sessions(spark, sf_dir)), "8")
+    return found.select("uuid", "session_id", F.col("session_date").cast("string").alias("session_date"), "user_hash_bucket")
 
 
 @query(
@@ -320,7 +339,7 @@ def balance(spark, sf_dir):
     f" (SELECT uuid, count(DISTINCT {bucket('uuid')}) AS n FROM clicks GROUP BY uuid)",
 )
 def consistency(spark, sf_dir):
-    conflicts = analytics.bucket_conflicts(add_layout_columns(sessions(spark, sf_dir)))
+    conflicts = analytics.bucket_conflicts(stored_sessions(spark, sf_dir))
     return conflicts.agg(F.count(F.lit(1)).alias("conflicting_users"))
 
 
@@ -390,3 +409,46 @@ def page_activity(events):
         F.col("event_type").alias("page"),
         F.get_json_object("props", "$.k").cast("bigint").alias("duration_seconds"),
     )
+
+
+def pruned_sql(test: str) -> str:
+    return f"""{BIN_SESSIONS}, placed AS (SELECT strftime(epoch_ms(s), '%Y-%m-%d') AS session_date,
+        {bucket('uuid')} AS user_hash_bucket FROM sess)
+    SELECT count(*) AS event_count FROM placed WHERE {test}"""
+
+
+@query("pruned_counts", pruned_sql(f"session_date = '{LOOKUP_DATE}'"))
+def pruned_counts(spark, sf_dir):
+    return analytics.pruned_count(stored_sessions(spark, sf_dir), date=LOOKUP_DATE)
+
+
+@query("pruned_counts_bucket", pruned_sql("user_hash_bucket IN (3, 29, 61, 88)"))
+def pruned_counts_bucket(spark, sf_dir):
+    return analytics.pruned_count(stored_sessions(spark, sf_dir), buckets=BUCKETS)
+
+
+@query("pruned_counts_both", pruned_sql(f"session_date = '{LOOKUP_DATE}' AND user_hash_bucket IN (3, 29, 61, 88)"))
+def pruned_counts_both(spark, sf_dir):
+    return analytics.pruned_count(stored_sessions(spark, sf_dir), date=LOOKUP_DATE, buckets=BUCKETS)
+
+
+@query(
+    "session_window_batch_sliced",
+    f"""WITH {CLICKS}, {islands()}
+    SELECT uuid, uuid || '_session_' || min(ms) AS session_id, min(ms) AS session_start_time_ms,
+        max(ms) AS session_end_time_ms, count(*) AS event_count,
+        (max(ms) - min(ms)) / 1000.0::DOUBLE AS session_duration_seconds
+    FROM isl GROUP BY uuid, island""",
+)
+def session_window_batch_sliced(spark, sf_dir):
+    return windowed_sessions(clicks(spark, sf_dir), inactivity_minutes=INACTIVITY_MINUTES, busy=ALL_BUSY)
+
+
+@query(
+    "session_readable_times",
+    f"""{BIN_SESSIONS} SELECT uuid, event_id, strftime(epoch_ms(s), '%Y-%m-%d %H:%M:%S') AS session_start,
+        strftime(epoch_ms(e), '%Y-%m-%d %H:%M:%S') AS session_end FROM sess""",
+)
+def session_readable_times(spark, sf_dir):
+    texts = [F.date_format(f"session_{n}_time", "yyyy-MM-dd HH:mm:ss").alias(f"session_{n}") for n in ("start", "end")]
+    return sessions(spark, sf_dir).select("uuid", "event_id", *texts)

@@ -1,8 +1,9 @@
 """Registered queries: Structured Streaming over the events table.
 
 Every query runs a real stream to completion (all files there are, then stop) into a sink under
-the shared folder and returns what the sink holds. Operators with a watermark emit only what the
-watermark has closed when the stream stops; the check SQL applies the same rule.
+the shared folder and returns what the sink holds. Streams with open sessions or windows are closed by
+an end marker, so they return what the bounded operators return. ``stream_late_data`` alone is about what the
+watermark has passed, and its SQL applies the same rule.
 """
 
 from __future__ import annotations
@@ -10,19 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.functions.layout import add_layout_columns
 from clickweave.operators.row_ops import apply_steps
 from clickweave.plans import jobs
 from clickweave.plans.inputs import (
+    as_clicks,
     click_messages,
     click_stream,
+    end_marker,
     event_stream,
     scratch,
     table,
 )
 from clickweave.plans.registry import query
 from clickweave.plans.session_queries import EVENT_OUTPUT, LIMITS, TUMBLING, page_activity
-from clickweave.plans.sql_parts import CLICKS, GAP_MS, INACTIVITY_MINUTES, greedy, islands
+from clickweave.plans.sql_parts import CLICKS, INACTIVITY_MINUTES, greedy, islands
 from clickweave.plans.table_queries import user_event_messages
 from clickweave.sinks.streams import kafka_payload, write_stream
 from clickweave.sources.files import stream_files
@@ -34,7 +36,6 @@ from clickweave.streaming.windows import (
 )
 
 DRAIN = {"availableNow": True}
-TEN_MINUTES = 600_000
 
 
 def drain(df: DataFrame, label: str, **options) -> DataFrame:
@@ -45,8 +46,27 @@ def drain(df: DataFrame, label: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def watermark_cte(delay_ms: int = TEN_MINUTES) -> str:
-    return f"wm AS (SELECT max((epoch_us(ts) // 1000)) - {delay_ms} AS mark FROM events)"
+def drain_whole(spark, sf_dir: str, build, label: str, run=None, **options) -> DataFrame:
+    """Run a stream over the whole events table and close it, so that its result is complete.
+
+    The stream reads the table and a folder of its own that is empty at first. Once everything available has been
+    taken, the end marker is put there, and the stream goes on from its checkpoint until the marker's
+    watermark has closed all that is open.
+    """
+    events = event_stream(spark, sf_dir)
+    closing, path, checkpoint = (scratch(spark, f"{label}-{part}") for part in ("closing", "out", "checkpoint"))
+    spark.createDataFrame([], events.schema).write.parquet(closing)
+    for step in ("table", "marker"):
+        if step == "marker":
+            row = end_marker(events.schema)
+            spark.createDataFrame([tuple(row[c] for c in events.columns)], events.schema).write.mode("append").parquet(closing)
+        source = event_stream(spark, sf_dir).unionByName(stream_files(spark, closing, events.schema))
+        if run is not None:
+            run(source, checkpoint=checkpoint, path=path, trigger=DRAIN).awaitTermination()
+        else:
+            df = build(source)
+            write_stream(df, checkpoint, path=path, trigger=DRAIN, **options).awaitTermination()
+    return spark.read.parquet(path)
 
 
 @query("stream_to_files", "SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'")
@@ -112,15 +132,17 @@ def stream_payload(spark, sf_dir):
 
 @query(
     "stream_session_window",
-    f"""WITH {CLICKS}, {watermark_cte()}, {islands()}
+    f"""WITH {CLICKS}, {islands()}
     SELECT uuid, uuid || '_session_' || min(ms) AS session_id, min(ms) AS session_start_time_ms,
         max(ms) AS session_end_time_ms, count(*) AS event_count,
         (max(ms) - min(ms)) / 1000.0::DOUBLE AS session_duration_seconds
-    FROM isl GROUP BY uuid, island HAVING max(ms) + {GAP_MS} < (SELECT mark FROM wm)""",
+    FROM isl GROUP BY uuid, island""",
 )
 def stream_session_window(spark, sf_dir):
-    closed = stream_windowed_sessions(click_stream(spark, sf_dir), inactivity_minutes=INACTIVITY_MINUTES)
-    return drain(closed, "stream_session_window")
+    def build(events):
+        return stream_windowed_sessions(as_clicks(events), inactivity_minutes=INACTIVITY_MINUTES)
+
+    return drain_whole(spark, sf_dir, build, "stream_session_window")
 
 
 @query("stream_tumbling_sessions", TUMBLING)
@@ -131,21 +153,22 @@ def stream_tumbling(spark, sf_dir):
 
 @query(
     "stream_windowed_user_agg",
-    f"""WITH {watermark_cte(3 * TEN_MINUTES)}, w AS (
+    """WITH w AS (
         SELECT CAST(user_id AS VARCHAR) AS user_id, (epoch_us(ts) // 1000) // 1800000 * 1800000 AS window_start_ms,
             CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
     SELECT user_id, window_start_ms, CAST(sum(k) AS BIGINT) AS duration_seconds_sum, count(*) AS page_count
-    FROM w WHERE window_start_ms + 1800000 <= (SELECT mark FROM wm) GROUP BY 1, 2""",
+    FROM w GROUP BY 1, 2""",
 )
 def stream_windowed_user_agg(spark, sf_dir):
-    totals = stream_windowed_activity(page_activity(event_stream(spark, sf_dir)), ["user_id"])
-    rows = totals.select(
-        "user_id",
-        F.unix_millis("window.start").alias("window_start_ms"),
-        "duration_seconds_sum",
-        "page_count",
-    )
-    return drain(rows, "stream_windowed")
+    def build(events):
+        return stream_windowed_activity(page_activity(events), ["user_id"]).select(
+            "user_id",
+            F.unix_millis("window.start").alias("window_start_ms"),
+            "duration_seconds_sum",
+            "page_count",
+        )
+
+    return drain_whole(spark, sf_dir, build, "stream_windowed")
 
 
 LATE_CUT = "2024-01-20"
@@ -184,37 +207,29 @@ def stream_late_data(spark, sf_dir):
     return spark.read.parquet(target)
 
 
-def stream_sessions_sql(settled: str) -> str:
-    """Greedy sessions of the events up to the watermark, or up to its last full second."""
-    return f"""
-WITH RECURSIVE {watermark_cte()}, all_{CLICKS.strip()},
-clicks AS (SELECT * FROM all_clicks WHERE ms <= (SELECT {settled} FROM wm)), {islands()}, {greedy()}"""
-
-
-STREAM_SESSIONS = stream_sessions_sql("mark")
+STREAM_SESSIONS = f"WITH RECURSIVE {CLICKS}, {islands()}, {greedy()}"
 
 
 @query(
     "stream_sessions_capped",
-    f"""{stream_sessions_sql("mark // 1000 * 1000 - 1")}
+    f"""{STREAM_SESSIONS}
     SELECT uuid, uuid || '_session_' || s AS session_id, s AS session_start_time_ms,
         max(ms) AS session_end_time_ms, count(*) AS event_count,
         (max(ms) - s) / 1000.0::DOUBLE AS session_duration_seconds
-    FROM sess GROUP BY uuid, s, n
-    HAVING max(ms) + {GAP_MS} < (SELECT mark // 1000 * 1000 - 1 FROM wm)
-        OR n < (SELECT max(n) FROM starts WHERE starts.uuid = sess.uuid)""",
+    FROM sess GROUP BY uuid, s, n""",
 )
 def stream_sessions_capped(spark, sf_dir):
-    closed = stream_capped_sessions(click_stream(spark, sf_dir), **LIMITS)
-    rows = closed.select(
-        "uuid",
-        "session_id",
-        "session_start_time_ms",
-        "session_end_time_ms",
-        "event_count",
-        "session_duration_seconds",
-    )
-    return drain(rows, "stream_capped", stateful=True)
+    def build(events):
+        return stream_capped_sessions(as_clicks(events), **LIMITS).select(
+            "uuid",
+            "session_id",
+            "session_start_time_ms",
+            "session_end_time_ms",
+            "event_count",
+            "session_duration_seconds",
+        )
+
+    return drain_whole(spark, sf_dir, build, "stream_capped", stateful=True)
 
 
 @query(
@@ -224,8 +239,10 @@ def stream_sessions_capped(spark, sf_dir):
         ms AS session_end_time_ms, (ms - s) / 1000.0::DOUBLE AS session_duration_seconds FROM sess""",
 )
 def stream_events(spark, sf_dir):
-    rows = stream_session_events(click_stream(spark, sf_dir), **LIMITS)
-    return drain(rows.select(*EVENT_OUTPUT), "stream_session_events", stateful=True)
+    def build(events):
+        return stream_session_events(as_clicks(events), **LIMITS).select(*EVENT_OUTPUT)
+
+    return drain_whole(spark, sf_dir, build, "stream_session_events", stateful=True)
 
 
 @query(
@@ -248,22 +265,20 @@ def job_typed_events_stream(spark, sf_dir):
 
 @query(
     "job_activity_stream",
-    f"""WITH {watermark_cte(3 * TEN_MINUTES)}, w AS (
+    """WITH w AS (
         SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS session_id,
             (epoch_us(ts) // 1000) // 1800000 * 1800000 AS window_start_ms,
             CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
     SELECT user_id, session_id, window_start_ms, CAST(sum(k) AS BIGINT) AS duration_seconds_sum,
         count(*) AS page_count, strftime(epoch_ms(window_start_ms), '%Y-%m-%d') AS window_day
-    FROM w WHERE window_start_ms + 1800000 <= (SELECT mark FROM wm) GROUP BY ALL""",
+    FROM w GROUP BY ALL""",
 )
 def job_activity_stream(spark, sf_dir):
-    pages = page_activity(event_stream(spark, sf_dir)).withColumn("session_id", F.col("page"))
-    messages = pages.select(F.to_json(F.struct(*pages.columns)).alias("value"))
-    path = scratch(spark, "activity")
-    jobs.activity_stream(
-        messages, checkpoint=scratch(spark, "activity_checkpoint"), path=path, trigger=DRAIN
-    ).awaitTermination()
-    return spark.read.parquet(path).select(
+    def run(events, **write):
+        pages = page_activity(events).withColumn("session_id", F.col("page"))
+        return jobs.activity_stream(pages.select(F.to_json(F.struct(*pages.columns)).alias("value")), **write)
+
+    return drain_whole(spark, sf_dir, None, "activity", run=run).select(
         "user_id",
         "session_id",
         F.unix_millis("window.start").alias("window_start_ms"),
@@ -280,18 +295,12 @@ def job_activity_stream(spark, sf_dir):
         strftime(epoch_ms(s), '%Y-%m-%d') AS session_date FROM sess""",
 )
 def job_sessions_stream(spark, sf_dir):
-    """Messages to a session table, written by date only to keep the small table's files few."""
-    path = scratch(spark, "sessions_stream")
-    jobs.run_stream(
-        click_messages(event_stream(spark, sf_dir)),
-        [jobs.clickstream_events, lambda e: stream_session_events(e, **LIMITS), add_layout_columns],
-        checkpoint=scratch(spark, "sessions_stream_checkpoint"),
-        path=path,
-        trigger=DRAIN,
-        stateful=True,
-        partition_by=["session_date"],
-    ).awaitTermination()
-    return spark.read.parquet(path).select(
+    """Messages to a session table by date and user bucket."""
+
+    def run(events, **write):
+        return jobs.sessions_stream(click_messages(events), limits=LIMITS, **write)
+
+    return drain_whole(spark, sf_dir, None, "sessions_stream", run=run).select(
         "uuid",
         "event_id",
         "page_name",

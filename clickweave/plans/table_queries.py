@@ -17,8 +17,8 @@ from clickweave.plans.session_queries import LIMITS, page_activity
 from clickweave.plans.sql_parts import BIN_SESSIONS, ROLLUP_COLUMNS
 from clickweave.sinks.files import write_files
 from clickweave.sinks.streams import kafka_payload
-from clickweave.sinks.tables import table_partitions, write_table
-from clickweave.sources.files import rate_events, read_files, read_table
+from clickweave.sinks.tables import table_columns, table_partitions, table_properties, write_table
+from clickweave.sources.files import read_files, read_table
 
 # Sources and sinks -------------------------------------------------------------------------
 
@@ -43,23 +43,6 @@ def table_scan(spark, sf_dir):
     return read_table(spark, name).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
-@query(
-    "rate_projection",
-    """SELECT CAST(event_id AS VARCHAR) AS event_id,
-        CASE event_id % 3 WHEN 0 THEN 'click' WHEN 1 THEN 'view' ELSE 'purchase' END AS event_type,
-        'user_' || (event_id % 10) AS user_id, (epoch_us(ts) // 1000) AS ms, 'session_' || (event_id % 5) AS session_id,
-        'https://example.com/page' || (event_id % 20) AS page_url,
-        CASE event_id % 2 WHEN 0 THEN 'button_click' ELSE 'scroll' END AS action,
-        CAST(event_id * 100 AS INTEGER) AS duration_ms
-    FROM events""",
-)
-def rate_projection(spark, sf_dir):
-    numbered = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("value"), F.col("ts").cast("timestamp").alias("timestamp")
-    )
-    return rate_events(numbered).withColumn("ms", F.unix_millis("timestamp")).drop("timestamp")
-
-
 CLICK_FIELDS = """
     CAST(event_id AS VARCHAR) AS event_id, event_type AS page_name,
     CAST((epoch_us(ts) // 1000) AS VARCHAR) AS event_timestamp,
@@ -142,6 +125,60 @@ def table_overwrite_partitions(spark, sf_dir):
     return spark.table(name)
 
 
+@query(
+    "table_merge_schema",
+    """SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN NULL ELSE value END AS value FROM events""",
+)
+def table_merge_schema(spark, sf_dir):
+    """Later rows bring a column that the table lacks."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    name = _saved(spark, events.filter("event_type = 'click'").drop("value"), "merge")
+    write_table(events.filter("event_type <> 'click'"), name, "append", merge_schema=True)
+    return spark.table(name)
+
+
+@query(
+    "table_metadata",
+    "SELECT * FROM (VALUES ('event_id', 'bigint'), ('event_type', 'string'), ('kept', 'yes')) AS t(name, value)",
+)
+def table_metadata(spark, sf_dir):
+    """Columns and an own property, as the catalog has them."""
+    name = _saved(spark, table(spark, sf_dir, "events").select("event_id", "event_type"), "meta")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('kept' = 'yes')")
+    columns = table_columns(spark, name).select(F.col("col_name").alias("name"), F.col("data_type").alias("value"))
+    return columns.union(table_properties(spark, name).filter("key = 'kept'").select("key", "value"))
+
+
+@query(
+    "job_rejects",
+    """SELECT CAST(event_id AS VARCHAR) AS event_id,
+        CASE WHEN event_id % 7 = 0 THEN 'no user' ELSE 'no readable time' END AS reason
+    FROM events WHERE event_id % 7 = 0 OR event_id % 5 = 0""",
+)
+def job_rejects(spark, sf_dir):
+    """Every seventh event loses its user, every fifth gets a time beyond the year 9999."""
+    events = table(spark, sf_dir, "events")
+    messages = click_messages(events)
+    fields = F.from_json("value", "event_id STRING, page_name STRING, event_timestamp STRING, uuid STRING")
+    number = F.col("f.event_id").cast("bigint")
+    broken = F.struct(
+        "f.event_id",
+        "f.page_name",
+        F.when(number % 5 == 0, F.lit("300000000000000")).otherwise(F.col("f.event_timestamp")).alias("event_timestamp"),
+        F.when(number % 7 != 0, F.col("f.uuid")).alias("uuid"),
+    )
+    messages = messages.withColumn("f", fields).withColumn("value", F.to_json(broken)).drop("f")
+    path = scratch(spark, "rejects")
+    jobs.sessions_batch(
+        messages,
+        lambda df: df.write.format("noop").mode("overwrite").save(),
+        rejects=lambda df: df.write.parquet(path),
+        **LIMITS,
+    )
+    found = read_files(spark, path)
+    return found.select(F.get_json_object("value", "$.event_id").alias("event_id"), "reason")
+
+
 @query("table_replace", "SELECT event_type, count(*) AS event_count FROM events GROUP BY event_type")
 def table_replace(spark, sf_dir):
     events = table(spark, sf_dir, "events")
@@ -166,16 +203,6 @@ def partitions(spark, sf_dir):
     return table_partitions(spark, name)
 
 
-@query(
-    "pruned_counts",
-    f"""{BIN_SESSIONS} SELECT count(*) AS event_count FROM sess
-    WHERE strftime(epoch_ms(s), '%Y-%m-%d') = '2024-01-16'""",
-)
-def pruned_counts(spark, sf_dir):
-    name = _saved(spark, _by_day(spark, sf_dir), "pruned", partition_by=["session_date"])
-    return analytics.pruned_count(spark.table(name), date="2024-01-16")
-
-
 @query(
     "date_partition_column",
     """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_day FROM orders""",
@@ -316,6 +343,20 @@ def row_select(spark, sf_dir):
     return apply_steps(table(spark, sf_dir, "events"), [{"select": ["event_id", "upper(event_type) AS kind"]}])
 
 
+@query(
+    "row_select_text",
+    """SELECT event_id, concat(event_type, ', ', upper(trim(event_type))) AS label,
+        CASE WHEN user_id IN (1, 2, 3) THEN 'few' ELSE 'rest' END AS kind FROM events""",
+)
+def row_select_text(spark, sf_dir):
+    text = (
+        "select: event_id, concat(event_type, ', ', upper(trim(event_type))) AS label,"
+        " CASE WHEN array_contains(array(1, 2, 3), user_id) THEN 'few' ELSE 'rest' END AS kind"
+    )
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.col("user_id").cast("int"))
+    return apply_steps(events, [text])
+
+
 @query("row_drop", "SELECT event_id, user_id, event_type FROM events")
 def row_drop(spark, sf_dir):
     return apply_steps(table(spark, sf_dir, "events"), [{"drop": ["ts", "value", "props", "absent"]}])
@@ -336,7 +377,7 @@ def row_distinct(spark, sf_dir):
 def row_top_n(spark, sf_dir):
     steps = [
         {"select": ["event_id", "user_id", "value"]},
-        {"limit": 10, "order_by": ["value DESC", "event_id"]},
+        {"limit": 10, "order_by": ["value DESC NULLS LAST", "event_id"]},
     ]
     return apply_steps(table(spark, sf_dir, "events"), steps)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -93,20 +95,24 @@ def write_table(
     format: str = "parquet",
     properties: dict[str, str] | None = None,
     location: str | None = None,
+    merge_schema: bool = False,
 ) -> None:
     """Write a bounded table.
 
     ``create`` fails if the table exists; ``replace`` swaps its whole content; ``append`` adds
     rows; ``overwrite`` replaces only the partitions present in ``df``. The last two create the
-    table when it is absent.
+    table when it is absent. Both raise an error if the columns differ from the table's; with ``merge_schema``
+    new columns are added to the table first, and columns that ``df`` lacks are null.
     """
     if mode not in TABLE_MODES:
         raise ValueError(f"unsupported table mode {mode!r}; choose from {TABLE_MODES}")
     if format == "iceberg":
         _write_v2(df, name, mode, partition_by, properties)
         return
-    rows = gather_partitions(df, partition_by)
     exists = df.sparkSession.catalog.tableExists(name)
+    if exists and mode in ("append", "overwrite"):
+        df = match_columns(df, name, merge_schema)
+    rows = gather_partitions(df, partition_by)
     if mode == "overwrite" and exists:
         _replace_partitions(rows, name)
         return
@@ -119,16 +125,38 @@ def write_table(
     writer.partitionBy(*partition_by).saveAsTable(name)
 
 
+def match_columns(df: DataFrame, name: str, merge_schema: bool = False) -> DataFrame:
+    """``df`` with the columns of a table in its order, after adding new ones to the table if asked to."""
+    spark = df.sparkSession
+    there = spark.table(name).columns
+    known, given = {c.lower() for c in there}, {c.lower() for c in df.columns}
+    if known != given and not merge_schema:
+        raise ValueError(f"columns differ from those of {name}: {sorted(known ^ given)}")
+    new = [f for f in df.schema.fields if f.name.lower() not in known]
+    if new:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+    kinds = spark.table(name).schema
+    return df.select(
+        *[df[f"`{f.name}`"] if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name) for f in kinds]
+    )
+
+
 def _replace_partitions(rows: DataFrame, name: str) -> None:
-    # insertInto goes by position, so follow the table's own column order. It takes the overwrite
-    # mode from the session, not from writer options.
-    spark, setting = rows.sparkSession, "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
+    # insertInto goes by position, and the rows follow the table's own column order. It takes the overwrite
+    # mode from the session, so the write has a session of its own that other writes cannot see.
+    spark, view = rows.sparkSession, f"rows_{uuid.uuid4().hex}"
+    own = spark.newSession()
+    for setting in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(setting, spark.conf.get(setting))
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows.createGlobalTempView(view)
     try:
-        rows.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+        target = name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
+        own.table(f"global_temp.{view}").write.mode("overwrite").insertInto(target)
     finally:
-        spark.conf.set(setting, before)
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(name)
 
 
 def _write_v2(df: DataFrame, name, mode, partition_by, properties) -> None:

@@ -24,9 +24,6 @@ from clickweave.streaming.windows import DEFAULT_DELAY
 OPEN_SCHEMA = "start bigint, last bigint, events bigint"
 # Fixed value: moments are handed on once the watermark has passed the second they lie in.
 SETTLING = "1 second"
-# Fixed value: a Python worker's clock counts nanoseconds and ends in the year 2262. A later time
-# is a broken clock; it would also move the watermark past every real event.
-END_OF_CLOCK_MS = 9223372036854
 # Keep microseconds when an event travels as JSON.
 JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -53,11 +50,12 @@ def stream_capped_sessions(
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
     key_type = events.schema[user].dataType.simpleString()
     moments = (
-        _within_clock(events, user, time_ms)
+        usable_events(events, user, time_ms)
         .withWatermark(event_time, delay)
         .groupBy(F.col(user), F.col(time_ms).alias("moment"), F.window(event_time, SETTLING).alias("second"))
         .agg(F.count(F.lit(1)).alias("events"))
-        .select(user, "moment", "events", F.window_time("second").alias("settled"))
+        # Python sees whole milliseconds only: its timestamps end in the year 2262.
+        .select(user, "moment", "events")
     )
     closed = moments.groupBy(user).transformWithStateInPandas(
         statefulProcessor=ClosedSessions(user, rules.gap_ms, rules.cap_ms),
@@ -89,11 +87,10 @@ def stream_session_events(
     key_type = events.schema[user].dataType.simpleString()
     # The rest of the event is of no interest to the processor and travels as one JSON text.
     packed = (
-        _within_clock(events, user, time_ms)
+        usable_events(events, user, time_ms)
         .withWatermark(event_time, delay)
         .select(
             user,
-            event_time,
             F.col(time_ms).alias("moment"),
             F.to_json(F.struct(*columns), JSON_OPTIONS).alias("packed"),
         )
@@ -215,10 +212,16 @@ class SessionEvents(_PerUser):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.waiting = handle.getListState("waiting", "moment bigint, packed string")
+        self.passed = handle.getValueState("passed", "watermark bigint")
 
     def keep(self, rows: Iterator[pd.DataFrame]) -> None:
+        # What the watermark had passed when this user's events were last handed on is late.
+        passed = self.passed.get()[0] if self.passed.exists() else None
         for batch in rows:
-            self.waiting.appendList(list(zip(batch["moment"].tolist(), batch["packed"].tolist())))
+            if passed is not None:
+                batch = batch[batch["moment"] > passed]
+            if len(batch):
+                self.waiting.appendList(list(zip(batch["moment"].tolist(), batch["packed"].tolist())))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         self.keep(rows)
@@ -244,6 +247,8 @@ class SessionEvents(_PerUser):
                 }
             )
             start, last = int(starts[-1]), int(moments[ripe - 1])
+        if watermark > 0:
+            self.passed.update((watermark,))
         if start is not None and last + self.gap_ms < watermark:
             start = None
             self.open.clear()
@@ -261,10 +266,6 @@ class SessionEvents(_PerUser):
             yield frame
 
 
-def _within_clock(events: DataFrame, user: str, time_ms: str) -> DataFrame:
-    return usable_events(events, user, time_ms).filter(F.abs(time_ms) < END_OF_CLOCK_MS)
-
-
 def _describe(df: DataFrame, user: str) -> DataFrame:
     start, end = F.col("session_start_time_ms"), F.col("session_end_time_ms")
     return df.withColumns(

@@ -244,3 +244,24 @@ def test_one_exchange_for_ordinary_users(spark):
     assert plan.count("Exchange ") == 1
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
     assert plan_of(detect_sessions(events, busy=None)).count("Exchange ") == 1
+
+
+@pytest.mark.parametrize("busy", [None, BusyUsers(rows=0, slice_minutes=1)])
+def test_gaps_of_repeated_and_null_ids(spark, busy):
+    rows = [("u", 1000, 1), ("u", 5000, 2), ("u", 5000, 2), ("u", 5000, None), ("u", 9000, 3), (None, 10, 4)]
+    frame = spark.createDataFrame(rows, "uuid string, event_time_ms bigint, event_id bigint")
+    found = [(r.event_time_ms, r.gap_ms) for r in session_gaps(frame, busy=busy).collect()]
+    assert sorted(found, key=str) == sorted([(1000, None), (5000, 4000), (5000, 0), (5000, 0), (9000, 4000)], key=str)
+
+
+@pytest.mark.parametrize("minutes", [2.01, 2.03, 2.05, 4.02])
+def test_limits_are_whole_milliseconds(minutes):
+    assert SessionRules(minutes, 10).gap_ms == round(minutes * 60_000)
+
+
+@pytest.mark.parametrize("busy", [None, BusyUsers(rows=0, slice_minutes=1)])
+def test_windows_leave_out_events_without_user(spark, busy):
+    rows = [("u", 1000, 1), (None, 1000, 2), ("u", None, 3)]
+    frame = spark.createDataFrame(rows, "uuid string, event_time_ms bigint, event_id bigint")
+    found = windowed_sessions(frame.withColumn("event_time", F.timestamp_millis("event_time_ms")), busy=busy).collect()
+    assert [(r.uuid, r.event_count) for r in found] == [("u", 1)]

@@ -5,7 +5,7 @@ from clickweave.session import build_session, cut_lineage, shared_dir
 from clickweave.sinks import streams, tables
 from clickweave.sinks.files import write_files
 from clickweave.sources import kafka
-from clickweave.sources.files import RATE_EVENT_COLUMNS, rate_events, read_files, stream_rate
+from clickweave.sources.files import read_files
 
 SERVERS = {"bootstrap_servers": "host:1"}
 
@@ -168,13 +168,6 @@ def test_partition_pruning_by_date_and_bucket(spark, tmp_path):
     assert frame.first().event_count == 20
 
 
-def test_rate_stream_has_the_event_columns(spark):
-    for source in (stream_rate(spark), stream_rate(spark, 5, 1704067200000)):
-        events = rate_events(source)
-        assert events.isStreaming and len(events.columns) == len(RATE_EVENT_COLUMNS)
-        assert events.schema["duration_ms"].dataType.simpleString() == "int"
-
-
 def test_lineage_is_cut_in_the_named_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert "ExistingRDD" in cut_lineage(spark.range(3))._jdf.queryExecution().toString()
@@ -208,3 +201,39 @@ def test_spread(spark):
     assert spread(frame) is frame
     assert spread(frame, partitions=3).rdd.getNumPartitions() == 3
     assert "hashpartitioning(id" in spread(frame, ["id"], 4)._jdf.queryExecution().toString()
+
+
+def test_differing_columns_are_an_error(spark, tmp_path):
+    rows = spark.range(4).select("id", (F.col("id") % 2).alias("part"))
+    tables.write_table(rows, "narrow", "create", ["part"], location=str(tmp_path / "narrow"))
+    wider = rows.withColumn("extra", F.lit("x")).select("id", "extra", "part")
+    for mode in ("append", "overwrite"):
+        with pytest.raises(ValueError, match="extra"):
+            tables.write_table(wider, "narrow", mode)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    tables.write_table(wider.filter("part = 1"), "narrow", "overwrite", merge_schema=True)
+    assert sorted((r.id, r.extra) for r in spark.table("narrow").collect()) == [(0, None), (1, "x"), (2, None), (3, "x")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_filters_on_a_rolled_up_table_prune_its_partitions(spark, tmp_path):
+    from clickweave.operators.analytics import daily_sessions, rollup_stored, session_lookup
+
+    rows = spark.range(60).select(
+        F.col("id").cast("string").alias("uuid"),
+        F.concat("id", F.lit("_session_1")).alias("session_id"),
+        F.col("id").alias("session_start_time_ms"),
+        (F.col("id") + 5).alias("session_end_time_ms"),
+        (F.col("id") % 3).cast("string").alias("session_date"),
+        (F.col("id") % 4).cast("int").alias("user_hash_bucket"),
+    )
+    tables.write_table(rows, "rolled", "create", ["session_date", "user_hash_bucket"], location=str(tmp_path / "t"))
+    rolled = rollup_stored(spark.table("rolled"))
+    for frame, columns in (
+        (session_lookup(rolled, "1", 2), ("session_date", "user_hash_bucket")),
+        (daily_sessions(rolled, "0", "1"), ("session_date",)),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+        assert all(c in filters for c in columns)
+    assert session_lookup(rolled, "1", 2).count() == 5

@@ -144,10 +144,17 @@ def test_session_job_writes_a_partitioned_table(spark, tmp_path):
     jobs.sessions_stream(
         stream, checkpoint=str(tmp_path / "ckpt"), path=target, trigger=DRAIN
     ).awaitTermination()
+    # A last message at the end of time closes the stream; its own event stays open.
+    to_envelope(spark.createDataFrame([("end", "", "253399622400000", "end")], events.schema)).write.mode("append").parquet(source)
+    jobs.sessions_stream(
+        stream, checkpoint=str(tmp_path / "ckpt"), path=target, trigger=DRAIN
+    ).awaitTermination()
     rows = spark.read.parquet(target).orderBy("event_id").collect()
     assert [(r.event_id, r.session_id) for r in rows] == [
         ("e1", "u1_session_1704103200000"),
         ("e2", "u1_session_1704103200000"),
+        ("e3", "u2_session_1904103260000"),
+        ("e5", "u2_session_99704103260000"),
     ]
     assert str(rows[0].session_date) == "2024-01-01"
     batch = []
@@ -157,7 +164,10 @@ def test_session_job_writes_a_partitioned_table(spark, tmp_path):
         "u2_session_1",
         "u2_session_2",
     }
+    assert {r.event_id for r in rows} == {r.event_id for r in batch[0].collect()}
     assert set(rows[0].asDict()) >= set(add_layout_columns(batch[0]).columns)
+    rejected = jobs.clickstream_rejects(messages).collect()
+    assert [r.reason for r in rejected] == ["no readable time"]
 
 
 @pytest.mark.parametrize("start, last", [(None, None), (0, 95)])
