@@ -7,9 +7,6 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Checkpoint files go once nothing refers to them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -41,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="clickweave-checkpoint-")
     if context.getCheckpointDir() is None:
