@@ -8,6 +8,7 @@ import string
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from clickweave.llm.common import Scratch, column, free_name
 
@@ -15,7 +16,7 @@ from clickweave.llm.common import Scratch, column, free_name
 BROADCAST_KEYS = 2_000_000
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def folded_digest(text: pd.Series) -> pd.Series:
     """SHA-256 of the UTF-8 text with A-Z lower-cased; null stays null."""
     return text.map(lambda x: hashlib.sha256(x.encode().lower()).digest(), na_action="ignore")
