@@ -320,8 +320,8 @@ def _apply_cap(marked: DataFrame, user, time_ms, rules: SessionRules) -> DataFra
 def _greedy(marked: DataFrame, user, time_ms, rules: SessionRules) -> DataFrame:
     """Re-anchored starts come from a fold over the few events beyond the cap of their island.
 
-    Each user's later starts are at least one cap apart, so the array joined back to the events
-    is short however many events the user has. Both sides are already partitioned by user.
+    They go back among the events as marker rows at their times, so one more window over the same timeline tells
+    every event how many restarts it has seen and which was the last, however many there are.
     """
     late = F.when(F.col(time_ms) - F.col("_island_start") > rules.cap_ms, F.col(time_ms))
     islands = (
@@ -339,21 +339,22 @@ def _greedy(marked: DataFrame, user, time_ms, rules: SessionRules) -> DataFrame:
         ).otherwise(state)
 
     folded = F.aggregate("_late", first, step, lambda state: state["found"])
-    restarts = (
-        islands.select(user, folded.alias("_found"))
-        .groupBy(user)
-        .agg(F.flatten(F.collect_list("_found")).alias("_restarts"))
-    )
+    restarts = islands.select(user, F.explode(folded).alias(time_ms), F.lit(1).alias("_restart"))
+    timeline = Window.partitionBy(user).orderBy(time_ms)
     session = Window.partitionBy(user, "session_start_time_ms")
     return (
-        marked.join(restarts, user, "left")
-        .withColumn("_passed", F.filter("_restarts", lambda s: s <= F.col(time_ms)))
-        .withColumn("_part", F.coalesce(F.size("_passed"), F.lit(0)).cast("bigint"))
-        .withColumn(
-            "session_start_time_ms", F.greatest("_island_start", F.array_max("_passed"))
+        marked.withColumn("_restart", F.lit(0))
+        .unionByName(restarts, allowMissingColumns=True)
+        .withColumns(
+            {
+                "_part": F.sum("_restart").over(timeline),
+                "_restarted": F.max(F.when(F.col("_restart") == 1, F.col(time_ms))).over(timeline),
+            }
         )
+        .filter("_restart = 0")
+        .withColumn("session_start_time_ms", F.greatest("_island_start", "_restarted"))
         .withColumn("session_end_time_ms", F.max(time_ms).over(session))
-        .drop("_restarts", "_passed")
+        .drop("_restart", "_restarted")
     )
 
 
