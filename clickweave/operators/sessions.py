@@ -153,10 +153,11 @@ def session_paths(
     part_events: int = 10_000,
     busy: busy_users.BusyUsers | None = busy_users.BusyUsers(),
 ) -> DataFrame:
-    """Pages of each session in visiting order, as arrays of at most ``part_events`` pages.
+    """Each session with its roll-up and its pages in visiting order, one row per ``part_events`` pages.
 
     A session of ordinary size is one row with ``part`` 0. A longer one continues in further
-    rows, so no page is lost and no array outgrows a task.
+    rows, so no page is lost and no array outgrows a task; every one of them carries start, end, event
+    count and duration of the whole session.
     """
     small, large = busy_users.separate(sessions, user, busy)
     order = Window.partitionBy(user, "session_id").orderBy(time_ms, tie_break)
@@ -166,11 +167,33 @@ def session_paths(
             busy_users.number_within_session(large, user, time_ms, tie_break, busy)
         )
     part = F.floor(F.col("_position") / part_events)
+    whole = Window.partitionBy(user, "session_id")
     visits = F.array_sort(F.collect_list(F.struct("_position", F.col(page).alias("page"))))
     return (
         numbered.groupBy(user, "session_id", part.alias("part"))
-        .agg(visits.alias("_visits"))
-        .select(user, "session_id", "part", F.col("_visits.page").alias("pages_visited"))
+        .agg(
+            visits.alias("_visits"),
+            F.min(time_ms).alias("_first"),
+            F.max(time_ms).alias("_last"),
+            F.count(F.lit(1)).alias("_events"),
+        )
+        .withColumns(
+            {
+                "session_start_time_ms": F.min("_first").over(whole),
+                "session_end_time_ms": F.max("_last").over(whole),
+                "event_count": F.sum("_events").over(whole),
+            }
+        )
+        .select(
+            user,
+            "session_id",
+            "part",
+            F.col("_visits.page").alias("pages_visited"),
+            "session_start_time_ms",
+            "session_end_time_ms",
+            "event_count",
+            _seconds().alias("session_duration_seconds"),
+        )
     )
 
 

@@ -139,10 +139,15 @@ def session_rollup(spark, sf_dir):
     return rollup_sessions(detect_sessions(clicks(spark, sf_dir)))
 
 
+# Roll-up columns of the whole session, for groups that hold some of its events.
+WHOLE = """s AS session_start_time_ms, e AS session_end_time_ms, count(*) AS event_count,
+    (e - s) / 1000.0::DOUBLE AS session_duration_seconds"""
+
+
 @query(
     "session_paths",
-    f"{BIN_SESSIONS} SELECT uuid, session_id, CAST(0 AS BIGINT) AS part,"
-    " string_agg(page_name, '>' ORDER BY ms, event_id) AS pages_visited FROM sess GROUP BY uuid, session_id",
+    f"""{BIN_SESSIONS} SELECT uuid, session_id, CAST(0 AS BIGINT) AS part,
+        string_agg(page_name, '>' ORDER BY ms, event_id) AS pages_visited, {WHOLE} FROM sess GROUP BY uuid, session_id, s, e""",
 )
 def session_paths_query(spark, sf_dir):
     busy = measure_busy(clicks(spark, sf_dir))
@@ -153,10 +158,13 @@ def session_paths_query(spark, sf_dir):
 @query(
     "session_paths_sliced",
     f"""{BIN_SESSIONS}, seq AS (
-        SELECT *, (row_number() OVER (PARTITION BY uuid, session_id ORDER BY ms, event_id) - 1) // 3 AS part
+        SELECT *, (row_number() OVER (PARTITION BY uuid, session_id ORDER BY ms, event_id) - 1) // 3 AS part,
+            count(*) OVER (PARTITION BY uuid, session_id) AS event_count
         FROM sess)
-    SELECT uuid, session_id, part, string_agg(page_name, '>' ORDER BY ms, event_id) AS pages_visited
-    FROM seq GROUP BY uuid, session_id, part""",
+    SELECT uuid, session_id, part, string_agg(page_name, '>' ORDER BY ms, event_id) AS pages_visited,
+        s AS session_start_time_ms, e AS session_end_time_ms, event_count,
+        (e - s) / 1000.0::DOUBLE AS session_duration_seconds
+    FROM seq GROUP BY uuid, session_id, part, s, e, event_count""",
 )
 def session_paths_sliced(spark, sf_dir):
     paths = session_paths(sessions(spark, sf_dir), part_events=3, busy=ALL_BUSY)
