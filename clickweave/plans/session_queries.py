@@ -249,7 +249,7 @@ STORED: dict[tuple, str] = {}
 def stored_sessions(spark, sf_dir):
     """The session table of the batch job, by date and user bucket; written once per application and table."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in STORED:
+    if key not in STORED or not spark.catalog.tableExists(STORED[key]):
         path = scratch(spark, "session_table")
         name = path.rsplit("/", 1)[1].replace("-", "_")
         jobs.sessions_batch(
