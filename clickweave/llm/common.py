@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,30 @@ def column(df: DataFrame, name: str) -> Column:
     return df["`" + name.replace("`", "``") + "`"]
 
 
+#: Rows and bytes of a batch of texts sent to a Python worker; they bound its memory, and that of the buffers beside it.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on the session sends batches of at most this size to Python; a smaller setting stays."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key).lower().removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting that holds for the jobs run inside."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables written under the shared checkpoint folder, so that a lost executor costs no recomputation.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from clickweave.llm.common import Scratch, column, free_name
+from clickweave.llm.common import Scratch, bound_batches, column, free_name
 
 #: Lengths and (length, prefix) keys that occur again go to every executor up to this many; beyond, they are joined by shuffle.
 BROADCAST_KEYS = 2_000_000
@@ -44,6 +44,7 @@ def exact_duplicates(docs: DataFrame, text: str = "text", order: str = "doc_id",
     Counts are combined before each shuffle, and texts are not shuffled.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     size, head, row, full, again = free_name(docs, "n_bytes", "prefix_hash", "row", "full_hash", "occurs_again")
     keep_id, group_size, kept, key, best = free_name(docs, "keep_id", "group_size", "kept", "group_key", "best_row")
     value = F.coalesce(column(docs, text), F.lit(""))

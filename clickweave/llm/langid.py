@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import column, free_name
+from clickweave.llm.common import bound_batches, column, free_name
 
 UNKNOWN = "und"
 #: Trigrams have 18 bits; with many languages they are folded so that a model never has more cells than this.
@@ -117,6 +117,7 @@ class Model:
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Learn from all rows with a text and a language. Only names and counts, bounded by ``MODEL_CELLS``, reach the driver."""
     rows = labelled.select(column(labelled, text).alias("text"), column(labelled, lang).alias("lang")).dropna()
+    bound_batches(labelled.sparkSession)
     most = MODEL_CELLS >> 8
     languages = sorted(r[0] for r in rows.select("lang").distinct().limit(most + 1).collect())
     if len(languages) > most:
@@ -136,6 +137,7 @@ def detect(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     Null texts and texts without a letter are ``und`` with score 0; a text none of whose trigrams was ever seen goes to the
     first language with equal shares. Nothing but the text is an input. Names that clash get underscores.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import Scratch, column
+from clickweave.llm.common import Scratch, bound_batches, column
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -131,6 +131,7 @@ def pack(
     first. A group is a fair sample of all sizes, so what grouping costs is the last few open sequences of each. Repeated
     rows are packed each, null ids stay null, and rows that tie are packed in any order.
     """
+    bound_batches(docs.sparkSession)
     table = Scratch(docs.sparkSession, "packing").keep(pieces(docs, text, order, most, folder))
     row = F.monotonically_increasing_id()
     whole = table.where(F.col("length") == most).withColumns(

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import Scratch, column, components, free_name
+from clickweave.llm.common import Scratch, bound_batches, column, components, free_name
 
 BITS = 64
 SEED = 42
@@ -140,6 +140,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", order: str = "doc_id",
     ``docs`` must read the same rows in the same order each time, as a scan of files does.
     """
     name, row, component, kept, root, best = free_name(docs, "print", "row", "component_id", "kept", "root", "best")
+    bound_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.keep(
         docs.withColumns({name: fingerprint(column(docs, text), words), row: F.monotonically_increasing_id()}).drop(text)

@@ -19,15 +19,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import Scratch, column, free_name
+from clickweave.llm.common import Scratch, bound_batches, column, free_name
 from clickweave.llm.suffix_array import common_prefixes, suffix_array
 
 ANCHOR = 96
 #: Windows in one segment at most; a longer run (a text that repeats a few bytes) is cut.
 SEGMENT_WINDOWS = 2048
 #: Bytes of contents that a shard is meant to hold. One anchor's contents stay together up to ``GROUP_CONTENTS``.
-SHARD_BYTES = 1 << 21
-GROUP_CONTENTS = 2048
+SHARD_BYTES = 1 << 19
+GROUP_CONTENTS = 1024
 
 # An odd base for rolling hashes and an odd factor that mixes them.
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -304,6 +304,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", keep_
     column is dropped. Names that clash get underscores added. ``docs`` must read the same
     rows in the same order each time, as a scan of files does.
     """
+    bound_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
     row, spans, done = free_name(docs, "row", "spans", "done")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import column, free_name
+from clickweave.llm.common import bound_batches, column, free_name
 from clickweave.llm.pieces import Pieces, default_model, load_pieces
 
 #: Text that is cut into words at a time, and words whose counts a task remembers; they bound its memory only.
@@ -95,6 +95,7 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str | None = None)
     Null and empty texts have none. Whole texts are counted, and every row for itself; a clashing column name gets
     underscores. Tasks need nothing of each other, so nothing is shuffled.
     """
+    bound_batches(docs.sparkSession)
     path = model or default_model()
 
     @F.pandas_udf("bigint")
