@@ -98,7 +98,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op10_warc",
     """
-    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
                       sha256(coalesce(html, '')) AS payload_digest FROM pages),
          f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
     SELECT page_id, payload_bytes, payload_digest,
