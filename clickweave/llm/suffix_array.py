@@ -26,29 +26,27 @@ def smaller_types(text: np.ndarray) -> np.ndarray:
 
 def _deal(items: np.ndarray, chars: np.ndarray, heaps: list[list[np.ndarray]]) -> None:
     """Append items to the heaps of their characters, keeping their order."""
-    order = np.argsort(chars, kind="stable")
+    order = chars.argsort(kind="stable")
     items, chars = items[order], chars[order]
-    edges = np.flatnonzero(chars[1:] != chars[:-1]) + 1
-    for part, char in zip(np.split(items, edges), chars[np.concatenate([[0], edges])]):
-        heaps[char].append(part)
+    edges = (np.flatnonzero(chars[1:] != chars[:-1]) + 1).tolist()
+    for start, end in zip([0, *edges], [*edges, len(items)]):
+        heaps[chars[start]].append(items[start:end])
 
 
 def _scan(heap: list[np.ndarray], char: int, text: np.ndarray, wanted: np.ndarray, heaps: list) -> None:
     """Deal out the wanted predecessors of a bucket's suffixes; those that fall into the same bucket are scanned too."""
     at = 0
     while at < len(heap):
-        before = heap[at] - 1
-        at += 1
-        before = before[(before >= 0) & wanted[before]]
-        if not len(before):
-            continue
-        chars = text[before]
-        same = chars == char
-        if same.any():
-            heap.append(before[same])
-            before, chars = before[~same], chars[~same]
-        if len(before):
-            _deal(before, chars, heaps)
+        # All that is there comes before what scanning it adds.
+        before = (heap[at] if len(heap) == at + 1 else np.concatenate(heap[at:])) - 1
+        at = len(heap)
+        _send(before, char, text, wanted, heaps)
+
+
+def _send(before: np.ndarray, char: int, text: np.ndarray, wanted: np.ndarray, heaps: list) -> None:
+    before = before[wanted[before] & (before >= 0)]
+    if len(before):
+        _deal(before, text[before], heaps)
 
 
 def _induce(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, letters: int) -> np.ndarray:
@@ -61,23 +59,19 @@ def _induce(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, letters: int
     for char in range(letters):
         _scan(low[char], char, text, larger, low)
         for part in starts[char]:
-            before = part - 1
-            before = before[(before >= 0) & larger[before]]
-            if len(before):
-                _deal(before, text[before], low)
+            _send(part - 1, char, text, larger, low)
     # From the right; these heaps are in falling order.
     for char in range(letters - 1, -1, -1):
         _scan(high[char], char, text, smaller, high)
-        for part in reversed(low[char]):
-            before = part[::-1] - 1
-            before = before[(before >= 0) & smaller[before]]
-            if len(before):
-                _deal(before, text[before], high)
+        if low[char]:
+            low[char] = [np.concatenate(low[char])]
+            _send(low[char][0][::-1] - 1, char, text, smaller, high)
     # The sentinel is the predecessor of nothing.
     out = [np.array([len(text) - 1])]
     for char in range(letters):
         out += low[char]
-        out += [part[::-1] for part in reversed(high[char])]
+        if high[char]:
+            out.append(np.concatenate(high[char])[::-1])
     return np.concatenate(out)
 
 
