@@ -7,14 +7,14 @@ position, into the best path (Viterbi). Documents then take up the ids of their
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import Scratch, column
+from clickweave.llm.common import Scratch, bound_batches, column, setting
 from clickweave.llm.pieces import Pieces, default_model, load_pieces
 from clickweave.llm.trie_counts import BLOCK_CHARS, blocks
 
@@ -146,10 +146,17 @@ def _distinct_parts(model: str):
 
 
 def _pack_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts in fewer bytes for the one shuffle that they take part in."""
+    """Runs of texts, compressed together for the one shuffle that they take part in: (block, keys, sizes, payload)."""
+    squeeze = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        if len(batch):
-            yield batch.assign(payload=[zlib.compress(t.encode(), 1) for t in batch["text"]]).drop(columns="text")
+        at, out = 0, []
+        for texts in blocks(batch["text"], BLOCK_CHARS // 4):
+            data = [t.encode() for t in texts]
+            keys = [None if pd.isna(k) else k for k in batch["id"].iloc[at : at + len(texts)]]
+            out.append((batch["block"].iloc[0], keys, list(map(len, data)), squeeze.compress(b"".join(data))))
+            at += len(texts)
+        if out:
+            yield pd.DataFrame(out, columns=["block", "keys", "sizes", "payload"])
 
 
 def _encode_blocks(model: str):
@@ -170,22 +177,23 @@ def _encode_blocks(model: str):
             return ids
 
         for batch in batches:
-            rows, out = [], []
-            columns = (batch[c] for c in ("block", "id", "part", "ids", "payload"))
-            for number, row, part, ids, payload in zip(*columns):
+            columns = (batch[c] for c in ("block", "part", "ids", "keys", "sizes", "payload"))
+            for number, part, ids, keys, sizes, payload in zip(*columns):
                 if number != block:
                     block, lexicon = number, {}
                     words.clear()
                 if part is not None:
                     lexicon[part] = ids.tolist()
                     continue
-                found: list[int] = []
-                for word in table.words(zlib.decompress(payload).decode()):
-                    found += ids_of(word)
-                rows.append(row)
-                out.append(found)
-            if rows:
-                yield pd.DataFrame({"id": pd.Series(rows, dtype=object), "ids": pd.Series(out, dtype=object)})
+                data, at, out = zstandard.decompress(payload), 0, []
+                for size in sizes:
+                    found: list[int] = []
+                    for word in table.words(data[at : at + size].decode()):
+                        found += ids_of(word)
+                    at += size
+                    out.append(found)
+                # One run of texts at a time, so that a batch's ids are never held together.
+                yield pd.DataFrame({"id": pd.Series(list(keys), dtype=object), "ids": pd.Series(out, dtype=object)})
 
     return encode
 
@@ -198,6 +206,7 @@ def encode(docs: DataFrame, text: str = "text", order: str = "doc_id", model: st
     ids go back to the blocks, where the block's texts meet them in one task. So a shuffle carries each part once a
     block, and the texts once, compressed. A part of over ``LATTICE_CHARS`` characters is folded in that task.
     """
+    bound_batches(docs.sparkSession)
     path = model or default_model()
     table = load_pieces(path)
     scratch = Scratch(docs.sparkSession, "pieces")
@@ -207,11 +216,17 @@ def encode(docs: DataFrame, text: str = "text", order: str = "doc_id", model: st
         F.coalesce(column(docs, text), F.lit("")).alias("text"),
     )
     parts = scratch.keep(texts.select("block", "text").mapInPandas(_distinct_parts(path), "block int, part string"))
-    known = scratch.keep(encode_parts(parts.select("part").distinct(), table))
-    lexicon = parts.distinct().join(known, "part").select("block", F.lit(None).cast("string").alias("id"), "part", "ids")
-    packed = texts.mapInPandas(_pack_texts, "block int, id string, payload binary")
-    both = lexicon.withColumn("payload", F.lit(None).cast("binary")).unionByName(packed, allowMissingColumns=True)
-    dealt = both.withColumn("last", F.col("part").isNull()).repartition("block").sortWithinPartitions("block", "last")
+    # Parts leave the explosion in order and in place: one sort groups their edges without another shuffle, where a
+    # hash aggregate of lists would give up after some groups and sort twice.
+    with setting(docs.sparkSession, "spark.sql.execution.useObjectHashAggregateExec", "false"):
+        known = scratch.keep(encode_parts(parts.select("part").distinct(), table))
+    # A part may come twice for a block, which does no harm.
+    lexicon = parts.join(known, "part").select("block", "part", "ids")
+    packed = texts.mapInPandas(_pack_texts, "block int, keys array<string>, sizes array<int>, payload binary")
+    # As many tasks as blocks and some to spare, as several blocks may be dealt to one.
+    tasks = 2 * docs.rdd.getNumPartitions()
+    both = lexicon.unionByName(packed, allowMissingColumns=True)
+    dealt = both.withColumn("last", F.col("part").isNull()).repartition(tasks, "block").sortWithinPartitions("block", "last")
     found = dealt.mapInPandas(_encode_blocks(path), "id string, ids array<int>")
     return found.select(F.col("id").cast(docs.schema[order].dataType).alias(order), "ids")
 

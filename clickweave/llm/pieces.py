@@ -47,13 +47,9 @@ class Pieces:
 
     def parts(self, word: str) -> list[str]:
         """The word cut wherever no piece holds both neighbours. Parts are encoded each on its own."""
-        out, start = [], 0
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in self.joined:
-                out.append(word[start:i])
-                start = i
-        out.append(word[start:])
-        return out
+        joined = self.joined
+        cuts = [i for i, (a, b) in enumerate(zip(word, word[1:]), 1) if a + b not in joined]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
 
     def byte_ids(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode()]
