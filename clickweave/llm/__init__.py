@@ -11,6 +11,7 @@ def worker_modules() -> list[ModuleType]:
         exact_dedup,
         langid,
         lattice,
+        near_copies,
         packing,
         piece_lattice,
         pieces,
@@ -21,4 +22,17 @@ def worker_modules() -> list[ModuleType]:
         warc,
     )
 
-    return [exact_dedup, langid, lattice, packing, piece_lattice, pieces, simhash, suffix_array, suffix_dedup, trie_counts, warc]
+    return [
+        exact_dedup,
+        langid,
+        lattice,
+        near_copies,
+        packing,
+        piece_lattice,
+        pieces,
+        simhash,
+        suffix_array,
+        suffix_dedup,
+        trie_counts,
+        warc,
+    ]

@@ -80,6 +80,15 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def numbered(docs: DataFrame, row: str, scratch: Scratch) -> DataFrame:
+    """``docs`` with a number for each row in the column ``row``, written with the rows.
+
+    A scan that is read again may be split otherwise (split sizes follow the cores registered at that time) and would
+    number other rows; what is written once keeps its numbers in every later job.
+    """
+    return scratch.keep(docs.withColumn(row, F.monotonically_increasing_id()))
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Smallest node reachable from each node that has an edge.
 

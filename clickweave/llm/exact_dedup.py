@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from clickweave.llm.common import Scratch, bound_batches, column, free_name
+from clickweave.llm.common import Scratch, bound_batches, column, free_name, numbered
 
 #: Lengths and (length, prefix) keys that occur again go to every executor up to this many; beyond, they are joined by shuffle.
 BROADCAST_KEYS = 2_000_000
@@ -30,14 +30,16 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
-def exact_duplicates(docs: DataFrame, text: str = "text", order: str = "doc_id", prefix_chars: int = 64) -> DataFrame:
+def exact_duplicates(
+    docs: DataFrame, text: str = "text", order: str = "doc_id", prefix_chars: int = 64, row: str | None = None
+) -> DataFrame:
     """``docs`` without the text, with ``keep_id``, ``group_size`` and ``kept`` for each row.
 
     Texts are equal if they are after lower-casing A-Z; null is the empty text. The row with the
     largest ``order`` of a group stays (a null order is smaller than any); of rows that tie, one of
-    them stays. Every row comes out once, repeated ones too. ``docs`` must read the same rows in the
-    same order each time, as a scan of files does. Columns whose names clash get the
-    operator's names with underscores added.
+    them stays. Every row comes out once, repeated ones too. ``row`` names a bigint column that tells rows
+    apart and reads the same each time; without it rows are numbered and written first. Columns whose names
+    clash get the operator's names with underscores added.
 
     Lengths in bytes don't change with the case, so the first step reads no characters and the second only
     ``prefix_chars`` of them; texts are hashed whole only where length and prefix occur again.
@@ -45,17 +47,20 @@ def exact_duplicates(docs: DataFrame, text: str = "text", order: str = "doc_id",
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    size, head, row, full, again = free_name(docs, "n_bytes", "prefix_hash", "row", "full_hash", "occurs_again")
+    scratch = Scratch(spark, "exact-dedup")
+    if made := row is None:
+        row = free_name(docs, "row")
+        docs = numbered(docs, row, scratch)
+    size, head, full, again = free_name(docs, "n_bytes", "prefix_hash", "full_hash", "occurs_again")
     keep_id, group_size, kept, key, best = free_name(docs, "keep_id", "group_size", "kept", "group_key", "best_row")
     value = F.coalesce(column(docs, text), F.lit(""))
-    sized = docs.withColumns({row: F.monotonically_increasing_id(), size: F.octet_length(value)})
+    sized = docs.withColumn(size, F.octet_length(value))
     sized = sized.withColumn(head, F.xxhash64(folded_prefix(value, prefix_chars)))
 
-    scratch = Scratch(spark, "exact-dedup")
     lengths = scratch.keep(sized.groupBy(size).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(size))
     prefixes = sized.select(size, head).join(_small(lengths), size).groupBy(size, head).agg(F.count(F.lit(1)).alias("n"))
     keys = scratch.keep(prefixes.where("n > 1").select(size, head, F.lit(True).alias(again)))
-    scratch.drop(1)
+    scratch.drop(scratch.count - 1)
     marked = sized.join(_small(keys), [size, head], "left")
     hashed = marked.withColumn(full, folded_digest(F.when(F.col(again), value))).drop(again, text)
 
@@ -74,4 +79,4 @@ def exact_duplicates(docs: DataFrame, text: str = "text", order: str = "doc_id",
             kept: F.when(in_group, F.col(best)[row] == F.col(row)).otherwise(True),
             group_size: F.coalesce(F.col(group_size), F.lit(1)),
         }
-    ).drop(key, best, size, head, row, full)
+    ).drop(key, best, size, head, full, *[row] * made)
