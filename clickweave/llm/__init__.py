@@ -13,6 +13,7 @@ def worker_modules() -> list[ModuleType]:
         lattice,
         near_copies,
         packing,
+        passages,
         piece_lattice,
         pieces,
         simhash,
@@ -28,6 +29,7 @@ def worker_modules() -> list[ModuleType]:
         lattice,
         near_copies,
         packing,
+        passages,
         piece_lattice,
         pieces,
         simhash,

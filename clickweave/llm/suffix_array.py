@@ -173,6 +173,19 @@ def _suffix_array_of_names(text: list[int], letters: int) -> list[int]:
     return out
 
 
+def prefix_ranks(text: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of the suffixes by their first ``length`` items, equal for equal ones, by prefix doubling.
+
+    Only starts that have so many items after them have a rank. Items may come from any alphabet.
+    """
+    ranks, width = np.unique(text, return_inverse=True)[1], 1
+    while width < length:
+        step = min(width, length - width)
+        pairs = ranks[:-step] * (int(ranks.max()) + 1) + ranks[step:]
+        ranks, width = np.unique(pairs, return_inverse=True)[1], width + step
+    return ranks
+
+
 def common_prefixes(text: np.ndarray, suffixes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Permuted common prefixes: for each start, how far its suffix agrees with the one before it in order, and that one's start.
 

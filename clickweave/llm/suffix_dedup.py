@@ -69,9 +69,9 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def segments_of(data: bytes, length: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """Start, bytes and anchor of the segments of a text of at least ``length`` bytes, and whether the anchor is in one twice."""
-    hashes = substring_hashes(np.frombuffer(data, np.uint8), anchor)
+def same_anchor(items: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Start, size and anchor of the segments of at least ``length`` items, and the hashes of all its substrings."""
+    hashes = substring_hashes(items, anchor)
     lowest = sliding_minimum(hashes, length - anchor + 1)
     starts = np.flatnonzero(np.concatenate([[True], lowest[1:] != lowest[:-1]]))
     sizes = np.diff(np.append(starts, len(lowest)))
@@ -81,7 +81,12 @@ def segments_of(data: bytes, length: int, anchor: int) -> tuple[np.ndarray, ...]
         ends = np.repeat(starts + sizes, parts)
         starts = np.repeat(starts, parts) + steps * SEGMENT_WINDOWS
         sizes = np.minimum(SEGMENT_WINDOWS, ends - starts)
-    anchors, sizes = lowest[starts], sizes + length - 1
+    return starts, sizes + length - 1, lowest[starts], hashes
+
+
+def segments_of(data: bytes, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Start, bytes and anchor of the segments of a text of at least ``length`` bytes, and whether the anchor is in one twice."""
+    starts, sizes, anchors, hashes = same_anchor(np.frombuffer(data, np.uint8), length, anchor)
     ends = starts + sizes - anchor + 1
     # Only where its anchor is in it twice can a segment hold a window twice.
     looped = [np.count_nonzero(hashes[s:e] == a) > 1 for s, e, a in zip(starts.tolist(), ends.tolist(), anchors)]
@@ -276,13 +281,22 @@ FINISHED = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string
 
 
 def _finish(keep_text: bool):
+    from clickweave.llm.passages import word_edges
+
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * keep_text
 
     @F.pandas_udf(FINISHED + ", kept_text string" * keep_text)
-    def finish(texts: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFrame:
+    def finish(texts: pd.Series, firsts: pd.Series, lasts: pd.Series, in_words: pd.Series) -> pd.DataFrame:
         out = []
-        for text, first, last in zip(texts, firsts, lasts):
+        for text, first, last, by_word in zip(texts, firsts, lasts, in_words):
             data = text.encode()
+            if first is not None and by_word.any():
+                starts, ends = word_edges(data)
+                by_word = by_word.astype(bool)
+                # Words that touch are one passage, with what is between them.
+                pairs = np.array(merge(first[by_word], last[by_word]))
+                first = np.concatenate([first[~by_word], starts[pairs[:, 0]]])
+                last = np.concatenate([last[~by_word], ends[pairs[:, 1] - 1]])
             runs = [] if first is None else merge(first, last)
             kept = cut_out(data, runs)
             done = (len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest())
@@ -294,12 +308,15 @@ def _finish(keep_text: bool):
     return finish
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", keep_text: bool = True) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = 400, text: str = "text", keep_text: bool = True, least_words: int | None = None
+) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and, in place of the text, what is left of it.
 
     Every byte is removed that is covered by a string of ``length`` bytes which starts anywhere else too, in the
     same text or another; the first occurrence is not spared, and strings are judged on the input. Matches do not cross
-    texts; a null text is empty; repeated rows are repeats of each other. ``kept_sha256`` is over the remaining
+    texts; with ``least_words``, passages of that many words that recur (see ``passages``) are removed as well,
+    however few bytes they have. A null text is empty; repeated rows are repeats of each other. ``kept_sha256`` is over the remaining
     bytes; the text also keeps characters that a removed run would cut in half. Without ``keep_text`` the
     column is dropped. Names that clash get underscores added. ``docs`` must read the same
     rows in the same order each time, as a scan of files does.
@@ -310,12 +327,21 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", keep_
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     value = F.coalesce(column(docs, text), F.lit(""))
     texts = numbered.select(F.col(row).alias("row"), value.alias("text"))
-    found = repeated_intervals(texts, length, scratch)
+    found = repeated_intervals(texts, length, scratch).withColumn("in_words", F.lit(False))
+    if least_words is not None:
+        from clickweave.llm.passages import repeated_passages
+
+        # Written first, so that the tables behind them can go.
+        found = scratch.keep(found)
+        for number in range(1, scratch.count):
+            scratch.drop(number)
+        passages = repeated_passages(texts, least_words, scratch).withColumn("in_words", F.lit(True))
+        found = found.unionByName(passages)
     found = scratch.keep(
-        found.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("first", "last")).alias(spans))
+        found.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("first", "last", "in_words")).alias(spans))
     )
     out = numbered.join(found, row, "left").withColumn(
-        done, _finish(keep_text)(F.coalesce(F.col(text), F.lit("")), F.col(f"{spans}.first"), F.col(f"{spans}.last"))
+        done, _finish(keep_text)(F.coalesce(F.col(text), F.lit("")), F.col(f"{spans}.first"), F.col(f"{spans}.last"), F.col(f"{spans}.in_words"))
     )
     keys = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
     out = out.withColumns({n: F.col(done)[k] for n, k in zip(free_name(docs, *keys), keys)})
