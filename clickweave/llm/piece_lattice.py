@@ -119,11 +119,18 @@ def best_ids(part: str, table: Pieces) -> list[int]:
     return [i for ids in reversed(out) for i in ids]
 
 
+def _texts(sizes, payload: bytes) -> Iterator[str]:
+    data, at = zstandard.decompress(payload), 0
+    for size in sizes:
+        yield data[at : at + size].decode()
+        at += size
+
+
 def _distinct_parts(model: str):
-    """(block, part) for the distinct parts of a scan partition's texts; a part may come twice if memory is short."""
+    """(block, part) for the distinct parts of a block's texts; a part may come twice if memory is short or a block is split."""
 
     def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, words, parts, block = load_pieces(model), set(), set(), 0
+        table, words, parts, block = load_pieces(model), set(), set(), None
 
         def take() -> pd.DataFrame:
             new = {p for w in words for p in table.parts(w)} - parts
@@ -132,21 +139,26 @@ def _distinct_parts(model: str):
             return pd.DataFrame({"block": block, "part": pd.Series([p for p in new if len(p) <= LATTICE_CHARS], dtype=object)})
 
         for batch in batches:
-            if len(batch):
-                block = int(batch["block"].iloc[0])
-            for texts in blocks(batch["text"], BLOCK_CHARS):
-                words.update(*map(table.words, texts))
+            for number, sizes, payload in zip(batch["block"], batch["sizes"], batch["payload"]):
+                if number != block:
+                    if block is not None:
+                        yield take()
+                    block = number
+                    parts.clear()
+                for text in _texts(sizes, payload):
+                    words.update(table.words(text))
                 if len(words) > HELD_WORDS:
                     yield take()
                     if len(parts) > 2 * HELD_WORDS:
                         parts.clear()
-        yield take()
+        if block is not None:
+            yield take()
 
     return collect
 
 
 def _pack_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs of texts, compressed together for the one shuffle that they take part in: (block, keys, sizes, payload)."""
+    """Runs of texts, compressed together to be written and for the one shuffle that they take part in: (block, keys, sizes, payload)."""
     squeeze = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         at, out = 0, []
@@ -185,12 +197,11 @@ def _encode_blocks(model: str):
                 if part is not None:
                     lexicon[part] = ids.tolist()
                     continue
-                data, at, out = zstandard.decompress(payload), 0, []
-                for size in sizes:
+                out = []
+                for text in _texts(sizes, payload):
                     found: list[int] = []
-                    for word in table.words(data[at : at + size].decode()):
+                    for word in table.words(text):
                         found += ids_of(word)
-                    at += size
                     out.append(found)
                 # One run of texts at a time, so that a batch's ids are never held together.
                 yield pd.DataFrame({"id": pd.Series(list(keys), dtype=object), "ids": pd.Series(out, dtype=object)})
@@ -215,14 +226,16 @@ def encode(docs: DataFrame, text: str = "text", order: str = "doc_id", model: st
         column(docs, order).cast("string").alias("id"),
         F.coalesce(column(docs, text), F.lit("")).alias("text"),
     )
-    parts = scratch.keep(texts.select("block", "text").mapInPandas(_distinct_parts(path), "block int, part string"))
+    # Written with its block: a scan that is read again may be split otherwise.
+    packed = scratch.keep(texts.mapInPandas(_pack_texts, "block int, keys array<string>, sizes array<int>, payload binary"))
+    runs = packed.select("block", "sizes", "payload")
+    parts = scratch.keep(runs.mapInPandas(_distinct_parts(path), "block int, part string"))
     # Parts leave the explosion in order and in place: one sort groups their edges without another shuffle, where a
     # hash aggregate of lists would give up after some groups and sort twice.
     with setting(docs.sparkSession, "spark.sql.execution.useObjectHashAggregateExec", "false"):
         known = scratch.keep(encode_parts(parts.select("part").distinct(), table))
     # A part may come twice for a block, which does no harm.
     lexicon = parts.join(known, "part").select("block", "part", "ids")
-    packed = texts.mapInPandas(_pack_texts, "block int, keys array<string>, sizes array<int>, payload binary")
     # As many tasks as blocks and some to spare, as several blocks may be dealt to one.
     tasks = 2 * docs.rdd.getNumPartitions()
     both = lexicon.unionByName(packed, allowMissingColumns=True)

@@ -137,7 +137,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", order: str = "doc_id",
     included (null if it is null in all of them); ``kept`` marks one row of each component, of smallest ``order``.
     Every row comes out once. Copies share a fingerprint and are one node, so groups of copies cost nothing after the
     first aggregate, which is combined before its shuffle.
-    ``docs`` must read the same rows in the same order each time, as a scan of files does.
+    Rows are numbered and written with their fingerprints, so ``docs`` is read once.
     """
     name, row, component, kept, root, best = free_name(docs, "print", "row", "component_id", "kept", "root", "best")
     bound_batches(docs.sparkSession)

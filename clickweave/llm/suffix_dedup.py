@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import Scratch, bound_batches, column, free_name
+from clickweave.llm.common import Scratch, bound_batches, column, free_name, numbered
 from clickweave.llm.suffix_array import common_prefixes, suffix_array
 
 ANCHOR = 96
@@ -318,29 +318,29 @@ def remove_repeats(
     texts; with ``least_words``, passages of that many words that recur (see ``passages``) are removed as well,
     however few bytes they have. A null text is empty; repeated rows are repeats of each other. ``kept_sha256`` is over the remaining
     bytes; the text also keeps characters that a removed run would cut in half. Without ``keep_text`` the
-    column is dropped. Names that clash get underscores added. ``docs`` must read the same
-    rows in the same order each time, as a scan of files does.
+    column is dropped. Names that clash get underscores added. Rows are numbered and written first, so ``docs``
+    is read once.
     """
     bound_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
     row, spans, done = free_name(docs, "row", "spans", "done")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    docs = numbered(docs, row, scratch)
     value = F.coalesce(column(docs, text), F.lit(""))
-    texts = numbered.select(F.col(row).alias("row"), value.alias("text"))
+    texts = docs.select(F.col(row).alias("row"), value.alias("text"))
     found = repeated_intervals(texts, length, scratch).withColumn("in_words", F.lit(False))
     if least_words is not None:
         from clickweave.llm.passages import repeated_passages
 
         # Written first, so that the tables behind them can go.
         found = scratch.keep(found)
-        for number in range(1, scratch.count):
+        for number in range(2, scratch.count):
             scratch.drop(number)
         passages = repeated_passages(texts, least_words, scratch).withColumn("in_words", F.lit(True))
         found = found.unionByName(passages)
     found = scratch.keep(
         found.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("first", "last", "in_words")).alias(spans))
     )
-    out = numbered.join(found, row, "left").withColumn(
+    out = docs.join(found, row, "left").withColumn(
         done, _finish(keep_text)(F.coalesce(F.col(text), F.lit("")), F.col(f"{spans}.first"), F.col(f"{spans}.last"), F.col(f"{spans}.in_words"))
     )
     keys = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
