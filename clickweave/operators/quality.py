@@ -15,6 +15,13 @@ PERSON_RULES = {
     "bad email": r"email RLIKE '^[^@]+@[^@]+\\.[^@]+$'",
 }
 
+# Values as JSON text that differs wherever they do: microseconds, era and the seconds of an offset included.
+EXACT_JSON = {
+    "timestampFormat": "G yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX",
+    "timestampNTZFormat": "G yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "dateFormat": "G yyyy-MM-dd",
+}
+
 
 class QualityError(ValueError):
     """A table does not meet its declared expectations."""
@@ -98,7 +105,7 @@ def uniqueness_report(df: DataFrame, columns: list[str]) -> DataFrame:
     def text(name: str) -> Column:
         # Adding zero makes -0.0 and 0.0 the same; a null field is left out of the JSON.
         value = F.col(name) + 0.0 if dict(df.dtypes)[name] in ("float", "double") else F.col(name)
-        return F.to_json(F.struct(value.alias("v")))
+        return F.to_json(F.struct(value.alias("v")), EXACT_JSON)
 
     cells = F.array(*[F.struct(F.lit(name).alias("column_name"), text(name).alias("value")) for name in columns])
     values = df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))

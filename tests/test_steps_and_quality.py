@@ -102,6 +102,16 @@ def test_uniqueness(spark):
     assert quality.disallowed_values(frame, "value", ["b"]).collect() == [("a", 2)]
 
 
+def test_uniqueness_of_times_within_a_millisecond(spark):
+    texts = ["2024-01-01 00:00:00.123456", "2024-01-01 00:00:00.123457", "2024-01-01 00:00:00.123457", "-0001-01-01 00:00:00", "0002-01-01 00:00:00", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(
+        "cast(t AS timestamp) AS z", "cast(t AS timestamp_ntz) AS n", "cast(t AS date) AS d", "array(cast(t AS timestamp)) AS a"
+    )
+    report = {r.column_name: (r.row_count, r.distinct_count) for r in quality.uniqueness_report(frame, frame.columns).collect()}
+    counted = {c: (6, frame.select(c).distinct().count()) for c in frame.columns}
+    assert report == counted == {"z": (6, 5), "n": (6, 5), "d": (6, 4), "a": (6, 5)}
+
+
 def test_clean_and_rejected_rows_partition_the_table(people):
     clean, rejected = quality.clean_rows(people), quality.rejected_rows(people)
     assert {r.id for r in clean.collect()} == {1, 2}
