@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +50,28 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run.
+
+    Its modules go into one archive in the shared folder, once per application, which Spark hands to every
+    worker. Functions, classes and caches are then pickled by name, as in a job started with ``--py-files``.
+    """
+    context, root, packed = spark.sparkContext, Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for path in sorted(root.rglob("*.py")):
+            # A fixed date, so that equal code gives an equal name.
+            archive.writestr(zipfile.ZipInfo(path.relative_to(root.parent).as_posix()), path.read_bytes())
+    name = f"clickweave-{hashlib.sha256(packed.getvalue()).hexdigest()[:16]}.zip"
+    if name in context._python_includes:
+        return
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/{name}")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(target, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(files.makeQualified(target).toString())
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back as a new root."""
     shared_dir(df.sparkSession)

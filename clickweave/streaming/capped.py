@@ -10,10 +10,12 @@ with the session end as known at that event.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -21,6 +23,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from clickweave.operators.sessions import SessionRules, usable_events
 from clickweave.streaming.windows import DEFAULT_DELAY
 
+# Spark starts a stream's first worker without the files of the application, so processors are shipped by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OPEN_SCHEMA = "start bigint, last bigint, events bigint"
 # Fixed value: moments are handed on once the watermark has passed the second they lie in.
 SETTLING = "1 second"
