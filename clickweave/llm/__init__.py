@@ -1,40 +1 @@
 """Operators for preparing training data. Nothing else in the library imports this subpackage."""
-
-from __future__ import annotations
-
-from types import ModuleType
-
-
-def worker_modules() -> list[ModuleType]:
-    """Modules whose functions run in Python workers, which may start where the package cannot be imported."""
-    from clickweave.llm import (
-        exact_dedup,
-        langid,
-        lattice,
-        near_copies,
-        packing,
-        passages,
-        piece_lattice,
-        pieces,
-        simhash,
-        suffix_array,
-        suffix_dedup,
-        trie_counts,
-        warc,
-    )
-
-    return [
-        exact_dedup,
-        langid,
-        lattice,
-        near_copies,
-        packing,
-        passages,
-        piece_lattice,
-        pieces,
-        simhash,
-        suffix_array,
-        suffix_dedup,
-        trie_counts,
-        warc,
-    ]

@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.session import shared_dir
+from clickweave.session import shared_dir, ship_package
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +37,11 @@ BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """From now on the session sends batches of at most this size to Python; a smaller setting stays."""
+    """From now on the session sends batches of at most this size to Python; a smaller setting stays.
+
+    Its workers can import this package, wherever they run.
+    """
+    ship_package(spark)
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
         now = spark.conf.get(key).lower().removesuffix("b")
@@ -64,6 +68,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        ship_package(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self.count = 0
