@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import exact_dedup, hilbert, langid, lattice, packing, piece_lattice, simhash, suffix_dedup, trie_counts, warc
+from clickweave.llm import (
+    exact_dedup,
+    hilbert,
+    langid,
+    lattice,
+    packing,
+    periodic_runs,
+    piece_lattice,
+    simhash,
+    suffix_dedup,
+    trie_counts,
+    warc,
+)
 from clickweave.llm.common import Scratch, load
 from clickweave.plans.registry import Query
 
@@ -111,3 +123,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "warc")
     warc.write_archives(warc.chunks(warc.records(load(spark, sf_dir, "pages"))), scratch.root)
     return warc.read_records(warc.read_archives(spark, scratch.root, with_payload=False))
+
+
+@query("op13_runs")
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(docs, seed=F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", line)), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
