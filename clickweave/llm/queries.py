@@ -10,6 +10,7 @@ from clickweave.llm import (
     hilbert,
     langid,
     lattice,
+    license_scan,
     packing,
     periodic_runs,
     piece_lattice,
@@ -125,6 +126,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(warc.read_archives(spark, scratch.root, with_payload=False))
 
 
+@query("op11_licences")
+def op11_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licences(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    f = F.col("licences")
+    return found.select(
+        "doc_id",
+        f["n_words"].alias("n_words"),
+        f["n_places"].alias("n_base"),
+        f["first_place"].alias("first_word"),
+        f["last_place"].alias("last_word"),
+        F.array_join(f["phrase_labels"], ",").alias("base_labels"),
+        F.array_join(f["labels"], ",").alias("labels"),
+        f["score"].alias("score"),
+    )
+
+
 @query("op13_runs")
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
