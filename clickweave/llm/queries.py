@@ -10,6 +10,7 @@ from clickweave.llm import (
     hilbert,
     langid,
     lattice,
+    lexical_search,
     license_scan,
     packing,
     periodic_runs,
@@ -142,6 +143,33 @@ def op11_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Terms of a text in DuckDB; two of the same id would count as one document.
+TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(FOLDED)
+
+
+@query(
+    "op12_lexical",
+    f"""
+    WITH d AS (SELECT doc_id, {TERMS} AS terms FROM documents),
+         s AS (SELECT count(*) AS big_n, CAST(sum(len(terms)) AS BIGINT) AS big_l FROM d WHERE len(terms) > 0),
+         tf AS (SELECT doc_id, n, term, count(*) AS tf
+                FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY doc_id, n, term),
+         w AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+               FROM tf, s GROUP BY term, big_n),
+         q AS (SELECT item_id, term, count(*) AS c
+               FROM (SELECT item_id, unnest({TERMS}) AS term FROM benchmark) GROUP BY item_id, term),
+         found AS (SELECT item_id, doc_id,
+                          CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l)))) AS BIGINT) AS score
+                   FROM q JOIN w USING (term) JOIN tf USING (term), s GROUP BY item_id, doc_id),
+         ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                           doc_id, score FROM found WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 10
+    """,
+)
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 @query("op13_runs")
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
