@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,11 +61,15 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+#: Tables that operators have written since the innermost ``collecting`` began.
+_collectors: list[list[Scratch]] = []
+
+
 class Scratch:
     """Tables written under the shared checkpoint folder, so that a lost executor costs no recomputation.
 
     ``keep`` writes a table and reads it back; ``drop`` deletes one that no plan reads any more.
-    What the returned plan of an operator still reads has to stay until that plan has run.
+    What the returned plan of an operator still reads has to stay until that plan has run; ``collecting`` drops it then.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -72,6 +77,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self.count = 0
+        if _collectors:
+            _collectors[-1].append(self)
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -80,20 +87,71 @@ class Scratch:
         # The schema is known, so no job is needed to read it from the files.
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, number: int) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{number}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *numbers: int) -> None:
+        for number in numbers:
+            self._delete(f"{self.root}/{number}")
+
+    def drop_all(self) -> None:
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def collecting() -> Iterator[None]:
+    """Drops all tables that operators write inside, at the end. Results have to be written before."""
+    made: list[Scratch] = []
+    _collectors.append(made)
+    try:
+        yield
+    finally:
+        _collectors.remove(made)
+        for scratch in made:
+            scratch.drop_all()
+
+
+#: Files whose rows are numbered by place; the list of them goes to every executor.
+MOST_FILES = 1_000_000
+#: Bits of a row's place in its file.
+PLACE_BITS = 40
 
 
 def numbered(docs: DataFrame, row: str, scratch: Scratch) -> DataFrame:
-    """``docs`` with a number for each row in the column ``row``, written with the rows.
+    """``docs`` with a number for each row in the column ``row``, the same in every later job.
 
-    A scan that is read again may be split otherwise (split sizes follow the cores registered at that time) and would
-    number other rows; what is written once keeps its numbers in every later job.
+    Where ``docs`` is a scan of Parquet files, with columns chosen and rows filtered at most, the number is made of the file and the
+    row's place in it, and nothing is written. Anything else is numbered as it is and written with its numbers: a plan that
+    runs again may split its input otherwise (split sizes follow the cores registered at that time).
     """
+    if _is_scan(docs):
+        path, place, at, name = free_name(docs, "file_path", "file_place", "file_number", "known_path")
+        try:
+            placed = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+        except AnalysisException:
+            placed = None  # no Parquet, or a column of that name
+        if placed is not None:
+            files = sorted(r[0] for r in placed.select(path).distinct().limit(MOST_FILES + 1).collect())
+            if len(files) <= 1:
+                return placed.withColumn(row, F.col(place)).drop(path, place)
+            if len(files) <= MOST_FILES:
+                known = docs.sparkSession.createDataFrame(list(enumerate(files)), f"`{at}` bigint, `{name}` string")
+                placed = placed.join(F.broadcast(known), F.col(path) == F.col(name))
+                number = F.shiftleft(F.col(at), PLACE_BITS).bitwiseOR(F.col(place))
+                return placed.withColumn(row, number).drop(path, place, at, name)
     return scratch.keep(docs.withColumn(row, F.monotonically_increasing_id()))
 
 
+def _is_scan(docs: DataFrame) -> bool:
+    plan = docs._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.child()
+    return plan.getClass().getSimpleName() == "LogicalRelation"
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Smallest node reachable from each node that has an edge.
 

@@ -38,7 +38,7 @@ def exact_duplicates(
     Texts are equal if they are after lower-casing A-Z; null is the empty text. The row with the
     largest ``order`` of a group stays (a null order is smaller than any); of rows that tie, one of
     them stays. Every row comes out once, repeated ones too. ``row`` names a bigint column that tells rows
-    apart and reads the same each time; without it rows are numbered and written first. Columns whose names
+    apart and reads the same each time; without it rows are numbered by ``numbered``. Columns whose names
     clash get the operator's names with underscores added.
 
     Lengths in bytes don't change with the case, so the first step reads no characters and the second only

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import Scratch, bound_batches, column, free_name
+from clickweave.llm.common import Scratch, bound_batches, column, numbered
 
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -129,7 +129,7 @@ def _index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Index:
-    """Blocks of signatures and the numbered texts they stand for, both under the shared folder."""
+    """Blocks of signatures, under the shared folder, and the numbered texts they stand for."""
 
     def __init__(self, texts: DataFrame, blocks: DataFrame):
         self.texts, self.blocks = texts, blocks
@@ -139,10 +139,10 @@ class Index:
 
 
 def build_index(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> Index:
-    """Numbers and writes id and text of every row, and the signatures of all texts that have a term."""
+    """Numbers every row, and writes the signatures of all texts that have a term."""
     bound_batches(docs.sparkSession)
     chosen = docs.select(column(docs, doc_id).alias("doc_id"), column(docs, text).alias("text"))
-    texts = scratch.keep(chosen.withColumn("number", F.monotonically_increasing_id()))
+    texts = numbered(chosen, "number", scratch)
     blocks = texts.where("text IS NOT NULL").select("number", "text").mapInPandas(_index, BLOCKS)
     return Index(texts, scratch.keep(blocks))
 

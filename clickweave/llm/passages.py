@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm.common import Scratch
 from clickweave.llm.suffix_array import prefix_ranks
-from clickweave.llm.suffix_dedup import MERGE, same_anchor
+from clickweave.llm.suffix_dedup import MERGE, MOST_TASKS, same_anchor
 
 #: Words in an anchor.
 ANCHOR = 8
@@ -153,6 +153,7 @@ def repeated_passages(docs: DataFrame, length: int, scratch: Scratch) -> DataFra
     # A segment that holds its anchor once is shorter than two windows.
     alive = contents.join(anchors, "anchor").where(f"total > 1 OR sample.words >= {2 * length}").drop("total", "n")
     alive = scratch.keep(alive)
+    alive_at = scratch.count
     # Where an anchor has one content, which several texts have, that content recurs whole.
     only = F.expr("kinds = 1 AND row_lo < row_hi")
     whole = alive.where(only).select(*content, F.lit(0).alias("run_from"), F.col("sample.words").alias("run_to"))
@@ -166,9 +167,12 @@ def repeated_passages(docs: DataFrame, length: int, scratch: Scratch) -> DataFra
     slices = scratch.keep(
         slices.mapInPandas(_slices, f"anchor bigint, c1 bigint, c2 bigint, {PLACES}, hot boolean, data binary")
     )
+    slices_at = scratch.count
+    scratch.drop(slices_at - 1)
     cold = slices.where("NOT hot")
     size = cold.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    dealt = cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-size // (8 * SHARD_WORDS))))))
+    shards = max(1, -(-size // (8 * SHARD_WORDS)))
+    dealt = cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(min(shards, MOST_TASKS), "shard")
     sorted_runs = scratch.keep(dealt.groupBy("shard").applyInPandas(_sort_shard(length), RUNS))
 
     # An anchor with more contents than a task should sort: its windows are counted by digest, each on its own.
@@ -185,6 +189,7 @@ def repeated_passages(docs: DataFrame, length: int, scratch: Scratch) -> DataFra
     hot_runs = hot_runs.select(*content, F.expr(MERGE).alias("r")).select(*content, "r.run_from", "r.run_to")
 
     runs = scratch.keep(whole.union(sorted_runs).union(hot_runs))
+    scratch.drop(alive_at, *range(slices_at, scratch.count))
     return segments.select(*content, "row", "start").join(runs, content).select(
         "row", (F.col("start") + F.col("run_from")).alias("first"), (F.col("start") + F.col("run_to")).alias("last")
     )

@@ -27,6 +27,8 @@ ANCHOR = 96
 SEGMENT_WINDOWS = 2048
 #: Bytes of contents that a shard is meant to hold. One anchor's contents stay together up to ``GROUP_CONTENTS``.
 SHARD_BYTES = 1 << 19
+#: Tasks that sort shards at most; beyond, a task sorts several, one after another.
+MOST_TASKS = 100_000
 GROUP_CONTENTS = 1024
 
 # An odd base for rolling hashes and an odd factor that mixes them.
@@ -207,6 +209,7 @@ def repeated_intervals(docs: DataFrame, length: int, scratch: Scratch) -> DataFr
     )
     anchors = contents.groupBy("anchor").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
     alive = scratch.keep(contents.join(anchors, "anchor").where("total > 1 OR looped").drop("total"))
+    alive_at = scratch.count
     # Where an anchor has one content, that content recurs whole.
     whole = alive.where("kinds = 1 AND n > 1").select(*content, F.lit(0).alias("run_from"), F.col("sample.bytes").alias("run_to"))
 
@@ -221,10 +224,13 @@ def repeated_intervals(docs: DataFrame, length: int, scratch: Scratch) -> DataFr
         .select("text", "wanted")
         .mapInPandas(_slices, "anchor bigint, c1 bigint, c2 bigint, n bigint, hot boolean, data binary")
     )
+    slices_at = scratch.count
+    scratch.drop(slices_at - 1)
     cold = slices.where("NOT hot")
     size = cold.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    dealt = cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    # A task for each shard: merged by size, a few tasks would sort all of them.
+    dealt = cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(min(shards, MOST_TASKS), "shard")
     sorted_runs = scratch.keep(dealt.groupBy("shard").applyInPandas(_sort_shard(length), RUNS))
 
     # An anchor with more contents than a task should sort: its windows are counted by digest, each on its own.
@@ -240,6 +246,7 @@ def repeated_intervals(docs: DataFrame, length: int, scratch: Scratch) -> DataFr
     hot_runs = hot_runs.select(*content, F.expr(MERGE).alias("r")).select(*content, "r.run_from", "r.run_to")
 
     runs = scratch.keep(whole.union(sorted_runs).union(hot_runs))
+    scratch.drop(alive_at, *range(slices_at, scratch.count))
     return segments.select(*content, "row", "start").join(runs, content).select(
         "row", (F.col("start") + F.col("run_from")).alias("first"), (F.col("start") + F.col("run_to")).alias("last")
     )
@@ -277,13 +284,13 @@ def whole_characters(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
-FINISHED = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+FINISHED = "n_bytes bigint, n_removed bigint, n_kept bigint, n_spans bigint, kept_sha256 string"
 
 
 def _finish(keep_text: bool):
     from clickweave.llm.passages import word_edges
 
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * keep_text
+    names = [field.split()[0] for field in FINISHED.split(", ")] + ["kept_text"] * keep_text
 
     @F.pandas_udf(FINISHED + ", kept_text string" * keep_text)
     def finish(texts: pd.Series, firsts: pd.Series, lasts: pd.Series, in_words: pd.Series) -> pd.DataFrame:
@@ -299,7 +306,7 @@ def _finish(keep_text: bool):
                 last = np.concatenate([last[~by_word], ends[pairs[:, 1] - 1]])
             runs = [] if first is None else merge(first, last)
             kept = cut_out(data, runs)
-            done = (len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest())
+            done = (len(data), len(data) - len(kept), len(kept), len(runs), hashlib.sha256(kept).hexdigest())
             if keep_text:
                 done += (cut_out(data, whole_characters(data, runs)).decode() if runs else text,)
             out.append(done)
@@ -311,20 +318,21 @@ def _finish(keep_text: bool):
 def remove_repeats(
     docs: DataFrame, length: int = 400, text: str = "text", keep_text: bool = True, least_words: int | None = None
 ) -> DataFrame:
-    """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and, in place of the text, what is left of it.
+    """``docs`` with ``n_bytes``, ``n_removed``, ``n_kept``, ``n_spans``, ``kept_sha256`` and, in place of the text, what is left of it.
 
     Every byte is removed that is covered by a string of ``length`` bytes which starts anywhere else too, in the
     same text or another; the first occurrence is not spared, and strings are judged on the input. Matches do not cross
     texts; with ``least_words``, passages of that many words that recur (see ``passages``) are removed as well,
     however few bytes they have. A null text is empty; repeated rows are repeats of each other. ``kept_sha256`` is over the remaining
     bytes; the text also keeps characters that a removed run would cut in half. Without ``keep_text`` the
-    column is dropped. Names that clash get underscores added. Rows are numbered and written first, so ``docs``
-    is read once.
+    column is dropped. Names that clash get underscores added. Rows are numbered by ``numbered``; of the tables written on the
+    way the last one stays, which the result reads.
     """
     bound_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
     row, spans, done = free_name(docs, "row", "spans", "done")
     docs = numbered(docs, row, scratch)
+    begun = scratch.count
     value = F.coalesce(column(docs, text), F.lit(""))
     texts = docs.select(F.col(row).alias("row"), value.alias("text"))
     found = repeated_intervals(texts, length, scratch).withColumn("in_words", F.lit(False))
@@ -333,17 +341,17 @@ def remove_repeats(
 
         # Written first, so that the tables behind them can go.
         found = scratch.keep(found)
-        for number in range(2, scratch.count):
-            scratch.drop(number)
+        scratch.drop(*range(begun + 1, scratch.count))
         passages = repeated_passages(texts, least_words, scratch).withColumn("in_words", F.lit(True))
         found = found.unionByName(passages)
     found = scratch.keep(
         found.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("first", "last", "in_words")).alias(spans))
     )
+    scratch.drop(*range(begun + 1, scratch.count))
     out = docs.join(found, row, "left").withColumn(
         done, _finish(keep_text)(F.coalesce(F.col(text), F.lit("")), F.col(f"{spans}.first"), F.col(f"{spans}.last"), F.col(f"{spans}.in_words"))
     )
-    keys = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    keys = ("n_bytes", "n_removed", "n_kept", "n_spans", "kept_sha256")
     out = out.withColumns({n: F.col(done)[k] for n, k in zip(free_name(docs, *keys), keys)})
     out = out.withColumn(text, F.col(done)["kept_text"]) if keep_text else out.drop(text)
     return out.drop(row, spans, done)

@@ -88,3 +88,17 @@ def test_packing_stage(kept):
         lengths[r[columns.index("doc_id")]] += r[columns.index("length")]
     assert lengths == {r[0]: len(encode(r[1])) + 1 for r in kept["suffix-array dedup"][1]}
     assert len(LONG) > 20_000
+
+
+def test_tables_on_the_way_are_dropped(spark, tmp_path, monkeypatch):
+    """After a run only what the returned plan reads is left: the last but one output, and the pieces of the packing."""
+    from clickweave.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path / "shared"))
+    spark.createDataFrame(ROWS + MORE, SCHEMA).repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    left = {p.parent.relative_to(tmp_path / "shared") for p in (tmp_path / "shared").rglob("*.parquet")}
+    roots = sorted(str(p).rsplit("-", 1)[0] for p in left)
+    assert roots == ["packing", "pipeline"] or roots == ["pipeline"]
+    assert {p.name for p in left if str(p).startswith("pipeline")} == {str(len(corpus_pipeline.STAGES) - 1)}
+    assert out.count() > 0

@@ -66,3 +66,53 @@ def test_pieces(docs):
         ids = [x for w in table.words(text) for p in table.parts(w) for x in piece_lattice.best_ids(p, table)]
         assert found[i] == ids
     assert len(found) == 300
+
+
+def test_numbers_tell_rows_apart_and_write_nothing(docs, spark):
+    """By file and place for a scan, whatever is chosen or filtered; anything else is written once."""
+    from clickweave.llm.common import Scratch, numbered
+
+    scratch = Scratch(spark, "numbers")
+    for scan in (docs, docs.select("text").where("text > '0.3'"), docs.withColumnRenamed("doc_id", "File_Path")):
+        seen = [Counter(numbered(scan, "row", scratch).collect())]
+        spark.conf.set(SPLIT, 5_000)
+        named = numbered(scan, "row", scratch)
+        assert named.columns == [*scan.columns, "row"]
+        seen.append(Counter(named.collect()))
+        assert seen[0] == seen[1] and len({r.row for r in seen[0]}) == scan.count() > 50
+    assert scratch.count == 0
+    for n, other in enumerate((docs.union(docs), docs.limit(7), spark.range(5), docs.withColumn("_metadata", docs["text"])), 1):
+        found = numbered(other, "row", scratch).collect()
+        assert scratch.count == n and len({r.row for r in found}) == len(found) > 4
+    one = docs.coalesce(1)
+    assert len({r.row for r in numbered(one, "row", scratch).collect()}) == 300
+
+
+def test_one_file_and_none(spark, tmp_path):
+    from clickweave.llm.common import Scratch, numbered
+
+    scratch = Scratch(spark, "numbers")
+    spark.range(10).coalesce(1).write.parquet(f"{tmp_path}/one")
+    assert sorted(r.row for r in numbered(spark.read.parquet(f"{tmp_path}/one"), "row", scratch).collect()) == list(range(10))
+    spark.range(0).write.parquet(f"{tmp_path}/none")
+    assert numbered(spark.read.parquet(f"{tmp_path}/none"), "row", scratch).collect() == []
+
+
+def test_collected_tables_are_dropped(spark):
+    from clickweave.llm.common import Scratch, collecting
+
+    with collecting():
+        inner = Scratch(spark, "inner")
+        inner.keep(spark.range(3))
+    outer = Scratch(spark, "outer")
+    outer.keep(spark.range(3))
+    assert not _there(spark, inner) and _there(spark, outer)
+    outer.drop(1)
+    assert _there(spark, outer)
+    outer.drop_all()
+    assert not _there(spark, outer)
+
+
+def _there(spark, scratch):
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch.root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
