@@ -107,15 +107,19 @@ def detect_sessions(
     policy: str = "bin",
     boundary: Column | None = None,
     busy: busy_users.BusyUsers | None = busy_users.BusyUsers(),
+    earlier: str | None = None,
 ) -> DataFrame:
     """Attach session id, start, end and duration to every event row.
 
     ``boundary`` is an optional condition that also opens a new session, for example
     ``F.col("page_name") == "logout"``. ``busy`` sets when a user counts as too large for one
-    task; ``None`` skips the counting pass for tables known to have no such user.
+    task; ``None`` skips the counting pass for tables known to have no such user. ``earlier`` names a
+    column with the number of sessions (islands under ``bin``) that the user had before these events; numbers in ids go on from there.
     """
     rules = SessionRules(inactivity_minutes, max_minutes, policy)
     marked = _split(df, user, time_ms, rules, boundary, busy)
+    if earlier is not None:
+        marked = marked.withColumn("_island", F.col("_island") + F.coalesce(F.col(earlier), F.lit(0)))
     return _describe(marked, df.columns, user, rules)
 
 

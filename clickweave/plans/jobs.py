@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickweave.functions.event_time import normalise_event_time, parse_timestamp
+from clickweave.functions.event_time import ClockRules, arrival_time, clock_reason, normalise_event_time, parse_timestamp
 from clickweave.functions.json_columns import parse_json, with_processing_time
 from clickweave.functions.layout import add_layout_columns, with_date_column
 from clickweave.functions.schema import to_schema
@@ -55,6 +56,11 @@ PAGE_ACTIVITY_SCHEMA = """
 ENVELOPE_REST = ["key", "topic", "partition", "offset", "timestampType"]
 USER_EVENT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
+#: What the time of a message may be, measured against the broker's timestamp. Bounded tables take late events.
+BATCH_CLOCK, STREAM_CLOCK = ClockRules(), ClockRules(most_late=timedelta(minutes=10))
+#: Where the parser puts the broker's timestamp.
+ARRIVAL = "kafka_timestamp"
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -71,24 +77,30 @@ def run_stream(source: DataFrame, transforms: Iterable[Transform], **write) -> S
     return write_stream(source, **write)
 
 
-def with_reason(messages: DataFrame) -> DataFrame:
+def with_reason(messages: DataFrame, clock: ClockRules | None = BATCH_CLOCK) -> DataFrame:
     """Parsed clickstream messages with event time, their text and why they are no usable event, if so.
 
-    The reason is null for a usable event. The rule is the same for bounded tables and streams.
+    The reason is null for a usable event. It depends on the message alone, so bounded tables and streams agree under the same
+    ``clock``, and events and rejects are all messages, each once. Messages without a broker timestamp are measured
+    against the time of the batch.
     """
     events = normalise_event_time(parse_json(messages, to_schema(CLICKSTREAM_SCHEMA)).drop(*ENVELOPE_REST))
-    reason = F.when(F.col("uuid").isNull(), "no user").when(F.col("event_time_ms").isNull(), "no readable time")
+    time_ms = F.col("event_time_ms")
+    reason = F.when(F.col("uuid").isNull(), "no user").when(time_ms.isNull(), "no readable time")
+    if clock is not None:
+        arrival = arrival_time(ARRIVAL if ARRIVAL in events.columns else None)
+        reason = F.coalesce(reason, clock_reason(time_ms, arrival, clock))
     return events.withColumn("reason", reason)
 
 
-def clickstream_events(messages: DataFrame) -> DataFrame:
+def clickstream_events(messages: DataFrame, clock: ClockRules | None = BATCH_CLOCK) -> DataFrame:
     """Typed clickstream events from envelope rows, with event time; see ``clickstream_rejects`` for the others."""
-    return with_reason(messages).filter("reason IS NULL").drop("reason", "value")
+    return with_reason(messages, clock).filter("reason IS NULL").drop("reason", "value")
 
 
-def clickstream_rejects(messages: DataFrame) -> DataFrame:
+def clickstream_rejects(messages: DataFrame, clock: ClockRules | None = BATCH_CLOCK) -> DataFrame:
     """``value`` and ``reason`` of the messages that ``clickstream_events`` leaves out."""
-    return with_reason(messages).filter("reason IS NOT NULL").select("value", "reason")
+    return with_reason(messages, clock).filter("reason IS NOT NULL").select("value", "reason")
 
 
 def land(events: DataFrame, path: str) -> DataFrame:
@@ -102,6 +114,7 @@ def sessions_batch(
     sink: Callable[[DataFrame], None],
     rejects: Callable[[DataFrame], None] | None = None,
     landing: str | None = None,
+    clock: ClockRules | None = BATCH_CLOCK,
     **limits,
 ) -> None:
     """Bounded messages to sessionised event rows with layout columns; what is no event goes to ``rejects``.
@@ -112,7 +125,7 @@ def sessions_batch(
     """
     spark = messages.sparkSession
     path = landing or f"{shared_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
-    landed = land(with_reason(messages), path)
+    landed = land(with_reason(messages, clock), path)
     if rejects is not None:
         rejects(landed.filter("reason IS NOT NULL").select("value", "reason"))
     run_batch(
@@ -122,23 +135,32 @@ def sessions_batch(
     )
 
 
-def sessions_stream(messages: DataFrame, limits: dict | None = None, **write) -> StreamingQuery:
+def sessions_stream(
+    messages: DataFrame, limits: dict | None = None, clock: ClockRules = STREAM_CLOCK, **write
+) -> StreamingQuery:
     """Message stream to a session table partitioned by date and user bucket.
 
-    ``rejects_stream`` is a second query over the same messages, for what is no event.
+    ``rejects_stream`` is a second query over the same messages, for what is no event, has a wrong clock or is late: between
+    them they have every message once, whatever batches either of them is cut into. The watermark waits for all that
+    ``clock`` lets through. ``dropped_rows`` of the query tells whether partitions lagged by more than ``clock.slack``.
     """
+    given = {"delay": clock.watermark_delay, **(limits or {})}
     return run_stream(
         messages,
-        [clickstream_events, lambda e: stream_session_events(e, **(limits or {})), add_layout_columns],
+        [
+            lambda m: clickstream_events(m, clock),
+            lambda e: stream_session_events(e, clock=None, **given),
+            add_layout_columns,
+        ],
         stateful=True,
         partition_by=["session_date", "user_hash_bucket"],
         **write,
     )
 
 
-def rejects_stream(messages: DataFrame, **write) -> StreamingQuery:
-    """Messages that are no usable clickstream event, with the reason."""
-    return run_stream(messages, [clickstream_rejects], **write)
+def rejects_stream(messages: DataFrame, clock: ClockRules = STREAM_CLOCK, **write) -> StreamingQuery:
+    """Messages that ``sessions_stream`` leaves out, with the reason."""
+    return run_stream(messages, [lambda m: clickstream_rejects(m, clock)], **write)
 
 
 REQUIRED = ("event_id", "event_type", "user_id", "timestamp")
@@ -217,10 +239,11 @@ def quality_files(
     )
 
 
-def activity_windows(messages: DataFrame, delay: str = "30 minutes") -> DataFrame:
+def activity_windows(messages: DataFrame, delay: str = "30 minutes", clock: ClockRules | None = BATCH_CLOCK) -> DataFrame:
     """Half-hour totals per user and session, with the window's date to partition by."""
     pages = parse_json(messages, to_schema(PAGE_ACTIVITY_SCHEMA), keep_value=False)
-    totals = stream_windowed_activity(pages, ["user_id", "session_id"], delay=delay)
+    arrival = ARRIVAL if ARRIVAL in pages.columns else None
+    totals = stream_windowed_activity(pages, ["user_id", "session_id"], delay=delay, clock=clock, arrival=arrival)
     return with_date_column(totals, totals["window.start"], "window_date")
 
 

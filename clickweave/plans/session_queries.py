@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clickweave.functions.layout import add_layout_columns, for_user
 from clickweave.operators import analytics
 from clickweave.operators.busy_users import BusyUsers, measure_busy
+from clickweave.operators.incremental import SessionTable
 from clickweave.operators.sessions import (
     detect_sessions,
     rollup_sessions,
@@ -96,6 +97,25 @@ def sessions_greedy(spark, sf_dir):
     return rollup_sessions(sessions(spark, sf_dir, "greedy"))
 
 
+DAY_MS = 86_400_000
+
+
+def slice_ends(events, days: int) -> list[int]:
+    """Ends of the slices of so many days that hold all events."""
+    low, high = events.agg(F.min("event_time_ms"), F.max("event_time_ms")).first()
+    return list(range((low // DAY_MS + days) * DAY_MS, high + days * DAY_MS + 1, days * DAY_MS)) if low is not None else [0]
+
+
+@query("sessions_incremental", f"{GREEDY_SESSIONS} SELECT {EVENT_COLUMNS} FROM sess")
+def sessions_incremental(spark, sf_dir):
+    """The table taken in slice by slice; each run reads its own events and the sessions that were open before it."""
+    events = clicks(spark, sf_dir)
+    stored = SessionTable(spark, scratch(spark, "incremental"), busy=None, **LIMITS)
+    for end in slice_ends(events, days=8):
+        stored.add(events, end)
+    return stored.rows().select(*EVENT_OUTPUT)
+
+
 TRUNCATED = f"""
 WITH {CLICKS}, {islands()}
 SELECT uuid, uuid || '_session_' || island AS session_id, min(ms) AS session_start_time_ms,

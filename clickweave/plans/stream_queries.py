@@ -2,21 +2,24 @@
 
 Every query runs a real stream to completion (all files there are, then stop) into a sink under
 the shared folder and returns what the sink holds. Streams with open sessions or windows are closed by
-an end marker, so they return what the bounded operators return. ``stream_late_data`` alone is about what the
+an end marker, so they return what the bounded operators return. An event arrives at its own time there. ``stream_late_data`` alone is about what the
 watermark has passed, and its SQL applies the same rule.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.operators.incremental import SessionTable
 from clickweave.operators.row_ops import apply_steps
+from clickweave.operators.sessions import rollup_sessions
 from clickweave.plans import jobs
 from clickweave.plans.inputs import (
     as_clicks,
     click_messages,
     click_stream,
+    clicks,
     end_marker,
     event_stream,
     scratch,
@@ -46,26 +49,23 @@ def drain(df: DataFrame, label: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drain_whole(spark, sf_dir: str, build, label: str, run=None, **options) -> DataFrame:
-    """Run a stream over the whole events table and close it, so that its result is complete.
+def drain_whole(spark, sf_dir: str, build, label: str, run=None, only: Column | None = None, **options) -> DataFrame:
+    """Run a stream over the whole events table (or ``only`` some rows) and close it, so that its result is complete.
 
-    The stream reads the table and a folder of its own that is empty at first. Once everything available has been
-    taken, the end marker is put there, and the stream goes on from its checkpoint until the marker's
-    watermark has closed all that is open.
+    The stream reads the table and a folder with the end marker. Both come with the first batch; the marker's watermark then
+    has the batch that follows, which has no data, close all that is open.
     """
     events = event_stream(spark, sf_dir)
     closing, path, checkpoint = (scratch(spark, f"{label}-{part}") for part in ("closing", "out", "checkpoint"))
-    spark.createDataFrame([], events.schema).write.parquet(closing)
-    for step in ("table", "marker"):
-        if step == "marker":
-            row = end_marker(events.schema)
-            spark.createDataFrame([tuple(row[c] for c in events.columns)], events.schema).write.mode("append").parquet(closing)
-        source = event_stream(spark, sf_dir).unionByName(stream_files(spark, closing, events.schema))
-        if run is not None:
-            run(source, checkpoint=checkpoint, path=path, trigger=DRAIN).awaitTermination()
-        else:
-            df = build(source)
-            write_stream(df, checkpoint, path=path, trigger=DRAIN, **options).awaitTermination()
+    row = end_marker(events.schema)
+    spark.createDataFrame([tuple(row[c] for c in events.columns)], events.schema).write.parquet(closing)
+    source = events.unionByName(stream_files(spark, closing, events.schema))
+    source = source if only is None else source.filter(only)
+    if run is not None:
+        query = run(source, checkpoint=checkpoint, path=path, trigger=DRAIN)
+    else:
+        query = write_stream(build(source), checkpoint, path=path, trigger=DRAIN, **options)
+    query.awaitTermination()
     return spark.read.parquet(path)
 
 
@@ -140,7 +140,7 @@ def stream_payload(spark, sf_dir):
 )
 def stream_session_window(spark, sf_dir):
     def build(events):
-        return stream_windowed_sessions(as_clicks(events), inactivity_minutes=INACTIVITY_MINUTES)
+        return stream_windowed_sessions(as_clicks(events), inactivity_minutes=INACTIVITY_MINUTES, arrival="event_time")
 
     return drain_whole(spark, sf_dir, build, "stream_session_window")
 
@@ -161,7 +161,7 @@ def stream_tumbling(spark, sf_dir):
 )
 def stream_windowed_user_agg(spark, sf_dir):
     def build(events):
-        return stream_windowed_activity(page_activity(events), ["user_id"]).select(
+        return stream_windowed_activity(page_activity(events), ["user_id"], arrival="timestamp").select(
             "user_id",
             F.unix_millis("window.start").alias("window_start_ms"),
             "duration_seconds_sum",
@@ -220,7 +220,7 @@ STREAM_SESSIONS = f"WITH RECURSIVE {CLICKS}, {islands()}, {greedy()}"
 )
 def stream_sessions_capped(spark, sf_dir):
     def build(events):
-        return stream_capped_sessions(as_clicks(events), **LIMITS).select(
+        return stream_capped_sessions(as_clicks(events), arrival="event_time", **LIMITS).select(
             "uuid",
             "session_id",
             "session_start_time_ms",
@@ -240,11 +240,36 @@ def stream_sessions_capped(spark, sf_dir):
 )
 def stream_events(spark, sf_dir):
     def build(events):
-        return stream_session_events(as_clicks(events), **LIMITS).select(*EVENT_OUTPUT)
+        return stream_session_events(as_clicks(events), arrival="event_time", **LIMITS).select(*EVENT_OUTPUT)
 
     return drain_whole(spark, sf_dir, build, "stream_session_events", stateful=True)
 
 
+@query(
+    "stream_after_batch",
+    f"""{STREAM_SESSIONS}
+    SELECT uuid, s AS session_start_time_ms, max(ms) AS session_end_time_ms, count(*) AS event_count
+    FROM sess GROUP BY uuid, s, n""",
+)
+def stream_after_batch(spark, sf_dir):
+    """The first half of the time as a bounded table; a stream goes on from the sessions that are open then."""
+    columns = ["uuid", "session_start_time_ms", "session_end_time_ms", "event_count"]
+    events = clicks(spark, sf_dir)
+    low, high = events.agg(F.min("event_time_ms"), F.max("event_time_ms")).first()
+    middle = (low + high) // 2
+    stored = SessionTable(spark, scratch(spark, "before_stream"), busy=None, **LIMITS)
+    stored.add(events, middle)
+    opened = stored.open_sessions()
+
+    def build(rest):
+        return stream_capped_sessions(as_clicks(rest), arrival="event_time", initial=opened, **LIMITS).select(*columns)
+
+    later = F.unix_millis(F.col("ts").cast("timestamp")) >= middle
+    streamed = drain_whole(spark, sf_dir, build, "after_batch", only=later, stateful=True)
+    closed = stored.rows().join(opened.select("uuid", "session_start_time_ms"), ["uuid", "session_start_time_ms"], "left_anti")
+    return rollup_sessions(closed).select(*columns).unionByName(streamed)
+
+
 @query(
     "job_typed_events_stream",
     "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, (epoch_us(ts) // 1000) AS ms,"
@@ -276,7 +301,7 @@ def job_typed_events_stream(spark, sf_dir):
 def job_activity_stream(spark, sf_dir):
     def run(events, **write):
         pages = page_activity(events).withColumn("session_id", F.col("page"))
-        return jobs.activity_stream(pages.select(F.to_json(F.struct(*pages.columns)).alias("value")), **write)
+        return jobs.activity_stream(pages.select(F.to_json(F.struct(*pages.columns)).alias("value"), "timestamp"), **write)
 
     return drain_whole(spark, sf_dir, None, "activity", run=run).select(
         "user_id",
@@ -307,3 +332,69 @@ def job_sessions_stream(spark, sf_dir):
         "session_start_time_ms",
         F.col("session_date").cast("string").alias("session_date"),
     )
+
+
+# Messages whose sender's clock runs ahead, and messages that were held up on their way; the others are up to four minutes on it.
+AHEAD, HELD_UP = "user_id % 17 = 3", "event_id % 13 = 5"
+AHEAD_MS, HELD_UP_MS = 2 * HOUR_MS, 3 * HOUR_MS
+SENT = f"""
+arrivals AS (
+    SELECT CAST(user_id AS VARCHAR) AS uuid, event_id, event_type AS page_name, (epoch_us(ts) // 1000) AS ms,
+        CASE WHEN {AHEAD} THEN 'clock ahead' WHEN {HELD_UP} THEN 'late' END AS reason FROM events
+),
+clicks AS (SELECT uuid, event_id, page_name, ms FROM arrivals WHERE reason IS NULL)"""
+
+
+def arriving(spark, sf_dir: str, label: str) -> DataFrame:
+    """The events as messages with an arrival, streamed in its order, a third of them at a time; an end marker comes last."""
+    events = table(spark, sf_dir, "events")
+    closing = spark.createDataFrame([tuple(end_marker(events.schema)[c] for c in events.columns)], events.schema)
+    sent = F.unix_millis(F.col("ts").cast("timestamp"))
+    lag = F.when(F.expr(AHEAD), -AHEAD_MS).when(F.expr(HELD_UP), HELD_UP_MS).otherwise(F.pmod("event_id", F.lit(5)) * 60_000)
+    timed = events.withColumn("arrived", sent + lag)
+    first, second = timed.approxQuantile("arrived", [1 / 3, 2 / 3], 0.01)
+    parts = (F.col("arrived") <= first, (F.col("arrived") > first) & (F.col("arrived") <= second), F.col("arrived") > second)
+    source = scratch(spark, f"{label}-in")
+    for part in (*[timed.filter(p) for p in parts], closing.withColumn("arrived", sent)):
+        messages = click_messages(part.drop("arrived")).drop("timestamp")
+        messages = messages.withColumn("event_id", F.get_json_object("value", "$.event_id").cast("bigint"))
+        messages = messages.join(part.select("event_id", F.timestamp_millis("arrived").alias("timestamp")), "event_id")
+        messages.drop("event_id").coalesce(1).write.mode("append").parquet(source)
+    return stream_files(spark, source, spark.read.parquet(source).schema, max_files_per_trigger=1)
+
+
+def rejected(spark, sf_dir: str, label: str, reason: str) -> DataFrame:
+    path = scratch(spark, f"{label}-out")
+    jobs.rejects_stream(
+        arriving(spark, sf_dir, label), checkpoint=scratch(spark, f"{label}-checkpoint"), path=path, trigger=DRAIN
+    ).awaitTermination()
+    found = spark.read.parquet(path).filter(F.col("reason") == reason)
+    return found.select(F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), "reason")
+
+
+@query("stream_clock_rejects", f"WITH {SENT} SELECT event_id, reason FROM arrivals WHERE reason = 'clock ahead'")
+def stream_clock_rejects(spark, sf_dir):
+    return rejected(spark, sf_dir, "clock_rejects", "clock ahead")
+
+
+@query("stream_late_rejects", f"WITH {SENT} SELECT event_id, reason FROM arrivals WHERE reason = 'late'")
+def stream_late_rejects(spark, sf_dir):
+    return rejected(spark, sf_dir, "late_rejects", "late")
+
+
+@query(
+    "stream_guarded_sessions",
+    f"""WITH RECURSIVE {SENT}, {islands()}, {greedy()}
+    SELECT uuid, CAST(event_id AS VARCHAR) AS event_id, s AS session_start_time_ms FROM sess""",
+)
+def stream_guarded_sessions(spark, sf_dir):
+    """Sessions of all that is neither late nor has a wrong clock, none of which the watermark may drop."""
+    path = scratch(spark, "guarded-out")
+    jobs.sessions_stream(
+        arriving(spark, sf_dir, "guarded"),
+        limits=LIMITS,
+        checkpoint=scratch(spark, "guarded-checkpoint"),
+        path=path,
+        trigger=DRAIN,
+    ).awaitTermination()
+    return spark.read.parquet(path).select("uuid", "event_id", "session_start_time_ms")

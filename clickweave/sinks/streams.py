@@ -68,6 +68,14 @@ def write_stream(
     return writer.start(path) if path else writer.start()
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark has kept out of state so far, in the batches whose progress the query still holds.
+
+    Above zero, the source's partitions lag behind each other by more than the watermark waits.
+    """
+    return sum(int(op["numRowsDroppedByWatermark"]) for batch in query.recentProgress for op in batch["stateOperators"])
+
+
 def table_stream_options(settings: dict[str, Any]) -> dict[str, str]:
     """Options of a streaming table write: schema merging, open files, pass-through ``iceberg.*``."""
     options = {"mergeSchema": str(settings.get("merge_schema", True)).lower()}

@@ -1,11 +1,12 @@
 """Streaming sessions under both rules, with keyed state.
 
-Events wait until the watermark has passed them, so they are taken in time order whatever the
-arrival order, and the result equals the bounded ``greedy`` policy. Session ids come from the
-session start and stay unique after a user's state has been removed.
+Events are first counted per user and millisecond, spread over all tasks and combined before the shuffle, and held
+back until the watermark has passed their second. What reaches a user's state are these moments, in time order
+whatever the arrival order, so the result equals the bounded ``greedy`` policy: a start depends on earlier moments only. Session
+ids come from the session start and stay unique after a user's state has been removed.
 
-Two outputs exist: finished sessions, and event rows, emitted as soon as the watermark passes them
-with the session end as known at that event.
+Two outputs exist: finished sessions, and event rows, emitted as soon as the watermark passes their second with the
+session end as known at that event. Event rows never enter Python: the starts of the moments are joined to them.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from clickweave.functions.event_time import ClockRules, arrival_time, clock_reason
 from clickweave.operators.sessions import SessionRules, usable_events
 from clickweave.streaming.windows import DEFAULT_DELAY
 
@@ -27,49 +29,38 @@ from clickweave.streaming.windows import DEFAULT_DELAY
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OPEN_SCHEMA = "start bigint, last bigint, events bigint"
-# Fixed value: moments are handed on once the watermark has passed the second they lie in.
-SETTLING = "1 second"
-# Keep microseconds when an event travels as JSON.
-JSON_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
+# Moments are handed on once the watermark has passed the second they lie in.
+SECOND_MS = 1000
+STARTS = "session_start_time_ms bigint, _settled timestamp"
 
 
 def stream_capped_sessions(
     events: DataFrame,
     user: str = "uuid",
-    event_time: str = "event_time",
     time_ms: str = "event_time_ms",
     inactivity_minutes: float = 30,
     max_minutes: float = 120,
-    delay: str = DEFAULT_DELAY,
+    delay: str | None = None,
+    clock: ClockRules | None = ClockRules(),
+    arrival: str | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """One row per finished session. Needs the RocksDB state store.
 
-    Events are first counted per user and millisecond, spread over all tasks and combined before
-    the shuffle, and held back until the watermark has passed their second. So the task that
-    follows a user sees at most 1000 rows per second of event time, however busy the user is, and
-    keeps nothing but the open session.
+    ``initial`` has the sessions that are open when the stream begins, such as ``SessionTable.open_sessions``: user,
+    ``session_start_time_ms``, ``session_end_time_ms`` and ``event_count``. A user's task sees at most 1000 rows per second of event time, however busy the user is, and keeps nothing but the
+    open session. Events that break the ``clock`` rules are left out, see ``settling_events``.
     """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
-    key_type = events.schema[user].dataType.simpleString()
-    moments = (
-        usable_events(events, user, time_ms)
-        .withWatermark(event_time, delay)
-        .groupBy(F.col(user), F.col(time_ms).alias("moment"), F.window(event_time, SETTLING).alias("second"))
-        .agg(F.count(F.lit(1)).alias("events"))
-        # Python sees whole milliseconds only: its timestamps end in the year 2262.
-        .select(user, "moment", "events")
-    )
+    moments = _moments(settling_events(events, user, time_ms, delay, clock, arrival), user, time_ms)
     closed = moments.groupBy(user).transformWithStateInPandas(
         statefulProcessor=ClosedSessions(user, rules.gap_ms, rules.cap_ms),
         outputStructType=(
-            f"`{user}` {key_type}, session_start_time_ms bigint, session_end_time_ms bigint,"
-            " event_count bigint"
+            f"`{user}` {_kind(events, user)}, session_start_time_ms bigint, session_end_time_ms bigint, event_count bigint"
         ),
         outputMode="append",
         timeMode="EventTime",
+        initialState=_initial(initial, user),
     )
     return _describe(closed, user)
 
@@ -77,42 +68,68 @@ def stream_capped_sessions(
 def stream_session_events(
     events: DataFrame,
     user: str = "uuid",
-    event_time: str = "event_time",
     time_ms: str = "event_time_ms",
     inactivity_minutes: float = 30,
     max_minutes: float = 120,
-    delay: str = DEFAULT_DELAY,
+    delay: str | None = None,
+    clock: ClockRules | None = ClockRules(),
+    arrival: str | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Event rows with session id, start and the end so far. Needs the RocksDB state store.
 
-    Column order of the input is kept. Only events the watermark has not reached are in state.
+    ``initial`` as for ``stream_capped_sessions``. Column order and types of the input are kept. Moments are given their session start by user; a stream-stream join on
+    user and moment brings the starts to the event rows, so the rows of one user are spread over all tasks. Both sides
+    of the join are held until the watermark has passed their second, and no longer. Events that break the ``clock``
+    rules are left out, see ``settling_events``.
     """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
-    columns = events.columns
-    key_type = events.schema[user].dataType.simpleString()
-    # The rest of the event is of no interest to the processor and travels as one JSON text.
-    packed = (
-        usable_events(events, user, time_ms)
-        .withWatermark(event_time, delay)
-        .select(
-            user,
-            F.col(time_ms).alias("moment"),
-            F.to_json(F.struct(*columns), JSON_OPTIONS).alias("packed"),
-        )
-    )
-    marked = packed.groupBy(user).transformWithStateInPandas(
-        statefulProcessor=SessionEvents(user, rules.gap_ms, rules.cap_ms),
-        outputStructType=(
-            f"`{user}` {key_type}, session_start_time_ms bigint, session_end_time_ms bigint, packed string"
-        ),
+    settling = settling_events(events, user, time_ms, delay, clock, arrival)
+    starts = _moments(settling, user, time_ms).groupBy(user).transformWithStateInPandas(
+        statefulProcessor=MomentStarts(user, rules.gap_ms, rules.cap_ms),
+        outputStructType=f"`{user}` {_kind(events, user)}, _moment bigint, {STARTS}",
         outputMode="append",
         timeMode="EventTime",
+        initialState=_initial(initial, user),
+        eventTimeColumnName="_settled",
     )
-    event = F.from_json("packed", events.schema, JSON_OPTIONS).alias("event")
-    unpacked = marked.select("session_start_time_ms", "session_end_time_ms", event).select(
-        "event.*", "session_start_time_ms", "session_end_time_ms"
-    )
-    return _describe(unpacked, user)
+    starts = starts.withColumnsRenamed({user: "_user", "_settled": "_settled_at"})
+    same = (F.col(user) == F.col("_user")) & (F.col(time_ms) == F.col("_moment")) & (F.col("_settled") == F.col("_settled_at"))
+    joined = settling.join(starts, same).withColumn("session_end_time_ms", F.col(time_ms))
+    return _describe(joined.select(*[f"`{c}`" for c in events.columns], "session_start_time_ms", "session_end_time_ms"), user)
+
+
+def settling_events(
+    events: DataFrame, user: str, time_ms: str, delay: str | None, clock: ClockRules | None, arrival: str | None
+) -> DataFrame:
+    """Events that can belong to a session, with the end of their second in ``_settled`` and the watermark on it.
+
+    A watermark follows the latest event time, so a single wrong clock would end the stream for everyone. ``clock``
+    therefore leaves out events whose time is too far after or before their ``arrival`` (a timestamp column, by default the time
+    of the micro-batch); ``clock_rejects`` has them. None takes every time as it is. ``delay`` is how long the watermark waits, by default
+    what the rules need in order to lose nothing that they let through.
+    """
+    usable = usable_events(events, user, time_ms)
+    if clock is not None:
+        usable = usable.filter(clock_reason(F.col(time_ms), arrival_time(arrival), clock).isNull())
+    second = F.floor(F.col(time_ms) / SECOND_MS).cast("bigint")
+    wait = delay or (clock.watermark_delay if clock is not None and arrival is not None else DEFAULT_DELAY)
+    return usable.withColumn("_settled", F.timestamp_millis((second + 1) * SECOND_MS)).withWatermark("_settled", wait)
+
+
+def _moments(settling: DataFrame, user: str, time_ms: str) -> DataFrame:
+    counted = settling.groupBy(F.col(user), F.col(time_ms).alias("moment"), "_settled").agg(F.count(F.lit(1)).alias("events"))
+    # Python sees whole milliseconds only.
+    return counted.select(user, "moment", "events")
+
+
+def _initial(sessions: DataFrame | None, user: str):
+    columns = (user, "session_start_time_ms", "session_end_time_ms", "event_count")
+    return None if sessions is None else sessions.select(*columns).groupBy(user)
+
+
+def _kind(events: DataFrame, column: str) -> str:
+    return events.schema[column].dataType.simpleString()
 
 
 def session_starts(
@@ -159,6 +176,23 @@ class _PerUser(StatefulProcessor):
         if wanted is not None and wanted not in known:
             self.handle.registerTimer(wanted)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        row = initialState.iloc[0]
+        self.keep_open(tuple(int(row[c]) for c in ("session_start_time_ms", "session_end_time_ms", "event_count")), timerValues)
+
+    def keep_open(self, session, timerValues) -> bool:
+        """Keep the open session and a timer, unless no event can join it any more."""
+        # Moments of a second that the watermark has not left may still be on their way.
+        settled = timerValues.getCurrentWatermarkInMs() // SECOND_MS * SECOND_MS
+        expires = session[1] + self.gap_ms + 1
+        if expires <= settled - 1:
+            self.open.clear()
+            self.wake_at([])
+            return False
+        self.open.update(tuple(session))
+        self.wake_at([-(-(expires + 1) // SECOND_MS) * SECOND_MS])
+        return True
+
     def close(self) -> None:
         pass
 
@@ -193,16 +227,8 @@ class ClosedSessions(_PerUser):
             yield from self.settle(key, [], self.open.get(), timerValues)
 
     def settle(self, key, done, session, timerValues) -> Iterator[pd.DataFrame]:
-        # Moments of a second that the watermark has not left may still be on their way.
-        settled = timerValues.getCurrentWatermarkInMs() // 1000 * 1000
-        expires = session[1] + self.gap_ms + 1
-        if expires <= settled - 1:
+        if not self.keep_open(session, timerValues):
             done.append(tuple(session))
-            self.open.clear()
-            self.wake_at([])
-        else:
-            self.open.update(tuple(session))
-            self.wake_at([-(-(expires + 1) // 1000) * 1000])
         if done:
             frame = pd.DataFrame(
                 done, columns=["session_start_time_ms", "session_end_time_ms", "event_count"]
@@ -211,64 +237,22 @@ class ClosedSessions(_PerUser):
             yield frame
 
 
-class SessionEvents(_PerUser):
-    """Emit each event with its session once the watermark has passed it."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.waiting = handle.getListState("waiting", "moment bigint, packed string")
-        self.passed = handle.getValueState("passed", "watermark bigint")
-
-    def keep(self, rows: Iterator[pd.DataFrame]) -> None:
-        # What the watermark had passed when this user's events were last handed on is late.
-        passed = self.passed.get()[0] if self.passed.exists() else None
-        for batch in rows:
-            if passed is not None:
-                batch = batch[batch["moment"] > passed]
-            if len(batch):
-                self.waiting.appendList(list(zip(batch["moment"].tolist(), batch["packed"].tolist())))
+class MomentStarts(_PerUser):
+    """Emit each moment at once with the start of its session."""
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        self.keep(rows)
-        yield from self.advance(key, timerValues.getCurrentWatermarkInMs())
+        moments = np.sort(np.concatenate([batch["moment"].to_numpy(dtype=np.int64) for batch in rows]))
+        start, last, _ = self.open.get() if self.open.exists() else (None, None, 0)
+        starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms)
+        self.keep_open((int(starts[-1]), int(moments[-1]), 0), timerValues)
+        ends = (moments // SECOND_MS + 1) * SECOND_MS
+        settled = pd.Series(ends.astype("datetime64[ms]")).dt.tz_localize("UTC")
+        yield pd.DataFrame({self.user: key[0], "_moment": moments, "session_start_time_ms": starts, "_settled": settled})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self.advance(key, timerValues.getCurrentWatermarkInMs())
-
-    def advance(self, key, watermark: int) -> Iterator[pd.DataFrame]:
-        waiting = sorted(self.waiting.get())
-        start, last, events = self.open.get() if self.open.exists() else (None, None, 0)
-        moments = np.asarray([moment for moment, _ in waiting], dtype=np.int64)
-        ripe = int(np.searchsorted(moments, watermark, side="right"))
-        frame = None
-        if ripe:
-            starts = session_starts(moments[:ripe], start, last, self.gap_ms, self.cap_ms)
-            frame = pd.DataFrame(
-                {
-                    self.user: key[0],
-                    "session_start_time_ms": starts,
-                    "session_end_time_ms": moments[:ripe],
-                    "packed": [packed for _, packed in waiting[:ripe]],
-                }
-            )
-            start, last = int(starts[-1]), int(moments[ripe - 1])
-        if watermark > 0:
-            self.passed.update((watermark,))
-        if start is not None and last + self.gap_ms < watermark:
-            start = None
-            self.open.clear()
-        elif start is not None:
-            self.open.update((start, last, events + ripe))
-        if ripe == len(waiting):
-            self.waiting.clear()
-        elif ripe:
-            self.waiting.put(waiting[ripe:])
-        alarms = moments[ripe : ripe + 1].tolist()
-        if start is not None:
-            alarms.append(last + self.gap_ms + 1)
-        self.wake_at(alarms)
-        if frame is not None:
-            yield frame
+        if self.open.exists():
+            self.keep_open(self.open.get(), timerValues)
+        return iter(())
 
 
 def _describe(df: DataFrame, user: str) -> DataFrame:

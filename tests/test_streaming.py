@@ -1,9 +1,13 @@
+from collections import Counter
+from datetime import timedelta
+
 import numpy as np
 import pytest
 from brute import sessions as brute_sessions
 from pyspark.sql import functions as F
 from test_sessions import MINUTE, skewed_events
 
+from clickweave.functions.event_time import ClockRules, clock_rejects
 from clickweave.functions.layout import add_layout_columns
 from clickweave.plans import jobs
 from clickweave.sinks.streams import write_stream
@@ -138,14 +142,16 @@ def test_session_job_writes_a_partitioned_table(spark, tmp_path):
         "event_id string, page_name string, event_timestamp string, uuid string",
     )
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    messages = to_envelope(events)
+    sent = F.timestamp_millis(F.col("event_timestamp").cast("bigint"))
+    messages = to_envelope(events, time=sent)
     messages.write.parquet(source)
     stream = stream_files(spark, source, StructType.fromJson(messages.schema.jsonValue()))
     jobs.sessions_stream(
         stream, checkpoint=str(tmp_path / "ckpt"), path=target, trigger=DRAIN
     ).awaitTermination()
     # A last message at the end of time closes the stream; its own event stays open.
-    to_envelope(spark.createDataFrame([("end", "", "253399622400000", "end")], events.schema)).write.mode("append").parquet(source)
+    end = spark.createDataFrame([("end", "", "253399622400000", "end")], events.schema)
+    to_envelope(end, time=sent).write.mode("append").parquet(source)
     jobs.sessions_stream(
         stream, checkpoint=str(tmp_path / "ckpt"), path=target, trigger=DRAIN
     ).awaitTermination()
@@ -179,3 +185,87 @@ def test_session_starts(start, last):
         # The open session began too long ago, so the first moment starts another one.
         expected = [100, 100, 100, 131, 131, 152, 152]
     assert found.tolist() == expected
+
+
+ARRIVING = "uuid string, event_time_ms bigint, event_id bigint, arrived bigint, tags map<int, string>"
+
+
+class ArrivingFeed(Feed):
+    """Events with an arrival of their own and a column that JSON cannot bring back."""
+
+    def send(self, rows):
+        rows = [(*r, {r[2] % 3: str(r[2])}) for r in rows]
+        self.spark.createDataFrame(rows, ARRIVING).coalesce(2).write.mode("append").parquet(self.source)
+        stream = self.build(stream_files(self.spark, self.source, ARRIVING).withColumn("arrived", F.timestamp_millis("arrived")))
+        query = write_stream(stream, self.checkpoint, path=self.target, trigger=DRAIN, stateful=True)
+        query.awaitTermination()
+        return query
+
+
+def test_one_wrong_clock_loses_nothing(spark, tmp_path):
+    """Events of a day, then one from the end of time, then events of the next day: all but the one come out, and it is a reject."""
+    start, day, end = 10**12, 86_400_000, 253_400_000_000_000
+    first = [(f"u{i % 3}", start + i * 60_000, i, start + i * 60_000) for i in range(60)]
+    second = [(f"u{i % 3}", start + day + i * 60_000, 100 + i, start + day + i * 60_000 + 9 * MINUTE) for i in range(60)]
+    wrong = [("other", end, 500, start + 3_600_000)]
+    late = [("u0", start, 600, start + day)]
+    rules = ClockRules(most_late=timedelta(minutes=10))
+    feed = ArrivingFeed(
+        spark,
+        tmp_path,
+        lambda s: stream_session_events(s, inactivity_minutes=30, max_minutes=120, clock=rules, arrival="arrived"),
+    )
+    feed.send(first + wrong)
+    feed.send(second + late)
+    feed.send([("end", start + 9 * day, -1, start + 9 * day)])
+    rows = feed.rows()
+    assert Counter(r.event_id for r in rows) == Counter(r[2] for r in first + second)
+    assert all(r.tags == {r.event_id % 3: str(r.event_id)} for r in rows)
+    everything = spark.read.parquet(feed.source).withColumn("arrived", F.timestamp_millis("arrived"))
+    rejects = clock_rejects(everything, rules, arrival="arrived").collect()
+    assert {(r.event_id, r.reason) for r in rejects} == {(500, "clock ahead"), (600, "late")}
+    # Rows out and rejects are the rows in, but for the event that closes the stream.
+    assert len(rows) + len(rejects) + 1 == everything.count()
+
+
+def test_clocks_are_held_against_the_time_of_the_batch(spark, tmp_path):
+    """Without an arrival; the future ends no stream."""
+    feed = Feed(spark, tmp_path, capped)
+    feed.send([("u", 5000, 1), ("x", 253_400_000_000_000, 2)])
+    feed.send([("u", 100_000, 3)])
+    feed.send([SENTINEL])
+    assert {(r.uuid, r.event_count) for r in feed.rows()} == {("u", 2)}
+
+
+def test_join_state_is_let_go(spark, tmp_path):
+    """Neither side of the join keeps rows of seconds that the watermark has passed."""
+    feed = ArrivingFeed(
+        spark, tmp_path, lambda s: stream_session_events(s, delay="10 seconds", clock=None)
+    )
+    feed.send([(f"u{i % 5}", i * 1000, i, 0) for i in range(200)])
+    query = feed.send([("end", 10**9, -1, 0)])
+    assert len(feed.rows()) == 200
+    held = {op["operatorName"]: op["numRowsTotal"] for op in query.lastProgress["stateOperators"]}
+    assert held["symmetricHashJoin"] <= 1
+
+
+def test_clock_rules():
+    rules = ClockRules(timedelta(minutes=1), timedelta(minutes=2), timedelta(seconds=3))
+    assert rules.watermark_delay == "183000 milliseconds"
+    with pytest.raises(ValueError):
+        ClockRules(most_late=timedelta(seconds=-1))
+
+
+def test_jobs_agree_on_clocks(spark):
+    """Between them events and rejects have every message once, on bounded tables too."""
+    from clickweave.sources.envelope import to_envelope
+
+    rows = [(str(i), "p", str(10**12 + i * 60_000), "u", 10**12 + i * 60_000 + lag * 60_000) for i, lag in enumerate([0, -4, -6, 9, 11, 600])]
+    events = spark.createDataFrame(rows, "event_id string, page_name string, event_timestamp string, uuid string, arrived bigint")
+    messages = to_envelope(events.drop("arrived"), time=F.timestamp_millis(F.lit(0))).drop("timestamp")
+    assert {r.event_id for r in jobs.clickstream_events(messages).collect()} == set("012345")
+    arrived = events.select(F.timestamp_millis("arrived").alias("timestamp"), F.to_json(F.struct("event_id", "event_timestamp", "uuid")).alias("value"))
+    for clock, ahead, late in ((jobs.STREAM_CLOCK, {"2"}, {"4", "5"}), (jobs.BATCH_CLOCK, {"2"}, set()), (None, set(), set())):
+        rejects = {(r.value.split('"')[3], r.reason) for r in jobs.clickstream_rejects(arrived, clock).collect()}
+        assert rejects == {(e, "clock ahead") for e in ahead} | {(e, "late") for e in late}
+        assert {r.event_id for r in jobs.clickstream_events(arrived, clock).collect()} == set("012345") - ahead - late
