@@ -19,7 +19,8 @@ from clickweave.operators.row_ops import apply_steps
 from clickweave.operators.sessions import detect_sessions
 from clickweave.session import shared_dir
 from clickweave.sinks.files import write_files
-from clickweave.sinks.streams import write_stream
+from clickweave.sinks.streams import batch_writer, table_stream_options, write_stream
+from clickweave.sinks.tables import SESSION_PARTITIONS, SESSION_TABLE_PROPERTIES
 from clickweave.sources.files import read_files
 from clickweave.streaming.capped import stream_session_events
 from clickweave.streaming.windows import stream_windowed_activity
@@ -144,20 +145,50 @@ def sessions_stream(
     them they have every message once, whatever batches either of them is cut into. The watermark waits for all that
     ``clock`` lets through. ``dropped_rows`` of the query tells whether partitions lagged by more than ``clock.slack``.
     """
-    given = {"delay": clock.watermark_delay, **(limits or {})}
     return run_stream(
-        messages,
-        [
-            lambda m: clickstream_events(m, clock),
-            lambda e: stream_session_events(e, clock=None, **given),
-            add_layout_columns,
-        ],
-        stateful=True,
-        partition_by=["session_date", "user_hash_bucket"],
-        **write,
+        messages, _to_sessions(limits, clock), stateful=True, partition_by=SESSION_PARTITIONS, **write
     )
 
 
+def sessions_to_table(
+    messages: DataFrame,
+    table: str,
+    checkpoint: str,
+    settings: dict | None = None,
+    limits: dict | None = None,
+    clock: ClockRules = STREAM_CLOCK,
+    properties: dict[str, str] | None = SESSION_TABLE_PROPERTIES,
+    format: str = "parquet",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Message stream to the catalog table of sessions, which is created with its properties if it is not there.
+
+    Batches are written with ``batch_writer``: rows are clustered, and a batch that Spark runs again, after a failure at
+    whatever point, leaves its rows there once. ``settings`` are those of a streaming table write, such as ``merge_schema``.
+    """
+    options = table_stream_options(settings or {})
+    writer = batch_writer(
+        f"{checkpoint}/ledger",
+        table=table,
+        partition_by=SESSION_PARTITIONS,
+        merge_schema=options.pop("mergeSchema") == "true",
+        properties={**(properties or {}), **options},
+        format=format,
+    )
+    return run_stream(
+        messages, _to_sessions(limits, clock), checkpoint=checkpoint, stateful=True, trigger=trigger, each_batch=writer
+    )
+
+
+def _to_sessions(limits: dict | None, clock: ClockRules) -> list[Transform]:
+    given = {"delay": clock.watermark_delay, **(limits or {})}
+    return [
+        lambda m: clickstream_events(m, clock),
+        lambda e: stream_session_events(e, clock=None, **given),
+        add_layout_columns,
+    ]
+
+
 def rejects_stream(messages: DataFrame, clock: ClockRules = STREAM_CLOCK, **write) -> StreamingQuery:
     """Messages that ``sessions_stream`` leaves out, with the reason."""
     return run_stream(messages, [lambda m: clickstream_rejects(m, clock)], **write)

@@ -29,7 +29,7 @@ from clickweave.plans.registry import query
 from clickweave.plans.session_queries import EVENT_OUTPUT, LIMITS, TUMBLING, page_activity
 from clickweave.plans.sql_parts import CLICKS, INACTIVITY_MINUTES, greedy, islands
 from clickweave.plans.table_queries import user_event_messages
-from clickweave.sinks.streams import kafka_payload, write_stream
+from clickweave.sinks.streams import batch_writer, kafka_payload, write_stream
 from clickweave.sources.files import stream_files
 from clickweave.streaming.capped import stream_capped_sessions, stream_session_events
 from clickweave.streaming.windows import (
@@ -86,6 +86,7 @@ def stream_to_table(spark, sf_dir):
         trigger=DRAIN,
         partition_by=["event_type"],
         options={"path": path},
+        files_per_partition=2,
     ).awaitTermination()
     return spark.table(name)
 
@@ -108,6 +109,24 @@ def stream_each_batch(spark, sf_dir):
     return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
 
 
+@query("stream_replayed_batch", "SELECT event_id, user_id, event_type FROM events")
+def stream_replayed_batch(spark, sf_dir):
+    """Every batch runs three times: once as it should, once after its ledger entry was lost, once with the entry there."""
+    path, ledger = scratch(spark, "replayed"), scratch(spark, "replayed_ledger")
+    write = batch_writer(ledger, path=path, partition_by=["event_type"])
+
+    def write_again(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        entry = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/batches/{batch_id}")
+        entry.getFileSystem(spark._jsc.hadoopConfiguration()).delete(entry, True)
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    stream = event_stream(spark, sf_dir).select("event_id", "user_id", "event_type")
+    write_stream(stream, scratch(spark, "replayed_checkpoint"), trigger=DRAIN, each_batch=write_again).awaitTermination()
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type")
+
+
 @query("stream_distinct", "SELECT event_id, event_type FROM events")
 def stream_distinct(spark, sf_dir):
     """Every event sent twice; duplicates are dropped within the watermark."""
@@ -245,6 +264,26 @@ def stream_events(spark, sf_dir):
     return drain_whole(spark, sf_dir, build, "stream_session_events", stateful=True)
 
 
+BOUNDARY_SESSIONS = f"WITH RECURSIVE {CLICKS}, {islands(extra="page_name = 'signup'")}, {greedy()}"
+
+
+@query(
+    "stream_custom_boundary",
+    f"""{BOUNDARY_SESSIONS}
+    SELECT uuid, uuid || '_session_' || s AS session_id, s AS session_start_time_ms,
+        max(ms) AS session_end_time_ms, count(*) AS event_count FROM sess GROUP BY uuid, s, n""",
+)
+def stream_custom_boundary(spark, sf_dir):
+    """A sign-up opens a session of its own, on a stream as on a bounded table."""
+    columns = ["uuid", "session_id", "session_start_time_ms", "session_end_time_ms", "event_count"]
+
+    def build(events):
+        signup = F.col("page_name") == "signup"
+        return stream_capped_sessions(as_clicks(events), arrival="event_time", boundary=signup, **LIMITS).select(*columns)
+
+    return drain_whole(spark, sf_dir, build, "stream_boundary", stateful=True)
+
+
 @query(
     "stream_after_batch",
     f"""{STREAM_SESSIONS}

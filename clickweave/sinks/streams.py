@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+
+from clickweave.sinks.tables import ensure_table, write_table
 
 OUTPUT_MODES = ("append", "complete", "update")
 # Fixed value: how often a stream runs when the job does not say.
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
+#: Files that one micro-batch writes into one partition at most; so many tasks share the rows of a hot one.
+FILES_PER_PARTITION = 4
+#: Last partition column of what ``batch_writer`` writes.
+BATCH = "batch"
 
 
 def trigger_arguments(trigger: dict[str, Any] | None, stateful: bool = False) -> dict[str, Any]:
@@ -46,10 +54,16 @@ def write_stream(
     name: str | None = None,
     stateful: bool = False,
     each_batch: Callable[[DataFrame, int], None] | None = None,
+    files_per_partition: int = FILES_PER_PARTITION,
 ) -> StreamingQuery:
-    """Start a streaming write; give ``table`` for a catalog table, ``path`` for files."""
+    """Start a streaming write; give ``table`` for a catalog table, ``path`` for files.
+
+    Partitioned rows are clustered first, see ``clustered``; ``files_per_partition`` 0 writes them as they come, from every task.
+    """
     if output_mode not in OUTPUT_MODES:
         raise ValueError(f"output mode must be one of {OUTPUT_MODES}")
+    if partition_by and files_per_partition and "continuous" not in (trigger or {}):
+        df = clustered(df, partition_by, files_per_partition)
     writer = (
         df.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
@@ -68,6 +82,73 @@ def write_stream(
     return writer.start(path) if path else writer.start()
 
 
+def clustered(df: DataFrame, partition_by: list[str], files_per_partition: int = FILES_PER_PARTITION) -> DataFrame:
+    """The rows shuffled so that each partition is written by at most ``files_per_partition`` tasks.
+
+    The rows of a partition are dealt by a hash of all their columns, so one that holds a third of all rows is shared evenly,
+    and a task that runs again gets the same rows.
+    """
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if f.name not in partition_by and _hashable(f.dataType)]
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(files_per_partition)) if hashed else F.lit(0)
+    return df.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
+
+
+def _hashable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return not isinstance(kind, (MapType, VariantType))
+
+
+def batch_writer(
+    ledger: str,
+    path: str | None = None,
+    table: str | None = None,
+    partition_by: list[str] = (),
+    files_per_partition: int = FILES_PER_PARTITION,
+    merge_schema: bool = False,
+    properties: dict[str, str] | None = None,
+    format: str = "parquet",
+) -> Callable[[DataFrame, int], None]:
+    """A function for ``foreachBatch`` that leaves a batch's rows there once, however often Spark runs the batch.
+
+    Rows go to partitions by ``partition_by`` and, last, the batch, which a batch that runs again replaces. The ``ledger``
+    folder has an entry for every batch that is whole, and such a batch is not run again; it also has an id of its own, so a
+    stream that begins anew, with a new ledger, never replaces what another one wrote. Give ``path`` for files or ``table`` for a
+    catalog table, which the first batch creates with ``properties`` if it is not there; ``merge_schema`` adds columns that
+    it lacks. What a batch holds has to follow from its input alone; the processing time must not choose its partitions.
+    """
+    if (path is None) == (table is None):
+        raise ValueError("give either path or table")
+    parts = [*partition_by, BATCH]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        entry = f"{ledger}/batches/{batch_id}"
+        if _whole(spark, entry):
+            return
+        if not _whole(spark, f"{ledger}/id"):
+            spark.createDataFrame([(uuid.uuid4().hex,)], "id string").write.mode("overwrite").parquet(f"{ledger}/id")
+        name = f"{spark.read.parquet(f'{ledger}/id').first().id}-{batch_id}"
+        rows = clustered(batch.withColumn(BATCH, F.lit(name)), parts, files_per_partition)
+        if table is not None:
+            ensure_table(spark, table, rows.schema, partition_by=parts, properties=properties, format=format)
+            write_table(rows, table, "overwrite", parts, format, merge_schema=merge_schema, gather=False)
+        else:
+            writer = rows.write.format(format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(*parts).save(path)
+        spark.range(batch_id, batch_id + 1).write.mode("overwrite").parquet(entry)
+
+    return write
+
+
+def _whole(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder has been written to its end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def dropped_rows(query: StreamingQuery) -> int:
     """Rows that the watermark has kept out of state so far, in the batches whose progress the query still holds.
 

@@ -96,13 +96,15 @@ def write_table(
     properties: dict[str, str] | None = None,
     location: str | None = None,
     merge_schema: bool = False,
+    gather: bool = True,
 ) -> None:
     """Write a bounded table.
 
     ``create`` fails if the table exists; ``replace`` swaps its whole content; ``append`` adds
     rows; ``overwrite`` replaces only the partitions present in ``df``. The last two create the
     table when it is absent. Both raise an error if the columns differ from the table's; with ``merge_schema``
-    new columns are added to the table first, and columns that ``df`` lacks are null.
+    new columns are added to the table first, and columns that ``df`` lacks are null. ``gather`` brings the rows of a partition
+    together first; leave it out for rows that are clustered already.
     """
     if mode not in TABLE_MODES:
         raise ValueError(f"unsupported table mode {mode!r}; choose from {TABLE_MODES}")
@@ -112,7 +114,7 @@ def write_table(
     exists = df.sparkSession.catalog.tableExists(name)
     if exists and mode in ("append", "overwrite"):
         df = match_columns(df, name, merge_schema)
-    rows = gather_partitions(df, partition_by)
+    rows = gather_partitions(df, partition_by) if gather else df
     if mode == "overwrite" and exists:
         _replace_partitions(rows, name)
         return

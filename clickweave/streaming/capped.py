@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -44,15 +44,17 @@ def stream_capped_sessions(
     clock: ClockRules | None = ClockRules(),
     arrival: str | None = None,
     initial: DataFrame | None = None,
+    boundary: Column | None = None,
 ) -> DataFrame:
     """One row per finished session. Needs the RocksDB state store.
 
     ``initial`` has the sessions that are open when the stream begins, such as ``SessionTable.open_sessions``: user,
-    ``session_start_time_ms``, ``session_end_time_ms`` and ``event_count``. A user's task sees at most 1000 rows per second of event time, however busy the user is, and keeps nothing but the
+    ``session_start_time_ms``, ``session_end_time_ms`` and ``event_count``. ``boundary`` is a condition on an event that also opens a new
+    session, as on bounded tables. A user's task sees at most 1000 rows per second of event time, however busy the user is, and keeps nothing but the
     open session. Events that break the ``clock`` rules are left out, see ``settling_events``.
     """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
-    moments = _moments(settling_events(events, user, time_ms, delay, clock, arrival), user, time_ms)
+    moments = _moments(settling_events(events, user, time_ms, delay, clock, arrival), user, time_ms, boundary)
     closed = moments.groupBy(user).transformWithStateInPandas(
         statefulProcessor=ClosedSessions(user, rules.gap_ms, rules.cap_ms),
         outputStructType=(
@@ -75,17 +77,18 @@ def stream_session_events(
     clock: ClockRules | None = ClockRules(),
     arrival: str | None = None,
     initial: DataFrame | None = None,
+    boundary: Column | None = None,
 ) -> DataFrame:
     """Event rows with session id, start and the end so far. Needs the RocksDB state store.
 
-    ``initial`` as for ``stream_capped_sessions``. Column order and types of the input are kept. Moments are given their session start by user; a stream-stream join on
+    ``initial`` and ``boundary`` as for ``stream_capped_sessions``. Column order and types of the input are kept. Moments are given their session start by user; a stream-stream join on
     user and moment brings the starts to the event rows, so the rows of one user are spread over all tasks. Both sides
     of the join are held until the watermark has passed their second, and no longer. Events that break the ``clock``
     rules are left out, see ``settling_events``.
     """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
     settling = settling_events(events, user, time_ms, delay, clock, arrival)
-    starts = _moments(settling, user, time_ms).groupBy(user).transformWithStateInPandas(
+    starts = _moments(settling, user, time_ms, boundary).groupBy(user).transformWithStateInPandas(
         statefulProcessor=MomentStarts(user, rules.gap_ms, rules.cap_ms),
         outputStructType=f"`{user}` {_kind(events, user)}, _moment bigint, {STARTS}",
         outputMode="append",
@@ -117,10 +120,12 @@ def settling_events(
     return usable.withColumn("_settled", F.timestamp_millis((second + 1) * SECOND_MS)).withWatermark("_settled", wait)
 
 
-def _moments(settling: DataFrame, user: str, time_ms: str) -> DataFrame:
-    counted = settling.groupBy(F.col(user), F.col(time_ms).alias("moment"), "_settled").agg(F.count(F.lit(1)).alias("events"))
+def _moments(settling: DataFrame, user: str, time_ms: str, boundary: Column | None) -> DataFrame:
+    cut = F.lit(False) if boundary is None else F.coalesce(F.max(boundary), F.lit(False))
+    keys = (F.col(user), F.col(time_ms).alias("moment"), "_settled")
+    counted = settling.groupBy(*keys).agg(F.count(F.lit(1)).alias("events"), cut.alias("cut"))
     # Python sees whole milliseconds only.
-    return counted.select(user, "moment", "events")
+    return counted.select(user, "moment", "events", "cut")
 
 
 def _initial(sessions: DataFrame | None, user: str):
@@ -133,21 +138,24 @@ def _kind(events: DataFrame, column: str) -> str:
 
 
 def session_starts(
-    moments: np.ndarray, start: int | None, last: int | None, gap_ms: int, cap_ms: int
+    moments: np.ndarray, start: int | None, last: int | None, gap_ms: int, cap_ms: int, cuts: np.ndarray | None = None
 ) -> np.ndarray:
     """Start of the session each moment belongs to, for moments in ascending order.
 
-    ``start`` and ``last`` describe the open session, None if there is none. One step per session,
-    not per moment.
+    ``start`` and ``last`` describe the open session, None if there is none; ``cuts`` marks moments that open a session of
+    their own. One step per session, not per moment.
     """
     starts = np.empty(len(moments), dtype=np.int64)
     before = np.concatenate(([moments[0] if last is None else last], moments[:-1]))
-    breaks = np.flatnonzero(moments - before > gap_ms)
+    opens = moments - before > gap_ms
+    if cuts is not None:
+        opens |= cuts & (moments > before)
+    breaks = np.flatnonzero(opens)
     at = 0
     if start is None:
         start = int(moments[0])
     while at < len(moments):
-        if moments[at] - before[at] > gap_ms or moments[at] - start > cap_ms:
+        if opens[at] or moments[at] - start > cap_ms:
             start = int(moments[at])
         capped = int(np.searchsorted(moments, start + cap_ms, side="right"))
         later = int(np.searchsorted(breaks, at, side="right"))
@@ -204,11 +212,11 @@ class ClosedSessions(_PerUser):
     """
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        settled = pd.concat([batch[["moment", "events"]] for batch in rows]).sort_values("moment")
+        settled = pd.concat([batch[["moment", "events", "cut"]] for batch in rows]).sort_values("moment")
         moments = settled["moment"].to_numpy(dtype=np.int64)
         counts = settled["events"].to_numpy(dtype=np.int64)
         start, last, events = self.open.get() if self.open.exists() else (None, None, 0)
-        starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms)
+        starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms, settled["cut"].to_numpy(dtype=bool))
         edges = np.flatnonzero(np.diff(starts, prepend=starts[0] - 1))
         totals = np.add.reduceat(counts, edges)
         ends = moments[np.append(edges[1:], len(moments)) - 1]
@@ -241,13 +249,14 @@ class MomentStarts(_PerUser):
     """Emit each moment at once with the start of its session."""
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        moments = np.sort(np.concatenate([batch["moment"].to_numpy(dtype=np.int64) for batch in rows]))
+        settled = pd.concat([batch[["moment", "cut"]] for batch in rows]).sort_values("moment")
+        moments = settled["moment"].to_numpy(dtype=np.int64)
         start, last, _ = self.open.get() if self.open.exists() else (None, None, 0)
-        starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms)
+        starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms, settled["cut"].to_numpy(dtype=bool))
         self.keep_open((int(starts[-1]), int(moments[-1]), 0), timerValues)
         ends = (moments // SECOND_MS + 1) * SECOND_MS
-        settled = pd.Series(ends.astype("datetime64[ms]")).dt.tz_localize("UTC")
-        yield pd.DataFrame({self.user: key[0], "_moment": moments, "session_start_time_ms": starts, "_settled": settled})
+        ends = pd.Series(ends.astype("datetime64[ms]")).dt.tz_localize("UTC")
+        yield pd.DataFrame({self.user: key[0], "_moment": moments, "session_start_time_ms": starts, "_settled": ends})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.open.exists():

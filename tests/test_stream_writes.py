@@ -1,0 +1,137 @@
+"""Writes of streams that survive a repeated batch, and how many files they leave."""
+
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from brute import sessions as brute_sessions
+from pyspark.sql import functions as F
+from test_sessions import MINUTE, skewed_events
+from test_streaming import Feed
+
+from clickweave.plans import jobs
+from clickweave.sinks.streams import BATCH, batch_writer, clustered, write_stream
+from clickweave.sinks.tables import SESSION_TABLE_PROPERTIES, table_properties
+from clickweave.sources.envelope import to_envelope
+from clickweave.sources.files import stream_files
+from clickweave.streaming.capped import stream_capped_sessions, stream_session_events
+
+DRAIN = {"availableNow": True}
+SCHEMA = "id bigint, kind string, tags map<string, int>"
+
+
+def batch(spark, low, high, kinds=3):
+    # One partition owns most of the rows.
+    rows = [(i, f"k{max(0, i % 10 - 9 + kinds)}", {"a": i}) for i in range(low, high)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(16)
+
+
+def contents(df):
+    return Counter(r.id for r in df.collect())
+
+
+def test_repeated_and_broken_batches(spark, tmp_path):
+    path, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    write = batch_writer(ledger, path=path, partition_by=["kind"])
+    write(batch(spark, 0, 100), 0)
+    write(batch(spark, 100, 200), 1)
+    # Whole batches are not run again, whatever they are given.
+    write(batch(spark, 500, 600), 1)
+    assert contents(spark.read.parquet(path)) == Counter(range(200))
+    # A batch that broke off after its rows, or before some of them, leaves no entry and replaces them.
+    (tmp_path / "ledger/batches/1/_SUCCESS").unlink()
+    lost = next((tmp_path / "out/kind=k2").glob(f"{BATCH}=*-1/*.parquet"))
+    lost.unlink()
+    write(batch(spark, 100, 200), 1)
+    assert contents(spark.read.parquet(path)) == Counter(range(200))
+    # A stream that begins anew counts its batches from 0 again.
+    batch_writer(str(tmp_path / "other"), path=path, partition_by=["kind"])(batch(spark, 200, 250), 0)
+    assert contents(spark.read.parquet(path)) == Counter(range(250))
+    with pytest.raises(ValueError):
+        batch_writer(ledger)
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_number_of_files(spark, tmp_path, most):
+    rows = batch(spark, 0, 3000)
+    rows.write.partitionBy("kind").parquet(str(tmp_path / "plain"))
+    write = batch_writer(str(tmp_path / "ledger"), path=str(tmp_path / "out"), partition_by=["kind"], files_per_partition=most)
+    write(rows, 0)
+    files = Counter(p.parent.parent.name for p in (tmp_path / "out").rglob("*.parquet"))
+    assert max(files.values()) <= most < max(Counter(p.parent.name for p in (tmp_path / "plain").rglob("*.parquet")).values())
+    # The hot partition is shared by as many tasks as it may have files, where Spark does not join small ones.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = clustered(rows, ["kind"], most).select("kind", F.spark_partition_id().alias("task")).distinct().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r.task for r in tasks if r.kind == "k0"}) == most
+
+
+def test_streams_are_clustered(spark, tmp_path):
+    batch(spark, 0, 500).write.parquet(str(tmp_path / "in"))
+    stream = stream_files(spark, str(tmp_path / "in"), SCHEMA)
+    write_stream(stream, str(tmp_path / "c"), path=str(tmp_path / "out"), trigger=DRAIN, partition_by=["kind"], files_per_partition=1).awaitTermination()
+    assert contents(spark.read.parquet(str(tmp_path / "out"))) == Counter(range(500))
+    files = Counter(p.parent.name for p in (tmp_path / "out").rglob("*.parquet"))
+    assert set(files.values()) == {1}
+
+
+def test_new_columns(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS replayed")
+    write = batch_writer(str(tmp_path / "l"), table="replayed", partition_by=["kind"], merge_schema=True)
+    write(batch(spark, 0, 10), 0)
+    write(batch(spark, 10, 20).withColumn("more", F.lit(1)), 1)
+    assert Counter(r.more for r in spark.table("replayed").collect()) == {None: 10, 1: 10}
+    strict = batch_writer(str(tmp_path / "l"), table="replayed", partition_by=["kind"])
+    with pytest.raises(ValueError):
+        strict(batch(spark, 20, 30).withColumn("yet_more", F.lit(1)), 2)
+    spark.sql("DROP TABLE replayed")
+
+
+def test_session_job_creates_its_table(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS streamed_sessions")
+    rows = skewed_events(4, events=60, span=600)
+    events = spark.createDataFrame(
+        [(u, f"{i}", str(10**12 + ms)) for u, ms, i in rows] + [("end", "-1", str(2 * 10**12))],
+        "uuid string, event_id string, event_timestamp string",
+    ).withColumn("page_name", F.lit("p"))
+    messages = to_envelope(events, time=F.timestamp_millis(F.col("event_timestamp").cast("bigint")))
+    messages.write.parquet(str(tmp_path / "in"))
+    stream = stream_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    query = jobs.sessions_to_table(
+        stream,
+        "streamed_sessions",
+        str(tmp_path / "ckpt"),
+        settings={"merge_schema": True, "iceberg.some-option": "x"},
+        limits={"inactivity_minutes": 2, "max_minutes": 9},
+        trigger=DRAIN,
+    )
+    query.awaitTermination()
+    found = {int(r.event_id): r.session_start_time_ms - 10**12 for r in spark.table("streamed_sessions").collect()}
+    assert found == {e: s[1] for e, s in brute_sessions(rows, 2 * MINUTE, 9 * MINUTE, "greedy").items()}
+    properties = {r["key"]: r["value"] for r in table_properties(spark, "streamed_sessions").collect()}
+    assert properties.items() >= SESSION_TABLE_PROPERTIES.items() and properties["iceberg.some-option"] == "x"
+    parts = {r.partition.split("=")[0] for r in spark.sql("SHOW PARTITIONS streamed_sessions").collect()}
+    assert parts == {"session_date"}
+    spark.sql("DROP TABLE streamed_sessions")
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_boundaries_on_streams(spark, tmp_path, whole):
+    rows = sorted(skewed_events(6, events=200, span=1500), key=lambda r: r[1])
+    build = stream_capped_sessions if whole else stream_session_events
+    boundary = F.col("event_id") % 17 == 0
+    limits = {"inactivity_minutes": 2, "max_minutes": 9, "delay": "30 seconds"}
+    feed = Feed(spark, tmp_path, lambda s: build(s, boundary=boundary, **limits))
+    feed.send(rows[:90])
+    feed.send(rows[90:])
+    feed.send([("sentinel", 10**10, -1)])
+    cuts = {r[2] for r in rows if r[2] % 17 == 0}
+    expected = brute_sessions(rows, 2 * MINUTE, 9 * MINUTE, "greedy", boundary=cuts)
+    if whole:
+        assert {(r.uuid, r.session_start_time_ms, r.session_end_time_ms) for r in feed.rows()} == {
+            (u, *expected[e][1:]) for u, _, e in rows
+        }
+    else:
+        assert {r.event_id: r.session_start_time_ms for r in feed.rows()} == {e: s[1] for e, s in expected.items()}
