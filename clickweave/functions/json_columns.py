@@ -43,6 +43,38 @@ def extract_fields(df: DataFrame, names: list[str], value_column: str = "value")
     )
 
 
+def parse_variant(df: DataFrame, value_column: str = "value", name: str = "variant") -> DataFrame:
+    """Add a JSON column as a VARIANT, for messages whose fields nobody has declared. Malformed text gives null.
+
+    The text is parsed once per row, whatever is read from the variant later.
+    """
+    parsed = F.struct(F.try_parse_json(F.col(value_column).cast("string")).alias(name))
+    # As a generator, for the reason given in ``parse_json``.
+    return df.select("*", F.inline(F.array(parsed)))
+
+
+def variant_fields(df: DataFrame, fields: dict[str, tuple[str, str]], variant: str = "variant") -> DataFrame:
+    """Columns from a VARIANT: ``fields`` gives a path such as ``$.a.b[0]`` and a type for each name.
+
+    A path that is not there, or a value that is not of the type, gives null.
+    """
+    return df.withColumns({name: F.try_variant_get(variant, path, kind) for name, (path, kind) in fields.items()})
+
+
+def found_schema(df: DataFrame, value_column: str = "value") -> DataFrame:
+    """One row: the ``schema`` that holds all JSON texts of a column, and how many there are, malformed ones apart.
+
+    Schemas of rows are merged like counts are, before and after the shuffle, so nothing but one schema per task moves.
+    """
+    parsed = parse_variant(df.select(value_column), value_column, "parsed")
+    malformed = F.col("parsed").isNull() & F.col(value_column).isNotNull()
+    return parsed.agg(
+        F.schema_of_variant_agg("parsed").alias("schema"),
+        F.count("parsed").alias("parsed"),
+        F.count_if(malformed).alias("malformed"),
+    )
+
+
 def with_processing_time(df: DataFrame, column: str = "processing_time") -> DataFrame:
     """Stamp every row with the time the query started."""
     return df.withColumn(column, F.current_timestamp())

@@ -232,7 +232,7 @@ def _place_in_sessions(placed: DataFrame, user, rules, slice_ms) -> DataFrame:
 def _restart_counts(placed: DataFrame, user, cap_ms, slice_ms) -> DataFrame:
     """Greedy policy: ``_part`` is the number of restarts of this user up to each moment."""
     keys = [user, "_slice"]
-    restarts = _restarts(placed, user, cap_ms).select(
+    restarts = _restarts(placed, user, cap_ms, slice_ms).select(
         user, F.col("_ms").alias("restart"), F.floor(F.col("_ms") / slice_ms).alias("_slice")
     )
     # Restarts lie at least one cap apart, so both the per-slice lists and the rows per user
@@ -257,7 +257,7 @@ def _restart_counts(placed: DataFrame, user, cap_ms, slice_ms) -> DataFrame:
     )
 
 
-def _restarts(placed: DataFrame, user, cap_ms) -> DataFrame:
+def _restarts(placed: DataFrame, user, cap_ms, slice_ms) -> DataFrame:
     """Greedy restarts by pointer doubling.
 
     Every moment of a long island points to the first moment more than one cap later. The
@@ -275,7 +275,7 @@ def _restarts(placed: DataFrame, user, cap_ms) -> DataFrame:
     starts = binned.filter(F.col("_ms") == F.col("_island_start")).select(user, "_ms")
 
     pointers = []
-    jump = _next_after_cap(binned, user, cap_ms)
+    jump = _next_after_cap(binned, user, cap_ms, slice_ms)
     for _ in range(longest.bit_length()):
         if pointers:
             onward = jump.select(user, F.col("_ms").alias("_next"), F.col("_next").alias("_after"))
@@ -294,39 +294,34 @@ def _restarts(placed: DataFrame, user, cap_ms) -> DataFrame:
     return cut_lineage(reached.join(starts, [user, "_ms"], "left_anti"))
 
 
-def _next_after_cap(binned: DataFrame, user, cap_ms) -> DataFrame:
+def _next_after_cap(moments: DataFrame, user, cap_ms, slice_ms) -> DataFrame:
     """For each moment, the first moment of its island more than one cap later.
 
-    A moment of bin b looks into bin b+1 at its own time plus the cap, and failing that takes the
-    first moment of bin b+2. No bin inside an island is empty, because the inactivity limit is
-    shorter than the cap. A bin has at most one moment per millisecond, so groups are bounded.
+    A moment asks at its own time plus the cap, in the slice that time lies in, and is answered by the first later moment of
+    that slice, failing that by the first moment of the user's next slice that has one. That slices carry to each other as
+    one summary row. A slice has at most one moment and one question per millisecond, however long the cap is.
     """
-    group = [user, "_island", "bin"]
-    targets = binned.select(*group, F.col("_ms").alias("at"), F.lit(None).cast("bigint").alias("asks"))
-    questions = binned.select(
-        user,
-        "_island",
-        (F.col("bin") + 1).alias("bin"),
-        (F.col("_ms") + cap_ms).alias("at"),
-        F.col("_ms").alias("asks"),
-    )
+    group = [user, "_slice"]
+    targets = moments.select(user, "_island", F.col("_ms").alias("at"), F.lit(None).cast("bigint").alias("asks"))
+    questions = moments.select(user, "_island", (F.col("_ms") + cap_ms).alias("at"), F.col("_ms").alias("asks"))
+    both = targets.union(questions).withColumn("_slice", F.floor(F.col("at") / slice_ms))
     # Backwards in time; at equal times the question comes first, so it sees later moments only.
     backwards = (
         Window.partitionBy(*group)
         .orderBy(F.desc("at"), F.col("asks").isNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    target = F.when(F.col("asks").isNull(), F.col("at"))
-    answered = (
-        targets.union(questions)
-        .withColumn("found", F.min(target).over(backwards))
-        .filter(F.col("asks").isNotNull())
-    )
-    following = binned.groupBy(*group).agg(F.min("_ms").alias("fallback")).withColumn(
-        "bin", F.col("bin") - 1
+    target = F.when(F.col("asks").isNull(), F.struct("at", "_island"))
+    later = Window.partitionBy(user).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        both.groupBy(*group)
+        .agg(F.min(target).alias("_first"))
+        .select(*group, F.min("_first").over(later).alias("_carried"))
     )
+    answered = both.withColumn("_found", F.min(target).over(backwards)).filter(F.col("asks").isNotNull())
     return (
-        answered.join(following, group, "left")
-        .select(user, F.col("asks").alias("_ms"), F.coalesce("found", "fallback").alias("_next"))
-        .filter(F.col("_next").isNotNull())
+        answered.join(carried, group)
+        .withColumn("_answer", F.coalesce("_found", "_carried"))
+        .filter(F.col("_answer._island") == F.col("_island"))
+        .select(user, F.col("asks").alias("_ms"), F.col("_answer.at").alias("_next"))
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from clickweave.session import written
+
 # What makes a person record acceptable, in the order the rules are tried.
 PERSON_RULES = {
     "missing id": "id IS NOT NULL",
@@ -23,6 +26,9 @@ EXACT_JSON = {
 }
 
 
+REPORT = "check_name string, column_name string, violations bigint, row_count bigint"
+
+
 class QualityError(ValueError):
     """A table does not meet its declared expectations."""
 
@@ -57,17 +63,7 @@ def quality_report(
     allowed: dict[str, list[Any]] | None = None,
 ) -> DataFrame:
     """One row per check: its name, column, number of violations and the rows looked at."""
-    checks: list[tuple[str, str, Column]] = []
-    if min_rows is not None:
-        checks.append(("min_rows", "*", F.greatest(F.lit(min_rows) - F.count(F.lit(1)), F.lit(0))))
-    for name in not_null:
-        checks.append(("not_null", name, F.count_if(F.col(name).isNull())))
-    for name, bounds in (ranges or {}).items():
-        checks.append(("range", name, F.count_if(_outside(F.col(name), bounds))))
-    for name, values in (allowed or {}).items():
-        # A null is not one of the allowed values unless the list says so.
-        in_list = F.coalesce(F.col(name).isin([v for v in values if v is not None]), F.lit(None in values))
-        checks.append(("allowed", name, F.count_if(~in_list)))
+    checks = _checks(min_rows, not_null, ranges, allowed)
     row = F.array(
         *[
             F.struct(
@@ -82,6 +78,22 @@ def quality_report(
     return df.agg(row.alias("checks")).select(F.inline("checks"))
 
 
+def _checks(min_rows, not_null=(), ranges=None, allowed=None) -> list[tuple[str, str, Column]]:
+    """Name, column and number of violations of each check."""
+    checks: list[tuple[str, str, Column]] = []
+    if min_rows is not None:
+        checks.append(("min_rows", "*", F.greatest(F.lit(min_rows) - F.count(F.lit(1)), F.lit(0))))
+    for name in not_null:
+        checks.append(("not_null", name, F.count_if(F.col(name).isNull())))
+    for name, bounds in (ranges or {}).items():
+        checks.append(("range", name, F.count_if(_outside(F.col(name), bounds))))
+    for name, values in (allowed or {}).items():
+        # A null is not one of the allowed values unless the list says so.
+        in_list = F.coalesce(F.col(name).isin([v for v in values if v is not None]), F.lit(None in values))
+        checks.append(("allowed", name, F.count_if(~in_list)))
+    return checks
+
+
 def _outside(value: Column, bounds: dict[str, Any]) -> Column:
     """True for a value beyond a bound; nulls are the business of the null check."""
     if not bounds.keys() & {"min", "max"}:
@@ -91,6 +103,53 @@ def _outside(value: Column, bounds: dict[str, Any]) -> Column:
     return tests[0] | tests[1] if len(tests) == 2 else tests[0]
 
 
+def checked_writer(
+    write: Callable[[DataFrame, int], bool | None], reports: str, most_share: float | None = None, **expectations
+) -> Callable[[DataFrame, int], None]:
+    """A function for ``foreachBatch`` that writes with ``write`` and reports on what it has written.
+
+    The checks are metrics that ride along with the write, so a batch is read once. ``write`` has to write all rows in one
+    action, or return False if it has the batch already. Each batch leaves its report under ``reports``, which a batch that runs again replaces; ``stream_report``
+    adds them up. If more than ``most_share`` of a batch's rows break a check, the report is kept and the batch fails with a
+    ``QualityError``, which stops the stream before it takes the next one; with a ``batch_writer`` the rows are there once however
+    often the stream is started again.
+    """
+    checks = _checks(None, **expectations)
+    if not checks:
+        raise ValueError("nothing to check")
+
+    def checked(batch: DataFrame, batch_id: int) -> None:
+        path, spark = f"{reports}/batch={batch_id}", batch.sparkSession
+        seen = Observation()
+        metrics = [violations.cast("bigint").alias(f"check_{i}") for i, (_, _, violations) in enumerate(checks)]
+        again = write(batch.observe(seen, F.count(F.lit(1)).alias("row_count"), *metrics), batch_id) is False
+        if again and written(spark, path):
+            rows = [tuple(r) for r in spark.read.schema(REPORT).parquet(path).collect()]
+        elif again:
+            # It broke off between the rows and their report.
+            rows = [tuple(r) for r in quality_report(batch, **expectations).collect()]
+        else:
+            found = seen.get
+            rows = [(name, column, found[f"check_{i}"], found["row_count"]) for i, (name, column, _) in enumerate(checks)]
+        spark.createDataFrame(rows, REPORT).coalesce(1).write.mode("overwrite").parquet(path)
+        wrong = [f"{name}({column}): {n} of {total}" for name, column, n, total in rows if most_share is not None and n > most_share * total]
+        if wrong:
+            raise QualityError(f"batch {batch_id}: {'; '.join(wrong)}")
+
+    return checked
+
+
+def stream_report(spark: SparkSession, reports: str, min_rows: int | None = None) -> DataFrame:
+    """The report of everything that a ``checked_writer`` has written so far, in the columns of ``quality_report``."""
+    batches = spark.read.schema(REPORT).parquet(f"{reports}/batch=*")
+    found = batches.groupBy("check_name", "column_name").agg(F.sum("violations").alias("violations"), F.sum("row_count").alias("row_count"))
+    if min_rows is not None:
+        few = F.greatest(F.lit(min_rows) - F.max("row_count"), F.lit(0)).cast("bigint")
+        total = found.agg(F.lit("min_rows").alias("check_name"), F.lit("*").alias("column_name"), few.alias("violations"), F.max("row_count").alias("row_count"))
+        found = total.unionByName(found)
+    return found
+
+
 def enforce(df: DataFrame, **expectations) -> DataFrame:
     """Run ``quality_report`` now and raise if any check is violated."""
     failed = quality_report(df, **expectations).filter("violations > 0").collect()

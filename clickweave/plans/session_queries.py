@@ -8,6 +8,7 @@ from clickweave.functions.layout import add_layout_columns, for_user
 from clickweave.operators import analytics
 from clickweave.operators.busy_users import BusyUsers, measure_busy
 from clickweave.operators.incremental import SessionTable
+from clickweave.operators.sketches import distinct_users, duration_quantile, merge_sketches, session_sketches
 from clickweave.operators.sessions import (
     detect_sessions,
     rollup_sessions,
@@ -34,7 +35,7 @@ from clickweave.plans.sql_parts import (
     bucket,
     islands,
 )
-from clickweave.sinks.tables import write_table
+from clickweave.sinks.tables import write_bucketed, write_table
 
 LIMITS = {"inactivity_minutes": INACTIVITY_MINUTES, "max_minutes": MAX_MINUTES}
 # Every user through the path for oversized users, in slices of one day.
@@ -100,6 +101,15 @@ def sessions_greedy(spark, sf_dir):
 DAY_MS = 86_400_000
 
 
+@query("sessions_bucketed", f"{BIN_SESSIONS} SELECT {EVENT_COLUMNS} FROM sess")
+def sessions_bucketed(spark, sf_dir):
+    """Events stored by user; detection reads the buckets and shuffles nothing."""
+    path = scratch(spark, "bucketed")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    write_bucketed(clicks(spark, sf_dir), name, "uuid", 8, ["event_time_ms"], location=path)
+    return detect_sessions(spark.table(name), busy=None, **LIMITS).select(*EVENT_OUTPUT)
+
+
 def slice_ends(events, days: int) -> list[int]:
     """Ends of the slices of so many days that hold all events."""
     low, high = events.agg(F.min("event_time_ms"), F.max("event_time_ms")).first()
@@ -303,6 +313,43 @@ def cohort(spark, sf_dir):
     return analytics.bucket_cohort(stored_sessions(spark, sf_dir), BUCKETS)
 
 
+# A week's start, from the date text of the session table.
+WEEK = "date_trunc('week', CAST(session_date AS DATE))"
+
+
+def weekly_sketches(spark, sf_dir):
+    """Sketches per date and bucket, stored as a table of their own; a week is merged from its rows alone."""
+    path = scratch(spark, "sketches")
+    session_sketches(analytics.rollup_stored(stored_sessions(spark, sf_dir)), lg_k=18, k=8192).write.partitionBy("session_date").parquet(path)
+    stored = spark.read.parquet(path).withColumn("session_date", F.col("session_date").cast("string"))
+    week = F.date_format(F.date_trunc("week", F.to_date("session_date")), "yyyy-MM-dd")
+    return merge_sketches(stored, [week.alias("week")], k=8192)
+
+
+@query(
+    "cohort_sketch",
+    f"""{ROLLUP} SELECT strftime({WEEK}, '%Y-%m-%d') AS week, count(*) AS sessions,
+        CAST(sum(event_count) AS BIGINT) AS events, count(DISTINCT uuid) AS users FROM rollup GROUP BY 1""",
+)
+def cohort_sketch(spark, sf_dir):
+    """Sketches this large are exact on tables this small, so the SQL counts."""
+    return weekly_sketches(spark, sf_dir).select("week", "sessions", "events", distinct_users().alias("users"))
+
+
+@query(
+    "duration_quantiles",
+    f"""{ROLLUP}, r AS (
+        SELECT strftime({WEEK}, '%Y-%m-%d') AS week, session_duration_seconds AS d,
+            row_number() OVER (PARTITION BY {WEEK} ORDER BY session_duration_seconds) AS place,
+            count(*) OVER (PARTITION BY {WEEK}) AS n FROM rollup)
+    SELECT week, max(d) FILTER (WHERE place = ceil(0.5 * n)) AS p50, max(d) FILTER (WHERE place = ceil(0.9 * n)) AS p90,
+        max(d) FILTER (WHERE place = ceil(0.99 * n)) AS p99 FROM r GROUP BY week""",
+)
+def duration_quantiles(spark, sf_dir):
+    quantiles = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    return weekly_sketches(spark, sf_dir).select("week", *[duration_quantile(q).alias(n) for n, q in quantiles.items()])
+
+
 @query(
     "session_lookup",
     f"""{ROLLUP} SELECT uuid, session_id, session_duration_seconds FROM rollup

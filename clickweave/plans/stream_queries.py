@@ -28,7 +28,8 @@ from clickweave.plans.inputs import (
 from clickweave.plans.registry import query
 from clickweave.plans.session_queries import EVENT_OUTPUT, LIMITS, TUMBLING, page_activity
 from clickweave.plans.sql_parts import CLICKS, INACTIVITY_MINUTES, greedy, islands
-from clickweave.plans.table_queries import user_event_messages
+from clickweave.operators.quality import checked_writer, stream_report
+from clickweave.plans.table_queries import EXPECTED, REPORT_SQL, as_people, user_event_messages
 from clickweave.sinks.streams import batch_writer, kafka_payload, write_stream
 from clickweave.sources.files import stream_files
 from clickweave.streaming.capped import stream_capped_sessions, stream_session_events
@@ -127,6 +128,18 @@ def stream_replayed_batch(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "user_id", "event_type")
 
 
+@query("stream_dq_report", REPORT_SQL)
+def stream_dq_report(spark, sf_dir):
+    """The checks ride along with the write of each batch; their reports add up to that of the table."""
+    customers = table(spark, sf_dir, "customer")
+    stream = stream_files(spark, sf_dir, customers.schema, options={"pathGlobFilter": "customer.parquet"})
+    reports = scratch(spark, "dq_reports")
+    write = batch_writer(scratch(spark, "dq_ledger"), path=scratch(spark, "dq_rows"))
+    checked = checked_writer(write, reports, **EXPECTED)
+    write_stream(as_people(stream), scratch(spark, "dq_checkpoint"), trigger=DRAIN, each_batch=checked).awaitTermination()
+    return stream_report(spark, reports, min_rows=1_000_000)
+
+
 @query("stream_distinct", "SELECT event_id, event_type FROM events")
 def stream_distinct(spark, sf_dir):
     """Every event sent twice; duplicates are dropped within the watermark."""

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickweave.functions.event_time import normalise_event_time, parse_timestamp
-from clickweave.functions.json_columns import extract_fields, parse_json, with_processing_time
+from clickweave.functions.json_columns import (
+    extract_fields,
+    found_schema,
+    parse_json,
+    parse_variant,
+    variant_fields,
+    with_processing_time,
+)
 from clickweave.functions.layout import add_layout_columns, with_date_column
 from clickweave.operators import analytics, quality
 from clickweave.operators.row_ops import apply_steps
@@ -233,6 +240,31 @@ def json_parse(spark, sf_dir):
     return parse_json(events, {"k": "bigint"}, "props", keep_value=False)
 
 
+@query(
+    "json_variant",
+    "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text,"
+    " CAST(NULL AS VARCHAR) AS missing FROM events",
+)
+def json_variant(spark, sf_dir):
+    """Fields nobody declared, read from one parse of the text."""
+    events = parse_variant(table(spark, sf_dir, "events").select("event_id", "props"), "props")
+    fields = {"k": ("$.k", "bigint"), "k_text": ("$.k", "string"), "missing": ("$.a.b[0]", "string")}
+    return variant_fields(events, fields).select("event_id", *fields)
+
+
+@query(
+    "json_schema_found",
+    """SELECT 'OBJECT<' || array_to_string(list_sort(list(DISTINCT key || ': ' || kind)), ', ') || '>' AS schema,
+        (SELECT count(props) FROM events) AS parsed, 0::BIGINT AS malformed
+    FROM (SELECT unnest(json_keys(props)) AS key,
+                 CASE json_type(props, '$.' || unnest(json_keys(props)))
+                   WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' ELSE json_type(props, '$.' || unnest(json_keys(props))) END AS kind
+          FROM events)""",
+)
+def json_schema_found(spark, sf_dir):
+    return found_schema(table(spark, sf_dir, "events"), "props")
+
+
 @query("json_extract", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_extract(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "props")
@@ -449,8 +481,12 @@ people AS (
 
 
 def _people(spark, sf_dir):
+    return as_people(table(spark, sf_dir, "customer"))
+
+
+def as_people(customers):
     """Customers as people, some with no id, an impossible age or a malformed address."""
-    return table(spark, sf_dir, "customer").selectExpr(
+    return customers.selectExpr(
         "CASE WHEN c_nationkey = 0 THEN NULL ELSE c_custkey END AS id",
         "c_name AS name",
         "CAST(floor(c_acctbal / 50) AS INT) AS age",
@@ -459,9 +495,12 @@ def _people(spark, sf_dir):
     )
 
 
-@query(
-    "dq_report",
-    f"""WITH {PEOPLE}, n AS (SELECT count(*) AS row_count,
+EXPECTED = {
+    "not_null": ["id"],
+    "ranges": {"age": {"min": 0, "max": 150}},
+    "allowed": {"email": ["building@example.com", "household@example.com"]},
+}
+REPORT_SQL = f"""WITH {PEOPLE}, n AS (SELECT count(*) AS row_count,
         count(*) FILTER (WHERE id IS NULL) AS no_id,
         count(*) FILTER (WHERE age < 0 OR age > 150) AS bad_age,
         count(*) FILTER (WHERE email NOT IN ('building@example.com', 'household@example.com')) AS bad_email
@@ -470,16 +509,12 @@ def _people(spark, sf_dir):
         row_count FROM n
     UNION ALL SELECT 'not_null', 'id', no_id, row_count FROM n
     UNION ALL SELECT 'range', 'age', bad_age, row_count FROM n
-    UNION ALL SELECT 'allowed', 'email', bad_email, row_count FROM n""",
-)
+    UNION ALL SELECT 'allowed', 'email', bad_email, row_count FROM n"""
+
+
+@query("dq_report", REPORT_SQL)
 def dq_report(spark, sf_dir):
-    return quality.quality_report(
-        _people(spark, sf_dir),
-        min_rows=1_000_000,
-        not_null=["id"],
-        ranges={"age": {"min": 0, "max": 150}},
-        allowed={"email": ["building@example.com", "household@example.com"]},
-    )
+    return quality.quality_report(_people(spark, sf_dir), min_rows=1_000_000, **EXPECTED)
 
 
 @query(

@@ -76,3 +76,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back as a new root."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder has been written to its end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

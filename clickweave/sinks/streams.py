@@ -6,11 +6,12 @@ import uuid
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
+from clickweave.session import written
 from clickweave.sinks.tables import ensure_table, write_table
 
 OUTPUT_MODES = ("append", "complete", "update")
@@ -110,7 +111,7 @@ def batch_writer(
     merge_schema: bool = False,
     properties: dict[str, str] | None = None,
     format: str = "parquet",
-) -> Callable[[DataFrame, int], None]:
+) -> Callable[[DataFrame, int], bool]:
     """A function for ``foreachBatch`` that leaves a batch's rows there once, however often Spark runs the batch.
 
     Rows go to partitions by ``partition_by`` and, last, the batch, which a batch that runs again replaces. The ``ledger``
@@ -118,17 +119,18 @@ def batch_writer(
     stream that begins anew, with a new ledger, never replaces what another one wrote. Give ``path`` for files or ``table`` for a
     catalog table, which the first batch creates with ``properties`` if it is not there; ``merge_schema`` adds columns that
     it lacks. What a batch holds has to follow from its input alone; the processing time must not choose its partitions.
+    The function returns whether it has written.
     """
     if (path is None) == (table is None):
         raise ValueError("give either path or table")
     parts = [*partition_by, BATCH]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> bool:
         spark = batch.sparkSession
         entry = f"{ledger}/batches/{batch_id}"
-        if _whole(spark, entry):
-            return
-        if not _whole(spark, f"{ledger}/id"):
+        if written(spark, entry):
+            return False
+        if not written(spark, f"{ledger}/id"):
             spark.createDataFrame([(uuid.uuid4().hex,)], "id string").write.mode("overwrite").parquet(f"{ledger}/id")
         name = f"{spark.read.parquet(f'{ledger}/id').first().id}-{batch_id}"
         rows = clustered(batch.withColumn(BATCH, F.lit(name)), parts, files_per_partition)
@@ -139,16 +141,11 @@ def batch_writer(
             writer = rows.write.format(format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(*parts).save(path)
         spark.range(batch_id, batch_id + 1).write.mode("overwrite").parquet(entry)
+        return True
 
     return write
 
 
-def _whole(spark: SparkSession, folder: str) -> bool:
-    """Whether a folder has been written to its end."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def dropped_rows(query: StreamingQuery) -> int:
     """Rows that the watermark has kept out of state so far, in the batches whose progress the query still holds.
 

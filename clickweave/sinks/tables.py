@@ -127,6 +127,17 @@ def write_table(
     writer.partitionBy(*partition_by).saveAsTable(name)
 
 
+def write_bucketed(df: DataFrame, name: str, user: str, buckets: int, sort_by: list[str] = (), location: str | None = None) -> None:
+    """Replace a table laid out so that what groups by ``user`` needs no shuffle.
+
+    Rows are shuffled here, once, to one task per bucket, which writes one sorted file. Whoever detects sessions on the table,
+    rolls them up or joins it by user later reads each bucket where it is. Choose ``buckets`` for files that a task can hold; a user
+    with a large share of the rows makes its bucket that large, so tables with such users are better left to the busy path.
+    """
+    writer = df.repartition(buckets, user).write.mode("overwrite").bucketBy(buckets, user).sortBy(user, *sort_by)
+    (writer.option("path", location) if location else writer).saveAsTable(name)
+
+
 def match_columns(df: DataFrame, name: str, merge_schema: bool = False) -> DataFrame:
     """``df`` with the columns of a table in its order, after adding new ones to the table if asked to."""
     spark = df.sparkSession
