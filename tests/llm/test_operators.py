@@ -367,9 +367,9 @@ def test_warc_round_trip(spark, tmp_path):
     big = "<p>" + "é☃\r\n\r\nWARC/1.1\r\n" * 9000 + "</p>"
     rows = [(1, "u 1", "a" * 100), (2, "u2", "a" * 100), (3, None, "a" * 99), (4, "u4", "a" * 99), (5, "u5", None), (6, "u6", "")]
     rows += [(7, "u7", big), (8, "u8", big), (8, "u8", big), (None, "x", big), (9, "u9", "\r\n\r\n"), (10, "u10", "line\r")]
-    pages = spark.createDataFrame([(*r, "c", 2) for r in rows], "page_id bigint, url string, html string, chunk string, chunks int")
+    pages = spark.createDataFrame([(*r, "c", 2) for r in rows], "page_id bigint, url string, html string, chunk string, row int")
     path = str(tmp_path / "archive")
-    warc.write_archives(warc.chunks(warc.records(pages), chunk_chars=1000), path)
+    warc.write_archives(warc.chunks(warc.records(pages), chunk_bytes=1000), path)
     chunks = warc.read_archives(spark, path, chunk_bytes=700)
     found = Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_records(chunks).collect())
     firsts = {}
@@ -392,6 +392,28 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_records(warc.read_archives(spark, none)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 7, 100, 10_000])
+def test_payload_chunks(size):
+    for text in (None, "", "a", "é☃𝄞" * 9, "ab\ud800c", "x" * 4000 + "☃" * 500):
+        data = (text or "").encode(errors="replace")
+        parts = list(warc.parts_of(text, size))
+        assert b"".join(p for _, p, _, _ in parts) == data and [last for *_, last in parts] == [False] * (len(parts) - 1) + [True]
+        for start, part, digest, _ in parts:
+            assert start == 0 or data[start] & 0xC0 != 0x80
+            assert len(part) <= max(size, 4) and (part or not data)
+            assert digest == hashlib.sha256(data[: start + len(part)]).hexdigest()
+
+
+def test_many_revisits_are_joined_by_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.repeat(F.lit("y"), F.when(F.col("id") % 3 == 0, 200).otherwise(F.col("id").cast("int"))).alias("html"))
+    path = str(tmp_path / "a")
+    warc.write_archives(warc.chunks(warc.records(pages)), path)
+    found = {r.page_id: r.refers_to for r in warc.read_records(warc.read_archives(spark, path)).collect()}
+    # 200 is the length of every third payload, and of that of page 200 itself.
+    assert found == {i: 0 if i > 0 and (i % 3 == 0 or i == 200) else None for i in range(300)}
+
+
 def test_broken_archives_are_an_error():
     reader = warc.ArchiveReader(10)
     with pytest.raises(ValueError):
