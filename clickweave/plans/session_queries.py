@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.layout import add_layout_columns, for_user
 from clickweave.operators import analytics
-from clickweave.operators.busy_users import BusyUsers, measure_busy
+from clickweave.operators.busy_users import BusyUsers, busy_counts, measure_busy
 from clickweave.operators.incremental import SessionTable
 from clickweave.operators.sketches import distinct_users, duration_quantile, merge_sketches, session_sketches
 from clickweave.operators.sessions import (
@@ -101,6 +101,15 @@ def sessions_greedy(spark, sf_dir):
 DAY_MS = 86_400_000
 
 
+@query(
+    "busy_users",
+    'SELECT CAST(user_id AS VARCHAR) AS uuid, count(*) AS "rows" FROM events GROUP BY user_id HAVING count(*) > 75',
+)
+def busy_users(spark, sf_dir):
+    """Users above a limit, looked for with fewer counters than there are users."""
+    return busy_counts(clicks(spark, sf_dir), busy=BusyUsers(rows=75, summary=64))
+
+
 @query("sessions_bucketed", f"{BIN_SESSIONS} SELECT {EVENT_COLUMNS} FROM sess")
 def sessions_bucketed(spark, sf_dir):
     """Events stored by user; detection reads the buckets and shuffles nothing."""
