@@ -19,7 +19,9 @@ from clickweave.llm.pieces import Pieces, default_model, load_pieces
 from clickweave.llm.trie_counts import BLOCK_CHARS, blocks
 
 #: Distinct words a task remembers before it hands them on; it bounds memory only.
-HELD_WORDS = 500_000
+HELD_WORDS = 200_000
+#: Distinct parts whose edges a task sorts, in memory.
+TASK_PARTS = 20_000
 #: Longer parts (no piece boundary for so many characters) are cut into edges the same way, but folded by the task
 #: that holds the document: the fold copies its state at every step, which is quadratic in the length.
 LATTICE_CHARS = 256
@@ -232,8 +234,10 @@ def encode(docs: DataFrame, text: str = "text", order: str = "doc_id", model: st
     parts = scratch.keep(runs.mapInPandas(_distinct_parts(path), "block int, part string"))
     # Parts leave the explosion in order and in place: one sort groups their edges without another shuffle, where a
     # hash aggregate of lists would give up after some groups and sort twice.
+    # Tasks are dealt by the number of parts, as edges are many times their bytes; blocks have removed repeats already.
+    deals = max(1, -(-parts.count() // TASK_PARTS))
     with setting(docs.sparkSession, "spark.sql.execution.useObjectHashAggregateExec", "false"):
-        known = scratch.keep(encode_parts(parts.select("part").distinct(), table))
+        known = scratch.keep(encode_parts(parts.select("part").repartition(deals, "part").distinct(), table))
     # A part may come twice for a block, which does no harm.
     lexicon = parts.join(known, "part").select("block", "part", "ids")
     # As many tasks as blocks and some to spare, as several blocks may be dealt to one.
