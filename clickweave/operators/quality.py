@@ -29,6 +29,10 @@ EXACT_JSON = {
 REPORT = "check_name string, column_name string, violations bigint, row_count bigint"
 
 
+# Types whose values differ as text wherever they differ.
+PLAIN = ("string", "tinyint", "smallint", "int", "bigint", "boolean", "date")
+
+
 class QualityError(ValueError):
     """A table does not meet its declared expectations."""
 
@@ -162,9 +166,16 @@ def uniqueness_report(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column: rows, different values (null counts as one) and surplus rows."""
     # One scan: each row is taken apart into (column, value), and values are counted before they are shuffled.
     def text(name: str) -> Column:
-        # Adding zero makes -0.0 and 0.0 the same; a null field is left out of the JSON.
-        value = F.col(name) + 0.0 if dict(df.dtypes)[name] in ("float", "double") else F.col(name)
-        return F.to_json(F.struct(value.alias("v")), EXACT_JSON)
+        value, kind = F.col(name), dict(df.dtypes)[name]
+        if kind in ("float", "double"):
+            # Adding zero makes -0.0 and 0.0 the same.
+            value = value + 0.0
+        elif kind == "timestamp":
+            value = F.unix_micros(value)
+        elif kind not in PLAIN and not kind.startswith("decimal"):
+            # A null field is left out of the JSON.
+            return F.to_json(F.struct(value.alias("v")), EXACT_JSON)
+        return F.coalesce(F.concat(F.lit("v"), value.cast("string")), F.lit("null"))
 
     cells = F.array(*[F.struct(F.lit(name).alias("column_name"), text(name).alias("value")) for name in columns])
     values = df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))

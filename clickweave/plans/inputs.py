@@ -78,7 +78,7 @@ def click_messages(events: DataFrame) -> DataFrame:
         F.col("user_id").cast("string").alias("uuid"),
         F.struct(
             F.concat(F.lit("user-"), F.col("event_type")).alias("event_name"),
-            F.lit("user-action").alias("event_type"),
+            F.lit("click").alias("event_type"),
             F.col("value").cast("string").alias("event_value"),
         ).alias("event_details"),
     )

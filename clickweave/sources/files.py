@@ -1,4 +1,4 @@
-"""Bounded and unbounded file scans, catalog tables and the rate source."""
+"""Bounded and unbounded file scans, and catalog tables."""
 
 from __future__ import annotations
 
