@@ -32,8 +32,8 @@ LEVELS = np.array([1, 2, 3, 5, 9, 17])
 SLICES, BITS = 4, 12
 #: Documents of a block, and bytes of its matrix, at most; a document that needs more shares a block with seven others.
 BLOCK_DOCS, BLOCK_BYTES = 1024, 2 << 20
-#: Bytes of query texts that are searched for together, and so broadcast.
-QUERY_BYTES = 8 << 20
+#: Bytes of query texts that are searched for together, and so broadcast, and how many queries that may be.
+QUERY_BYTES, QUERY_ROWS = 8 << 20, 20_000
 #: Terms of queries whose bitmaps are held at a time.
 CHUNK_TERMS = 1 << 12
 #: Bytes of row numbers and query numbers that go to every executor; beyond, they are joined by shuffle.
@@ -305,7 +305,7 @@ def search(
     count, so a query without a known term, or null or empty, has no rows. Every row of ``items`` is a query and every
     row of the index a document of its own, also where ids repeat or are null.
 
-    Queries are searched for in blocks of at most ``QUERY_BYTES`` of text, or a single longer query.
+    Queries are searched for in blocks of at most ``QUERY_BYTES`` of text and ``QUERY_ROWS`` queries, or a single longer query.
     """
     spark = items.sparkSession
     chosen = items.select(column(items, item_id).alias("item_id"), column(items, text).alias("text"))
@@ -314,7 +314,7 @@ def search(
     while True:
         dealt = rows.withColumn("part", F.pmod(F.xxhash64("query_row", F.lit(parts)), F.lit(parts)).cast("int"))
         sizes = dealt.groupBy("part").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n"))
-        too_large = sizes.where(f"bytes > {QUERY_BYTES} AND n > 1").limit(1).count()
+        too_large = sizes.where(f"(bytes > {QUERY_BYTES} OR n > {QUERY_ROWS}) AND n > 1").limit(1).count()
         if not too_large:
             break
         parts *= 2

@@ -96,7 +96,7 @@ def test_against_sql(spark, folder, tmp_path):
     assert Counter(map(tuple, found.collect())) == expected and len(expected) > 30
 
 
-@pytest.mark.parametrize("small", [{"QUERY_BYTES": 60}, {"BROADCAST_BYTES": 0}])
+@pytest.mark.parametrize("small", [{"QUERY_BYTES": 60}, {"QUERY_ROWS": 3}, {"BROADCAST_BYTES": 0}])
 def test_limits_change_no_result(spark, rows, folder, monkeypatch, small):
     docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = Counter(map(tuple, rank_documents(docs, items, 3).collect()))
