@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from clickweave.functions.event_time import normalise_event_time, parse_timestamp
@@ -13,7 +15,8 @@ from clickweave.functions.json_columns import (
     variant_fields,
     with_processing_time,
 )
-from clickweave.functions.layout import add_layout_columns, with_date_column
+from clickweave.functions.layout import add_layout_columns, spread, with_date_column
+from clickweave.functions.schema import to_schema
 from clickweave.operators import analytics, quality
 from clickweave.operators.row_ops import apply_steps
 from clickweave.operators.sessions import count_unusable, detect_sessions, rollup_sessions
@@ -24,7 +27,14 @@ from clickweave.plans.session_queries import LIMITS, page_activity
 from clickweave.plans.sql_parts import BIN_SESSIONS, ROLLUP_COLUMNS
 from clickweave.sinks.files import write_files
 from clickweave.sinks.streams import kafka_payload
-from clickweave.sinks.tables import table_columns, table_partitions, table_properties, write_table
+from clickweave.sinks.tables import (
+    SESSION_TABLE_PROPERTIES,
+    ensure_table,
+    table_columns,
+    table_partitions,
+    table_properties,
+    write_table,
+)
 from clickweave.sources.files import read_files, read_table
 
 # Sources and sinks -------------------------------------------------------------------------
@@ -240,6 +250,26 @@ def json_parse(spark, sf_dir):
     return parse_json(events, {"k": "bigint"}, "props", keep_value=False)
 
 
+SCHEMA_FORMS = {
+    "names": {"k": "bigint"},
+    "fields": [{"name": "k", "type": "bigint", "nullable": True}],
+    "ddl": "k BIGINT",
+    "json": '{"type": "struct", "fields": [{"name": "k", "type": "long", "nullable": true, "metadata": {}}]}',
+}
+
+
+@query(
+    "json_schema_forms",
+    "SELECT event_id, form, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k"
+    " FROM events, (VALUES ('names'), ('fields'), ('ddl'), ('json')) AS f(form)",
+)
+def json_schema_forms(spark, sf_dir):
+    """The same messages parsed by every way to write their schema."""
+    events = table(spark, sf_dir, "events").select("event_id", "props")
+    parsed = [parse_json(events.withColumn("form", F.lit(form)), spec, "props", keep_value=False) for form, spec in SCHEMA_FORMS.items()]
+    return reduce(lambda a, b: a.unionByName(b), parsed)
+
+
 @query(
     "json_variant",
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS k_text,"
@@ -583,6 +613,42 @@ def cleanse(spark, sf_dir):
     )
 
 
+@query("dq_required", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def dq_required(spark, sf_dir):
+    """A table that meets every declared expectation passes unchanged; one that does not would raise."""
+    suppliers = table(spark, sf_dir, "supplier")
+    types = {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"}
+    checked = quality.require_types(quality.require_columns(suppliers, list(types)), types)
+    checked = quality.require_schema(checked, to_schema(types))
+    return quality.enforce(checked, min_rows=1, not_null=list(types), ranges={"s_nationkey": {"min": 0, "max": 24}})
+
+
+@query(
+    "spread_by_user",
+    "SELECT user_id, 1::BIGINT AS partitions, count(*) AS event_count FROM events GROUP BY user_id",
+)
+def spread_by_user(spark, sf_dir):
+    """After a repartition by user each user's events are in one partition, all of them."""
+    placed = spread(table(spark, sf_dir, "events"), ["user_id"], 7).select("user_id", F.spark_partition_id().alias("place"))
+    return placed.groupBy("user_id").agg(F.count_distinct("place").alias("partitions"), F.count(F.lit(1)).alias("event_count"))
+
+
+@query("table_created_once", "SELECT event_id, user_id, event_type, 'zstd' AS codec FROM events")
+def table_created_once(spark, sf_dir):
+    """A table created with its properties if it is absent; the second time changes nothing."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    path = scratch(spark, "created_once")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    layout = {"partition_by": ["event_type"], "properties": SESSION_TABLE_PROPERTIES, "location": path}
+    made = [ensure_table(spark, name, events.schema, **layout) for _ in range(2)]
+    if made != [True, False]:
+        raise ValueError(f"the table should be made once: {made}")
+    write_table(events, name, "append", ["event_type"])
+    key = "write.parquet.compression-codec"
+    codec = table_properties(spark, name).filter(F.col("key") == key).select(F.col("value").alias("codec"))
+    return spark.table(name).join(F.broadcast(codec)).select("event_id", "user_id", "event_type", "codec")
+
+
 @query(
     "dataset_info",
     "SELECT count(*) AS row_count, 4::BIGINT AS partition_count, CAST(5 AS INTEGER) AS column_count, 'struct<c_custkey:bigint,c_name:string,"
