@@ -34,7 +34,7 @@ def column(df: DataFrame, name: str) -> Column:
 
 
 #: Rows and bytes of a batch of texts sent to a Python worker; they bound its memory, and that of the buffers beside it.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:

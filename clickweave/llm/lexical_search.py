@@ -151,12 +151,11 @@ def build_index(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
 
 
 class Queries:
-    """Queries of one block: numbers and ids, and the weighted terms of each."""
+    """The weighted terms of each query of one block."""
 
-    def __init__(self, numbers: list[int], counts: list[Counter], index: Index, frequency: dict[bytes, int]):
+    def __init__(self, counts: list[Counter], index: Index, frequency: dict[bytes, int]):
         self.documents, self.total = index.documents, index.total
-        self.numbers = numbers
-        self.place = {}
+        self.place: dict[bytes, int] = {}
         weights = []
         for term in dict.fromkeys(t for c in counts for t in c):
             # A term of no document scores nothing.
@@ -339,7 +338,7 @@ def _search(spark: SparkSession, index: Index, block: list, scratch: Scratch, wa
     terms = context.broadcast(frozenset(t for c in counts for t in c))
     in_tasks = texts.select("text").mapInPandas(_frequencies(terms), "term binary, n bigint")
     frequency = {bytes(r.term): r.n for r in in_tasks.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    queries = context.broadcast(Queries([row.query_row for row in block], counts, index, frequency))
+    queries = context.broadcast(Queries(counts, index, frequency))
 
     first = index.blocks.mapInPandas(_first_look(queries, wanted), "query int, number bigint, bound bigint")
     by_bound = Window.partitionBy("query").orderBy(F.desc("bound"), "number")

@@ -116,7 +116,7 @@ def test_bounds_hold_and_exclude(rows, monkeypatch, small):
     big_n, big_l = sum(map(bool, bags)), sum(b.total() for b in bags)
     df = Counter(t.encode() for b in bags for t in b)
     asked = [Counter(t.encode() for t in terms(text)) for _, text in ITEMS]
-    queries = lexical_search.Queries(list(range(len(ITEMS))), asked, SimpleNamespace(documents=big_n, total=big_l), df)
+    queries = lexical_search.Queries(asked, SimpleNamespace(documents=big_n, total=big_l), df)
     blocks = pd.concat(lexical_search._index(iter(np.array_split(texts, 3)))).to_dict("records")
     assert (sum(b["docs"] for b in blocks), sum(b["total"] for b in blocks)) == (big_n, big_l)
     seen, false = 0, 0
