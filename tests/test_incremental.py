@@ -12,6 +12,8 @@ from clickweave.operators.busy_users import BusyUsers
 from clickweave.operators.incremental import SessionTable
 from clickweave.streaming.capped import stream_capped_sessions, stream_session_events
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 SCHEMA = "uuid string, event_time_ms bigint, event_id bigint"
 LIMITS = {"inactivity_minutes": 2, "max_minutes": 9}
 

@@ -16,6 +16,8 @@ from clickweave.sources.envelope import to_envelope
 from clickweave.sources.files import stream_files
 from clickweave.streaming.capped import stream_capped_sessions, stream_session_events
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 DRAIN = {"availableNow": True}
 SCHEMA = "id bigint, kind string, tags map<string, int>"
 
@@ -61,10 +63,12 @@ def test_number_of_files(spark, tmp_path, most):
     assert max(files.values()) <= most < max(Counter(p.parent.name for p in (tmp_path / "plain").rglob("*.parquet")).values())
     # The hot partition is shared by as many tasks as it may have files, where Spark does not join small ones.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
         tasks = clustered(rows, ["kind"], most).select("kind", F.spark_partition_id().alias("task")).distinct().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
     assert len({r.task for r in tasks if r.kind == "k0"}) == most
 
 

@@ -15,6 +15,8 @@ from clickweave.sources.files import stream_files
 from clickweave.streaming.capped import session_starts, stream_capped_sessions, stream_session_events
 from clickweave.streaming.windows import stream_tumbling_sessions, stream_windowed_sessions
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 DRAIN = {"availableNow": True}
 SCHEMA = "uuid string, event_time_ms bigint, event_id bigint"
 # An event far in the future moves the watermark past everything else.
