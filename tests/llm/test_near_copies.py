@@ -52,9 +52,9 @@ def components():
     return group, pairs
 
 
-@pytest.mark.parametrize("group_rows", [20_000, 2])
-def test_components(spark, tmp_path, monkeypatch, group_rows):
-    monkeypatch.setattr(near_copies, "GROUP_ROWS", group_rows)
+@pytest.mark.parametrize(("limit", "value"), [("GROUP_ROWS", 20_000), ("GROUP_ROWS", 2), ("GROUP_BYTES", 500)])
+def test_components(spark, tmp_path, monkeypatch, limit, value):
+    monkeypatch.setattr(near_copies, limit, value)
     spark.createDataFrame(ROWS, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/d")
     found = near_copies.near_copies(spark.read.parquet(f"{tmp_path}/d")).collect()
     group, pairs = components()
