@@ -115,7 +115,12 @@ class Model:
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Learn from all rows with a text and a language. Only names and counts, bounded by ``MODEL_CELLS``, reach the driver."""
+    """Learn from all rows with a text and a language. Only names and counts, bounded by ``MODEL_CELLS``, reach the driver.
+
+    With more than ``MODEL_CELLS >> GRAM_BITS`` (16) languages, trigrams share cells so that the model stays as large; more than
+    ``MODEL_CELLS >> 8`` (16,384) raise an error. A table without such rows, an empty one too, gives a model of no languages,
+    under which every text is ``und``. Repeated rows count again.
+    """
     rows = labelled.select(column(labelled, text).alias("text"), column(labelled, lang).alias("lang")).dropna()
     bound_batches(labelled.sparkSession)
     most = MODEL_CELLS >> 8

@@ -135,7 +135,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", order: str = "doc_id",
 
     ``component_id`` is the smallest ``order`` reachable over links of at most ``radius`` bits, the row itself
     included (null if it is null in all of them); ``kept`` marks one row of each component, of smallest ``order``.
-    Every row comes out once. Copies share a fingerprint and are one node, so groups of copies cost nothing after the
+    Every row comes out once, of an empty table none. Texts without words, null and empty ones too, have the fingerprint zero and
+    link like any other. Copies share a fingerprint and are one node, so groups of copies cost nothing after the
     first aggregate, which is combined before its shuffle.
     Rows are numbered and written with their fingerprints, so ``docs`` is read once.
     """

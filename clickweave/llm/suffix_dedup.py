@@ -323,7 +323,7 @@ def remove_repeats(
     Every byte is removed that is covered by a string of ``length`` bytes which starts anywhere else too, in the
     same text or another; the first occurrence is not spared, and strings are judged on the input. Matches do not cross
     texts; with ``least_words``, passages of that many words that recur (see ``passages``) are removed as well,
-    however few bytes they have. A null text is empty; repeated rows are repeats of each other. ``kept_sha256`` is over the remaining
+    however few bytes they have. A null text is empty; repeated rows are repeats of each other; an empty table gives an empty one. ``kept_sha256`` is over the remaining
     bytes; the text also keeps characters that a removed run would cut in half. Without ``keep_text`` the
     column is dropped. Names that clash get underscores added. Rows are numbered by ``numbered``; of the tables written on the
     way the last one stays, which the result reads.
