@@ -8,6 +8,8 @@ watermark has passed, and its SQL applies the same rule.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -397,8 +399,12 @@ arrivals AS (
 clicks AS (SELECT uuid, event_id, page_name, ms FROM arrivals WHERE reason IS NULL)"""
 
 
-def arriving(spark, sf_dir: str, label: str) -> DataFrame:
-    """The events as messages with an arrival, streamed in its order, a third of them at a time; an end marker comes last."""
+def drain_arriving(spark, sf_dir: str, label: str, run) -> DataFrame:
+    """Run a stream over the events as messages with an arrival, in its order, a third of them at a time; an end marker comes last.
+
+    Each third is landed by all tasks, and a run of the stream takes it as one batch, whatever the number of its files. The next run
+    goes on from the state of the one before.
+    """
     events = table(spark, sf_dir, "events")
     closing = spark.createDataFrame([tuple(end_marker(events.schema)[c] for c in events.columns)], events.schema)
     sent = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -406,21 +412,18 @@ def arriving(spark, sf_dir: str, label: str) -> DataFrame:
     timed = events.withColumn("arrived", sent + lag)
     first, second = timed.approxQuantile("arrived", [1 / 3, 2 / 3], 0.01)
     parts = (F.col("arrived") <= first, (F.col("arrived") > first) & (F.col("arrived") <= second), F.col("arrived") > second)
-    source = scratch(spark, f"{label}-in")
+    source, path, checkpoint = (scratch(spark, f"{label}-{part}") for part in ("in", "out", "checkpoint"))
     for part in (*[timed.filter(p) for p in parts], closing.withColumn("arrived", sent)):
         messages = click_messages(part.drop("arrived")).drop("timestamp")
         messages = messages.withColumn("event_id", F.get_json_object("value", "$.event_id").cast("bigint"))
-        messages = messages.join(part.select("event_id", F.timestamp_millis("arrived").alias("timestamp")), "event_id")
-        messages.drop("event_id").coalesce(1).write.mode("append").parquet(source)
-    return stream_files(spark, source, spark.read.parquet(source).schema, max_files_per_trigger=1)
+        messages = messages.join(part.select("event_id", F.timestamp_millis("arrived").alias("timestamp")), "event_id").drop("event_id")
+        messages.write.mode("append").parquet(source)
+        run(stream_files(spark, source, messages.schema), checkpoint=checkpoint, path=path, trigger=DRAIN).awaitTermination()
+    return spark.read.parquet(path)
 
 
 def rejected(spark, sf_dir: str, label: str, reason: str) -> DataFrame:
-    path = scratch(spark, f"{label}-out")
-    jobs.rejects_stream(
-        arriving(spark, sf_dir, label), checkpoint=scratch(spark, f"{label}-checkpoint"), path=path, trigger=DRAIN
-    ).awaitTermination()
-    found = spark.read.parquet(path).filter(F.col("reason") == reason)
+    found = drain_arriving(spark, sf_dir, label, jobs.rejects_stream).filter(F.col("reason") == reason)
     return found.select(F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), "reason")
 
 
@@ -441,12 +444,5 @@ def stream_late_rejects(spark, sf_dir):
 )
 def stream_guarded_sessions(spark, sf_dir):
     """Sessions of all that is neither late nor has a wrong clock, none of which the watermark may drop."""
-    path = scratch(spark, "guarded-out")
-    jobs.sessions_stream(
-        arriving(spark, sf_dir, "guarded"),
-        limits=LIMITS,
-        checkpoint=scratch(spark, "guarded-checkpoint"),
-        path=path,
-        trigger=DRAIN,
-    ).awaitTermination()
-    return spark.read.parquet(path).select("uuid", "event_id", "session_start_time_ms")
+    run = partial(jobs.sessions_stream, limits=LIMITS)
+    return drain_arriving(spark, sf_dir, "guarded", run).select("uuid", "event_id", "session_start_time_ms")
