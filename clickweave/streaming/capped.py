@@ -29,6 +29,8 @@ from clickweave.streaming.windows import DEFAULT_DELAY
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OPEN_SCHEMA = "start bigint, last bigint, events bigint"
+# Users share their state's calls with those of the same bucket, by a hash of the user.
+BUCKETS = 1024
 # Moments are handed on once the watermark has passed the second they lie in.
 SECOND_MS = 1000
 STARTS = "session_start_time_ms bigint, _settled timestamp"
@@ -55,8 +57,8 @@ def stream_capped_sessions(
     """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
     moments = _moments(settling_events(events, user, time_ms, delay, clock, arrival), user, time_ms, boundary)
-    closed = moments.groupBy(user).transformWithStateInPandas(
-        statefulProcessor=ClosedSessions(user, rules.gap_ms, rules.cap_ms),
+    closed = _in_buckets(moments, user).transformWithStateInPandas(
+        statefulProcessor=ClosedSessions(user, _kind(events, user), rules.gap_ms, rules.cap_ms),
         outputStructType=(
             f"`{user}` {_kind(events, user)}, session_start_time_ms bigint, session_end_time_ms bigint, event_count bigint"
         ),
@@ -88,8 +90,8 @@ def stream_session_events(
     """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
     settling = settling_events(events, user, time_ms, delay, clock, arrival)
-    starts = _moments(settling, user, time_ms, boundary).groupBy(user).transformWithStateInPandas(
-        statefulProcessor=MomentStarts(user, rules.gap_ms, rules.cap_ms),
+    starts = _in_buckets(_moments(settling, user, time_ms, boundary), user).transformWithStateInPandas(
+        statefulProcessor=MomentStarts(user, _kind(events, user), rules.gap_ms, rules.cap_ms),
         outputStructType=f"`{user}` {_kind(events, user)}, _moment bigint, {STARTS}",
         outputMode="append",
         timeMode="EventTime",
@@ -130,7 +132,12 @@ def _moments(settling: DataFrame, user: str, time_ms: str, boundary: Column | No
 
 def _initial(sessions: DataFrame | None, user: str):
     columns = (user, "session_start_time_ms", "session_end_time_ms", "event_count")
-    return None if sessions is None else sessions.select(*columns).groupBy(user)
+    return None if sessions is None else _in_buckets(sessions.select(*columns), user)
+
+
+def _in_buckets(rows: DataFrame, user: str):
+    bucket = F.pmod(F.xxhash64(user), F.lit(BUCKETS)).cast("int")
+    return rows.withColumn("_bucket", bucket).groupBy("_bucket")
 
 
 def _kind(events: DataFrame, column: str) -> str:
@@ -165,15 +172,19 @@ def session_starts(
     return starts
 
 
-class _PerUser(StatefulProcessor):
-    """State and timer handling shared by both processors."""
+class _PerBucket(StatefulProcessor):
+    """State and timer handling shared by both processors: the open sessions of the users of one bucket.
 
-    def __init__(self, user: str, gap_ms: int, cap_ms: int):
-        self.user, self.gap_ms, self.cap_ms = user, gap_ms, cap_ms
+    A call into the state costs as much as many users' sessions, so there is one list for all of them, read and written whole,
+    and one timer, for the first of them to expire.
+    """
+
+    def __init__(self, user: str, kind: str, gap_ms: int, cap_ms: int):
+        self.user, self.kind, self.gap_ms, self.cap_ms = user, kind, gap_ms, cap_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", OPEN_SCHEMA)
+        self.open = handle.getListState("open", f"user {self.kind}, {OPEN_SCHEMA}")
 
     def wake_at(self, times: list[int]) -> None:
         """Keep one timer, at the earliest of the given times."""
@@ -185,82 +196,101 @@ class _PerUser(StatefulProcessor):
             self.handle.registerTimer(wanted)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.iloc[0]
-        self.keep_open(tuple(int(row[c]) for c in ("session_start_time_ms", "session_end_time_ms", "event_count")), timerValues)
-
-    def keep_open(self, session, timerValues) -> bool:
-        """Keep the open session and a timer, unless no event can join it any more."""
+        columns = (initialState[c].tolist() for c in (self.user, "session_start_time_ms", "session_end_time_ms", "event_count"))
+        sessions = self.sessions()
+        for user, *session in zip(*columns):
+            sessions.setdefault(user, tuple(map(int, session)))
+        self.keep_open(sessions, timerValues)
+
+    def sessions(self) -> dict:
+        """The open session of each user: start, last moment, events."""
+        return {user: (start, last, events) for user, start, last, events in self.open.get()}
+
+    def keep_open(self, sessions: dict, timerValues) -> list[tuple]:
+        """Keep the open sessions and a timer; the sessions that no event can join any more are returned."""
         # Moments of a second that the watermark has not left may still be on their way.
         settled = timerValues.getCurrentWatermarkInMs() // SECOND_MS * SECOND_MS
-        expires = session[1] + self.gap_ms + 1
-        if expires <= settled - 1:
+        kept, closed, times = [], [], []
+        for user, session in sessions.items():
+            expires = session[1] + self.gap_ms + 1
+            if expires <= settled - 1:
+                closed.append((user, *session))
+            else:
+                kept.append((user, *session))
+                times.append(-(-(expires + 1) // SECOND_MS) * SECOND_MS)
+        if kept:
+            self.open.put(kept)
+        else:
             self.open.clear()
-            self.wake_at([])
-            return False
-        self.open.update(tuple(session))
-        self.wake_at([-(-(expires + 1) // SECOND_MS) * SECOND_MS])
-        return True
+        self.wake_at(times)
+        return closed
+
+    def by_user(self, rows: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        """Each user with its moments in ascending order, their counts of events and cuts; users have their rows together."""
+        settled = pd.concat([batch[[self.user, "moment", "events", "cut"]] for batch in rows])
+        codes, users = pd.factorize(settled[self.user], use_na_sentinel=False)
+        moments = settled["moment"].to_numpy(dtype=np.int64)
+        order = np.lexsort((moments, codes))
+        edges = np.cumsum(np.bincount(codes, minlength=len(users)))[:-1]
+        columns = (moments, settled["events"].to_numpy(dtype=np.int64), settled["cut"].to_numpy(dtype=bool))
+        yield from zip(users.tolist(), *(np.split(c[order], edges) for c in columns))
 
     def close(self) -> None:
         pass
 
 
-class ClosedSessions(_PerUser):
+class ClosedSessions(_PerBucket):
     """Emit each session once, when no event can join it any more.
 
     Moments arrive after the watermark has settled them: later batches hold later moments only.
     """
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        settled = pd.concat([batch[["moment", "events", "cut"]] for batch in rows]).sort_values("moment")
-        moments = settled["moment"].to_numpy(dtype=np.int64)
-        counts = settled["events"].to_numpy(dtype=np.int64)
-        start, last, events = self.open.get() if self.open.exists() else (None, None, 0)
-        starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms, settled["cut"].to_numpy(dtype=bool))
-        edges = np.flatnonzero(np.diff(starts, prepend=starts[0] - 1))
-        totals = np.add.reduceat(counts, edges)
-        ends = moments[np.append(edges[1:], len(moments)) - 1]
-        done = []
-        for begin, end, total in zip(starts[edges].tolist(), ends.tolist(), totals.tolist()):
-            if begin == start:
-                last, events = end, events + total
-                continue
-            if start is not None:
-                done.append((start, last, events))
-            start, last, events = begin, end, total
-        yield from self.settle(key, done, (start, last, events), timerValues)
+        sessions, done = self.sessions(), []
+        for user, moments, counts, cuts in self.by_user(rows):
+            start, last, events = sessions.get(user, (None, None, 0))
+            starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms, cuts)
+            edges = np.flatnonzero(np.diff(starts, prepend=starts[0] - 1))
+            totals = np.add.reduceat(counts, edges)
+            ends = moments[np.append(edges[1:], len(moments)) - 1]
+            for begin, end, total in zip(starts[edges].tolist(), ends.tolist(), totals.tolist()):
+                if begin == start:
+                    last, events = end, events + total
+                    continue
+                if start is not None:
+                    done.append((user, start, last, events))
+                start, last, events = begin, end, total
+            sessions[user] = (start, last, events)
+        yield from self.settle(done, sessions, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            yield from self.settle(key, [], self.open.get(), timerValues)
+        yield from self.settle([], self.sessions(), timerValues)
 
-    def settle(self, key, done, session, timerValues) -> Iterator[pd.DataFrame]:
-        if not self.keep_open(session, timerValues):
-            done.append(tuple(session))
+    def settle(self, done: list[tuple], sessions: dict, timerValues) -> Iterator[pd.DataFrame]:
+        done = done + self.keep_open(sessions, timerValues)
         if done:
-            frame = pd.DataFrame(
-                done, columns=["session_start_time_ms", "session_end_time_ms", "event_count"]
-            )
-            frame.insert(0, self.user, key[0])
-            yield frame
+            yield pd.DataFrame(done, columns=[self.user, "session_start_time_ms", "session_end_time_ms", "event_count"])
 
 
-class MomentStarts(_PerUser):
+class MomentStarts(_PerBucket):
     """Emit each moment at once with the start of its session."""
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        settled = pd.concat([batch[["moment", "cut"]] for batch in rows]).sort_values("moment")
-        moments = settled["moment"].to_numpy(dtype=np.int64)
-        start, last, _ = self.open.get() if self.open.exists() else (None, None, 0)
-        starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms, settled["cut"].to_numpy(dtype=bool))
-        self.keep_open((int(starts[-1]), int(moments[-1]), 0), timerValues)
+        sessions, users, found = self.sessions(), [], []
+        for user, moments, _, cuts in self.by_user(rows):
+            start, last, _ = sessions.get(user, (None, None, 0))
+            starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms, cuts)
+            sessions[user] = (int(starts[-1]), int(moments[-1]), 0)
+            users += [user] * len(moments)
+            found.append((moments, starts))
+        self.keep_open(sessions, timerValues)
+        moments, starts = map(np.concatenate, zip(*found))
         ends = (moments // SECOND_MS + 1) * SECOND_MS
         ends = pd.Series(ends.astype("datetime64[ms]")).dt.tz_localize("UTC")
-        yield pd.DataFrame({self.user: key[0], "_moment": moments, "session_start_time_ms": starts, "_settled": ends})
+        yield pd.DataFrame({self.user: users, "_moment": moments, "session_start_time_ms": starts, "_settled": ends})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            self.keep_open(self.open.get(), timerValues)
+        self.keep_open(self.sessions(), timerValues)
         return iter(())
 
 
