@@ -1,4 +1,4 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands propose, the texts decide."""
+"""Near copies by the Jaccard similarity of word shingles: SimHash proposes, bands add what lies farther apart, the texts decide."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm.common import Scratch, bound_batches, column, components, free_name, numbered
+from clickweave.llm.simhash import fingerprint, near_prints
 
 #: A band is the minima of ``ROWS`` hash functions. At a similarity of 0.8 two texts share no band once in 350,000 pairs.
 BANDS, ROWS = 42, 6
@@ -86,15 +87,31 @@ def _links(words: int, least: float):
     return link
 
 
+def print_keys(prints: DataFrame, scratch: Scratch) -> DataFrame:
+    """A ``key`` for each distinct fingerprint in ``print``, the same for all that links within three bits connect."""
+    begun = scratch.count
+    links = scratch.keep(near_prints(prints))
+    roots = components(links, scratch)
+    # Another kind of key than those of the bands, so it is hashed apart from them.
+    key = F.xxhash64(F.lit("print"), F.coalesce("root", "print")).alias("key")
+    keys = scratch.keep(prints.join(roots, F.col("print") == F.col("node"), "left").select("print", key))
+    scratch.drop(*range(begun + 1, scratch.count))
+    return keys
+
+
 def similar_rows(texts: DataFrame, words: int, least: float, scratch: Scratch) -> DataFrame:
     """Verified links ``a``, ``b`` between rows of ``texts`` (``row``, ``text``), enough to connect all similar ones.
 
-    Rows that share a band key are candidates. Each key points to its first row; what is connected that way is put
+    Rows that share a key are candidates: the component of their SimHash fingerprints, linked within three bits, or a band, which
+    also meets similar rows whose fingerprints lie farther apart. Each key points to its first row; what is connected that way is put
     into one group, and a group's texts are compared in one task, so texts move once and pairs never leave a task.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")
-    dealt = scratch.keep(texts.select("row", size, band_keys(F.col("text"), words).alias("keys"))).select(
-        "row", "size", F.explode(F.array_distinct("keys")).alias("key")
+    text = F.col("text")
+    hashed = scratch.keep(texts.select("row", size, fingerprint(text, words).alias("print"), band_keys(text, words).alias("keys")))
+    of_print = print_keys(scratch.keep(hashed.select("print").distinct()), scratch)
+    dealt = hashed.select("row", "size", F.explode(F.array_distinct("keys")).alias("key")).union(
+        hashed.join(of_print, "print").select("row", "size", "key")
     )
     firsts = dealt.groupBy("key").agg(F.min("row").alias("first"), F.max("row").alias("last"))
     firsts = scratch.keep(firsts.where("first < last").select("key", "first"))

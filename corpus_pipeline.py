@@ -68,6 +68,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the document with the smallest doc_id stays.
 
     Near copies have a Jaccard similarity of ``NEAR`` or more over shingles of ``SHINGLE_WORDS`` words, counted on the texts.
+    SimHash fingerprints within three bits propose them; bands of minima add the pairs that are as similar but farther apart.
     """
     return _without_dropped(docs, partial(near_copies, words=SHINGLE_WORDS, least=NEAR))
 

@@ -77,3 +77,20 @@ def test_stage_keeps_one_of_each_component(spark, tmp_path):
     assert sorted(of[r.text] for r in kept) == sorted(set(group))
     prints = [simhash.fingerprint_of(t, 3) & (2**64 - 1) for _, t, *_ in ROWS]
     assert sum((prints[i] ^ prints[j]).bit_count() > 3 for i, j in pairs) > len(pairs) / 2
+
+
+def test_fingerprints_propose(spark, tmp_path, monkeypatch):
+    """Without the bands, links come from SimHash alone: of similar texts, those that fingerprints within three bits connect."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda text, words: near_copies.F.array().cast("array<bigint>"))
+    spark.createDataFrame(ROWS, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/d")
+    found = near_copies.near_copies(spark.read.parquet(f"{tmp_path}/d")).collect()
+    prints = [simhash.fingerprint_of(t, 5) & (2**64 - 1) for _, t, *_ in ROWS]
+    group = list(range(len(ROWS)))
+    for least in (0.0, 0.8):
+        own = list(range(len(ROWS)))
+        for i, j in itertools.combinations(range(len(ROWS)), 2):
+            close = (prints[i] ^ prints[j]).bit_count() <= 3 if least == 0 else group[i] == group[j] and jaccard(ROWS[i][1], ROWS[j][1]) >= 0.8
+            if close and own[i] != own[j]:
+                own = [own[i] if g == own[j] else g for g in own]
+        group = own
+    assert sum(r.kept for r in found) == len(set(group)) < len(ROWS) - 5
