@@ -1,7 +1,7 @@
 """Streaming sessions under both rules, with keyed state.
 
 Events are first counted per user and millisecond, spread over all tasks and combined before the shuffle, and held
-back until the watermark has passed their second. What reaches a user's state are these moments, in time order
+back until the watermark has passed their second. What reaches the state are these moments, by bucket of users, in time order
 whatever the arrival order, so the result equals the bounded ``greedy`` policy: a start depends on earlier moments only. Session
 ids come from the session start and stay unique after a user's state has been removed.
 
@@ -52,8 +52,8 @@ def stream_capped_sessions(
 
     ``initial`` has the sessions that are open when the stream begins, such as ``SessionTable.open_sessions``: user,
     ``session_start_time_ms``, ``session_end_time_ms`` and ``event_count``. ``boundary`` is a condition on an event that also opens a new
-    session, as on bounded tables. A user's task sees at most 1000 rows per second of event time, however busy the user is, and keeps nothing but the
-    open session. Events that break the ``clock`` rules are left out, see ``settling_events``.
+    session, as on bounded tables. A task sees at most 1000 rows a user and second of event time, however busy the user is, and keeps nothing but the
+    open sessions, a list for each of ``BUCKETS`` buckets of users. Events that break the ``clock`` rules are left out, see ``settling_events``.
     """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
     moments = _moments(settling_events(events, user, time_ms, delay, clock, arrival), user, time_ms, boundary)
