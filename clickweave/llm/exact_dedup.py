@@ -64,7 +64,9 @@ def exact_duplicates(
     marked = sized.join(_small(keys), [size, head], "left")
     hashed = marked.withColumn(full, folded_digest(F.when(F.col(again), value))).drop(again, text)
 
-    groups = hashed.where(F.col(full).isNotNull()).groupBy(F.col(full).alias(key)).agg(
+    # Told apart by their keys: a filter on the digest would be a second evaluation, with a second Python worker for every task.
+    again_hashed = marked.where(F.col(again)).withColumn(full, folded_digest(value))
+    groups = again_hashed.groupBy(F.col(full).alias(key)).agg(
         F.count(F.lit(1)).alias(group_size), F.max(F.struct(F.col(order), F.col(row))).alias(best)
     )
     # Written first: Spark splits a skewed join only where both sides come straight from a shuffle.

@@ -8,6 +8,7 @@ import pytest
 from test_operators import LONG, ROWS, SCHEMA, folded, prose
 
 from clickweave.llm import packing, simhash
+from clickweave.llm.common import Scratch, numbered
 
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 MORE = [
@@ -37,6 +38,27 @@ def test_stages(kept):
     assert all(kept[name][0] == NAMES for name in list(kept)[:4])
 
 
+def test_one_python_worker_a_task(spark, tmp_path):
+    """Texts go to Python once a plan: a second evaluation holds a second worker for every task."""
+    spark.createDataFrame(ROWS + MORE, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs, shared = spark.read.parquet(f"{tmp_path}/documents.parquet"), Scratch(spark, "test")
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.repeat_removal):
+        plan = stage(spark, docs, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1, stage
+    kept, plans = Scratch.keep, []
+
+    def keep(self, df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(self, df)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Scratch, "keep", keep)
+        corpus_pipeline.exact_dedup(spark, docs, str(tmp_path))
+    assert max(p.count("ArrowEvalPython") for p in plans) == 1
+    # The list of files does not pass through Python workers.
+    assert "ExistingRDD" not in numbered(docs, "row", shared)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_language_stage(kept):
     lettered = Counter(r for r in ROWS + MORE if r[1] and re.search(r"[^\W\d_]", r[1]))
     assert Counter(kept["language ID"][1]) == lettered
