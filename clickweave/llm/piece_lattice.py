@@ -8,20 +8,27 @@ position, into the best path (Viterbi). Documents then take up the ids of their
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import Scratch, bound_batches, column, setting
+from clickweave.llm.common import Scratch, bound_batches, column, free_name, numbered, setting
 from clickweave.llm.pieces import Pieces, default_model, load_pieces
 from clickweave.llm.trie_counts import BLOCK_CHARS, blocks
 
+#: Bytes of text that a block of rows is meant to hold.
+BLOCK_BYTES = 16 << 20
 #: Distinct words a task remembers before it hands them on; it bounds memory only.
 HELD_WORDS = 200_000
 #: Distinct parts whose edges a task sorts, in memory.
 TASK_PARTS = 20_000
+#: Parts' places in blocks that a task packs at a time; it bounds memory only.
+HELD_PLACES = 500_000
 #: Longer parts (no piece boundary for so many characters) are cut into edges the same way, but folded by the task
 #: that holds the document: the fold copies its state at every step, which is quadratic in the length.
 LATTICE_CHARS = 256
@@ -29,8 +36,11 @@ LATTICE_CHARS = 256
 
 def piece_frame(spark: SparkSession, table: Pieces) -> DataFrame:
     """(piece, id, score). A vocabulary is a fixed parameter of some ten thousand rows, and broadcast."""
-    rows = [(piece, i, score) for piece, (i, score) in table.pieces.items()]
-    return spark.createDataFrame(rows, "piece string, id int, score double")
+    ids, scores = zip(*table.pieces.values())
+    # From Arrow: a list of rows would pass through Python workers.
+    return spark.createDataFrame(
+        pa.table({"piece": list(table.pieces), "id": pa.array(ids, pa.int32()), "score": pa.array(scores, pa.float64())})
+    )
 
 
 def edges(parts: DataFrame, table: Pieces) -> DataFrame:
@@ -141,14 +151,13 @@ def _distinct_parts(model: str):
             return pd.DataFrame({"block": block, "part": pd.Series([p for p in new if len(p) <= LATTICE_CHARS], dtype=object)})
 
         for batch in batches:
-            for number, sizes, payload in zip(batch["block"], batch["sizes"], batch["payload"]):
+            for number, text in zip(batch["block"], batch["text"]):
                 if number != block:
                     if block is not None:
                         yield take()
                     block = number
                     parts.clear()
-                for text in _texts(sizes, payload):
-                    words.update(table.words(text))
+                words.update(table.words(text))
                 if len(words) > HELD_WORDS:
                     yield take()
                     if len(parts) > 2 * HELD_WORDS:
@@ -160,19 +169,71 @@ def _distinct_parts(model: str):
 
 
 def _pack_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs of texts, compressed together to be written and for the one shuffle that they take part in: (block, keys, sizes, payload)."""
+    """Runs of a block's texts, compressed together for the one shuffle that they take part in: (block, keys, sizes, payload)."""
     squeeze = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        at, out = 0, []
-        for texts in blocks(batch["text"], BLOCK_CHARS // 4):
-            data = [t.encode() for t in texts]
-            keys = [None if pd.isna(k) else k for k in batch["id"].iloc[at : at + len(texts)]]
-            out.append((batch["block"].iloc[0], keys, list(map(len, data)), squeeze.compress(b"".join(data))))
-            at += len(texts)
+        at, out, rows = 0, [], zip(batch["block"], batch["text"])
+        for block, of_block in groupby(rows, lambda row: row[0]):
+            for texts in blocks((text for _, text in of_block), BLOCK_CHARS // 4):
+                data = [t.encode() for t in texts]
+                keys = [None if pd.isna(k) else k for k in batch["id"].iloc[at : at + len(texts)]]
+                out.append((block, keys, list(map(len, data)), squeeze.compress(b"".join(data))))
+                at += len(texts)
         if out:
             yield pd.DataFrame(out, columns=["block", "keys", "sizes", "payload"])
 
 
+def pack_lexicon(parts: list[bytes], ids: list[np.ndarray]) -> bytes:
+    """How many parts there are, their bytes, how many ids each has, the ids and the parts themselves, compressed."""
+    counts = np.array([len(parts), *map(len, parts), *map(len, ids)], "<i4")
+    return zstandard.compress(b"".join([counts.tobytes(), *[i.tobytes() for i in ids], *parts]), 3)
+
+
+def unpack_lexicon(payload: bytes) -> dict[str, list[int]]:
+    data = zstandard.decompress(payload)
+    n = int(np.frombuffer(data, "<i4", 1)[0])
+    sizes, counts = np.frombuffer(data, "<i4", 2 * n, 4).reshape(2, n)
+    ids = np.frombuffer(data, "<i4", int(counts.sum()), 4 + 8 * n).tolist()
+    out, at, place = {}, 4 + 8 * n + 4 * len(ids), 0
+    for size, count in zip(sizes.tolist(), counts.tolist()):
+        out[data[at : at + size].decode()] = ids[place : place + count]
+        at, place = at + size, place + count
+    return out
+
+
+def _pack_lexicons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(block, payload): the parts of a task with their ids, for every block that has them."""
+    parts: list[bytes] = []
+    ids: list[np.ndarray] = []
+    places: list[np.ndarray] = []
+    held = 0
+
+    def take() -> pd.DataFrame:
+        of, at = np.concatenate(places), np.repeat(np.arange(len(parts)), [len(p) for p in places])
+        order = np.argsort(of, kind="stable")
+        of, at = of[order], at[order]
+        edges = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        payloads = []
+        for some in np.split(at, edges[1:]):
+            some = some.tolist()
+            payloads.append(pack_lexicon([parts[i] for i in some], [ids[i] for i in some]))
+        for kept in (parts, ids, places):
+            kept.clear()
+        return pd.DataFrame({"block": of[edges], "payload": payloads})
+
+    for batch in batches:
+        for part, found, in_blocks in zip(batch["part"], batch["ids"], batch["blocks"]):
+            parts.append(part.encode())
+            ids.append(np.asarray(found, "<i4"))
+            places.append(np.asarray(in_blocks, np.int64))
+            held += len(in_blocks)
+        if held > HELD_PLACES:
+            yield take()
+            held = 0
+    if parts:
+        yield take()
+
+
 def _encode_blocks(model: str):
     """Encodes the texts of each block; its lexicon comes first."""
 
@@ -191,13 +252,12 @@ def _encode_blocks(model: str):
             return ids
 
         for batch in batches:
-            columns = (batch[c] for c in ("block", "part", "ids", "keys", "sizes", "payload"))
-            for number, part, ids, keys, sizes, payload in zip(*columns):
+            for number, keys, sizes, payload in zip(*(batch[c] for c in ("block", "keys", "sizes", "payload"))):
                 if number != block:
                     block, lexicon = number, {}
                     words.clear()
-                if part is not None:
-                    lexicon[part] = ids.tolist()
+                if keys is None:
+                    lexicon.update(unpack_lexicon(payload))
                     continue
                 out = []
                 for text in _texts(sizes, payload):
@@ -214,37 +274,43 @@ def _encode_blocks(model: str):
 def encode(docs: DataFrame, text: str = "text", order: str = "doc_id", model: str | None = None) -> DataFrame:
     """``order`` and ``ids`` of every row of ``docs``.
 
-    A null or an empty text has no ids. Whole texts are encoded, repeated rows each. A block is a partition of the scan:
-    its distinct parts are met with those of all others for the lattice, each distinct part is folded once, and the
-    ids go back to the blocks, where the block's texts meet them in one task. So a shuffle carries each part once a
-    block, and the texts once, compressed. A part of over ``LATTICE_CHARS`` characters is folded in that task.
+    A null or an empty text has no ids. Whole texts are encoded, repeated rows each. A block is a run of rows, by the
+    numbers that ``numbered`` gives them, so that the table can be read again. The distinct parts of the blocks meet for the
+    lattice, with the list of the blocks that have them, and each is folded once. The ids go back to the blocks, packed for
+    each, where the block's texts meet them in one task. So a shuffle carries a part once a block, and the texts once;
+    both are compressed, and texts are not written beside. A part of over ``LATTICE_CHARS`` characters is folded in that task.
     """
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
     path = model or default_model()
     table = load_pieces(path)
-    scratch = Scratch(docs.sparkSession, "pieces")
-    texts = docs.select(
-        F.spark_partition_id().alias("block"),
-        column(docs, order).cast("string").alias("id"),
-        F.coalesce(column(docs, text), F.lit("")).alias("text"),
-    )
-    # Written with its block: a scan that is read again may be split otherwise.
-    packed = scratch.keep(texts.mapInPandas(_pack_texts, "block int, keys array<string>, sizes array<int>, payload binary"))
-    runs = packed.select("block", "sizes", "payload")
-    parts = scratch.keep(runs.mapInPandas(_distinct_parts(path), "block int, part string"))
+    scratch = Scratch(spark, "pieces")
+    row = free_name(docs, "row")
+    rows = numbered(docs.select(*[column(docs, name) for name in dict.fromkeys((order, text))]), row, scratch)
+    begun = scratch.count
+    value = F.coalesce(column(rows, text), F.lit(""))
+    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length(value).cast("bigint"))).first()
+    n_blocks = max(1, -(-(size or 0) // BLOCK_BYTES))
+    block = F.expr(f"{row} div {max(1, -(-n // n_blocks))}").alias("block")
+    texts = rows.select(block, column(rows, order).cast("string").alias("id"), value.alias("text"))
+    parts = texts.select("block", "text").mapInPandas(_distinct_parts(path), "block bigint, part string")
+    parts = scratch.keep(parts)
     # Parts leave the explosion in order and in place: one sort groups their edges without another shuffle, where a
-    # hash aggregate of lists would give up after some groups and sort twice.
+    # hash aggregate of lists would give up after some groups and sort twice. So the lists of blocks join them in place, too.
     # Tasks are dealt by the number of parts, as edges are many times their bytes; blocks have removed repeats already.
     deals = max(1, -(-parts.count() // TASK_PARTS))
-    with setting(docs.sparkSession, "spark.sql.execution.useObjectHashAggregateExec", "false"):
-        known = scratch.keep(encode_parts(parts.select("part").repartition(deals, "part").distinct(), table))
-    # A part may come twice for a block, which does no harm.
-    lexicon = parts.join(known, "part").select("block", "part", "ids")
-    # As many tasks as blocks and some to spare, as several blocks may be dealt to one.
-    tasks = 2 * docs.rdd.getNumPartitions()
+    with setting(spark, "spark.sql.execution.useObjectHashAggregateExec", "false"):
+        # A part may come twice for a block, which does no harm.
+        dealt = parts.repartition(deals, "part").groupBy("part").agg(F.collect_list("block").alias("blocks"))
+        # The condition always holds: both sides need all columns then, and read one shuffle.
+        known = encode_parts(dealt.where("size(blocks) > 0").select("part"), table).join(dealt.hint("merge"), "part")
+        lexicon = scratch.keep(known.mapInPandas(_pack_lexicons, "block bigint, payload binary"))
+    scratch.drop(begun + 1)
+    packed = texts.mapInPandas(_pack_texts, "block bigint, keys array<string>, sizes array<int>, payload binary")
     both = lexicon.unionByName(packed, allowMissingColumns=True)
-    dealt = both.withColumn("last", F.col("part").isNull()).repartition(tasks, "block").sortWithinPartitions("block", "last")
-    found = dealt.mapInPandas(_encode_blocks(path), "id string, ids array<int>")
+    # As many tasks as blocks and some to spare, as several blocks may be dealt to one.
+    dealt = both.withColumn("last", F.col("keys").isNotNull()).repartition(2 * n_blocks, "block")
+    found = dealt.sortWithinPartitions("block", "last").mapInPandas(_encode_blocks(path), "id string, ids array<int>")
     return found.select(F.col("id").cast(docs.schema[order].dataType).alias(order), "ids")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from operator import add
 
 SPACE = "▁"
 #: How much worse a character of no piece is than the worst piece, as in the library.
@@ -48,7 +49,7 @@ class Pieces:
     def parts(self, word: str) -> list[str]:
         """The word cut wherever no piece holds both neighbours. Parts are encoded each on its own."""
         joined = self.joined
-        cuts = [i for i, (a, b) in enumerate(zip(word, word[1:]), 1) if a + b not in joined]
+        cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in joined]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
 
     def byte_ids(self, char: str) -> list[int]:

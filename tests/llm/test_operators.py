@@ -422,3 +422,25 @@ def test_broken_archives_are_an_error():
     list(reader.feed(b"WARC/1.1\r\nWARC-Type: resp"))
     with pytest.raises(ValueError):
         reader.close()
+
+
+def test_texts_of_the_lattice_are_moved_once(docs, spark, tmp_path, monkeypatch):
+    """Texts are written nowhere but in the last shuffle, and a part's places in blocks are packed; blocks of any size agree."""
+    from clickweave.llm import common
+
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    scan = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    whole = Counter((r.doc_id, tuple(r.ids)) for r in piece_lattice.encode(scan).collect())
+    monkeypatch.setattr(piece_lattice, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(piece_lattice, "HELD_PLACES", 50)
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path / "shared"))
+    kept, written = Scratch.keep, []
+    monkeypatch.setattr(Scratch, "keep", lambda self, df: written.append(df.columns) or kept(self, df))
+    found = piece_lattice.encode(scan)
+    assert Counter((r.doc_id, tuple(r.ids)) for r in found.collect()) == whole
+    assert written == [["block", "part"], ["block", "payload"]]
+    # The parts are gone once their ids are known, and their lists of blocks need no shuffle of their own.
+    assert {p.parent.name for p in (tmp_path / "shared").rglob("*.parquet")} == {"2"}
+    parts = [b"ab", "é☃".encode(), b"\n", b""]
+    ids = [np.array(i, "<i4") for i in ([1], [2, 70000], [3], [])]
+    assert piece_lattice.unpack_lexicon(piece_lattice.pack_lexicon(parts, ids)) == {"ab": [1], "é☃": [2, 70000], "\n": [3], "": []}
