@@ -22,7 +22,7 @@ from clickweave.llm.pieces import Pieces, default_model, load_pieces
 from clickweave.llm.trie_counts import BLOCK_CHARS, blocks
 
 #: Bytes of text that a block of rows is meant to hold.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 28 << 20
 #: Distinct words a task remembers before it hands them on; it bounds memory only.
 HELD_WORDS = 200_000
 #: Distinct parts whose edges a task sorts, in memory.
@@ -189,15 +189,16 @@ def pack_lexicon(parts: list[bytes], ids: list[np.ndarray]) -> bytes:
     return zstandard.compress(b"".join([counts.tobytes(), *[i.tobytes() for i in ids], *parts]), 3)
 
 
-def unpack_lexicon(payload: bytes) -> dict[str, list[int]]:
+def unpack_lexicon(payload: bytes) -> dict[str, bytes]:
+    """The ids of each part, four bytes each."""
     data = zstandard.decompress(payload)
     n = int(np.frombuffer(data, "<i4", 1)[0])
     sizes, counts = np.frombuffer(data, "<i4", 2 * n, 4).reshape(2, n)
-    ids = np.frombuffer(data, "<i4", int(counts.sum()), 4 + 8 * n).tolist()
-    out, at, place = {}, 4 + 8 * n + 4 * len(ids), 0
-    for size, count in zip(sizes.tolist(), counts.tolist()):
-        out[data[at : at + size].decode()] = ids[place : place + count]
-        at, place = at + size, place + count
+    out, place = {}, 4 + 8 * n
+    at = place + 4 * int(counts.sum())
+    for size, width in zip(sizes.tolist(), (4 * counts).tolist()):
+        out[data[at : at + size].decode()] = data[place : place + width]
+        at, place = at + size, place + width
     return out
 
 
@@ -234,37 +235,39 @@ def _pack_lexicons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield take()
 
 
+class Words(dict):
+    """The ids of words, four bytes each, put together from those of their parts when first asked for."""
+
+    def __init__(self, table: Pieces):
+        self.table, self.lexicon = table, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = [
+            self.lexicon[p] if len(p) <= LATTICE_CHARS else np.array(best_ids(p, self.table), "<i4").tobytes()
+            for p in self.table.parts(word)
+        ]
+        if len(self) > HELD_WORDS:
+            self.clear()
+        ids = self[word] = b"".join(found)
+        return ids
+
+
 def _encode_blocks(model: str):
     """Encodes the texts of each block; its lexicon comes first."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, block, lexicon, words = load_pieces(model), None, {}, {}
-
-        def ids_of(word: str) -> list[int]:
-            ids = words.get(word)
-            if ids is None:
-                parts = table.parts(word)
-                found = [lexicon[p] if len(p) <= LATTICE_CHARS else best_ids(p, table) for p in parts]
-                ids = [i for part in found for i in part]
-                if len(words) > HELD_WORDS:
-                    words.clear()
-                words[word] = ids
-            return ids
-
+        table, block = load_pieces(model), None
+        words = Words(table)
         for batch in batches:
             for number, keys, sizes, payload in zip(*(batch[c] for c in ("block", "keys", "sizes", "payload"))):
                 if number != block:
-                    block, lexicon = number, {}
+                    block, words.lexicon = number, {}
                     words.clear()
                 if keys is None:
-                    lexicon.update(unpack_lexicon(payload))
+                    words.lexicon.update(unpack_lexicon(payload))
                     continue
-                out = []
-                for text in _texts(sizes, payload):
-                    found: list[int] = []
-                    for word in table.words(text):
-                        found += ids_of(word)
-                    out.append(found)
+                texts = _texts(sizes, payload)
+                out = [np.frombuffer(b"".join(map(words.__getitem__, table.words(text))), "<i4") for text in texts]
                 # One run of texts at a time, so that a batch's ids are never held together.
                 yield pd.DataFrame({"id": pd.Series(list(keys), dtype=object), "ids": pd.Series(out, dtype=object)})
 
