@@ -445,3 +445,59 @@ def test_texts_of_the_lattice_are_moved_once(docs, spark, tmp_path, monkeypatch)
     ids = [np.array(i, "<i4") for i in ([1], [2, 70000], [3], [])]
     expected = {p.decode(): i.tobytes() for p, i in zip(parts, ids)}
     assert piece_lattice.unpack_lexicon(piece_lattice.pack_lexicon(parts, ids)) == expected
+
+
+def test_lattices_of_many_parts_are_folded_together():
+    """As one by one, ties and characters of no piece included; words are cut as the table cuts them."""
+    import random
+    from types import SimpleNamespace
+
+    draw, table = random.Random(5), pieces.load_pieces(pieces.default_model())
+    strings = sorted({"".join(draw.choices("abc", k=draw.randint(1, 4))) for _ in range(60)})
+    ties = SimpleNamespace(
+        pieces={p: (i + 300, float(-draw.randint(1, 3))) for i, p in enumerate(strings)},
+        longest=max(map(len, strings)),
+        joined={p[i : i + 2] for p in strings for i in range(len(p) - 1)},
+        unknown_score=-5.0,
+        byte_ids=lambda char: list(char.encode()),
+    )
+    for letters, of in (("abcé☃𝄞", ties), ("▁abehint é☃𝄞漢\n", table)):
+        parts = ["".join(draw.choices(letters, k=draw.randint(1, 20))) for _ in range(400)] + ["ab" * 100]
+        ids, counts = piece_lattice.Lattice(of).fold(parts)
+        ends = np.cumsum(counts).tolist()
+        assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == [piece_lattice.best_ids(p, of) for p in parts]
+    lattice = piece_lattice.Lattice(table)
+    assert lattice.fold([])[0].tolist() == [] and lattice.cut([])[0] == []
+    texts = ["", " ", "  ", "a", " a", "a  b ", "▁a ▁", "the\nthe  \n x", "☃é the漢"]
+    for text in texts + ["".join(draw.choices("the ▁\né☃", k=30)) for _ in range(300)]:
+        keys = piece_lattice.word_keys(text)
+        parts, ends = lattice.cut(keys)
+        assert parts == [p for w in table.words(text) for p in table.parts(w)]
+        assert ends[-1] == len(parts) and len(ends) == len(keys) + 1
+
+
+def test_parts_of_the_lattice_move_packed(spark, tmp_path, monkeypatch):
+    """Not a row each: what is written and shuffled for the parts stays well under the texts' bytes."""
+    import random
+
+    draw = random.Random(9)
+    words = ["".join(draw.choices("abcdeinorst", k=9)) for _ in range(20_000)]
+    rows = [(i, " ".join(draw.choices(words, k=300))) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    kept, tables = Scratch.keep, []
+    monkeypatch.setattr(Scratch, "keep", lambda self, df: tables.append(df.columns) or counts(kept(self, df)))
+    n_rows = []
+
+    def counts(df):
+        n_rows.append(df.count())
+        return df
+
+    found = piece_lattice.encode(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert len(tables) == 2 and n_rows[0] < 100
+    table = pieces.load_pieces(pieces.default_model())
+    some = {r.doc_id: r.ids for r in found.where("doc_id < 5").collect()}
+    assert some == {i: [x for w in table.words(t) for p in table.parts(w) for x in piece_lattice.best_ids(p, table)] for i, t in rows[:5]}
+    parts = sorted({p.encode() for w in words for p in table.parts("▁" + w)})
+    packed = piece_lattice.pack_parts(parts)
+    assert piece_lattice.unpack_parts(packed) == parts and len(packed) < sum(map(len, parts))
+    assert piece_lattice.unpack_parts(piece_lattice.pack_parts([])) == []
