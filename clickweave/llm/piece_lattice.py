@@ -29,8 +29,9 @@ from clickweave.llm.trie_counts import BLOCK_CHARS, blocks
 KEY = re.compile(" ( *[^ ]*)")
 #: Bytes of text that a block of rows is meant to hold.
 BLOCK_BYTES = 28 << 20
-#: Bytes of text for which there is one deal of parts; a task folds a deal.
-DEAL_BYTES = 16 << 20
+#: Bytes of text for which there is one deal of parts; a task folds a deal. Every block has a row for each deal: beyond so
+#: many deals they get larger instead, and a task folds one in turns of ``HELD_PLACES``, so that rows grow with the blocks.
+DEAL_BYTES, MOST_DEALS = 16 << 20, 256
 #: Distinct words a task remembers before it hands them on; it bounds memory only.
 HELD_WORDS = 200_000
 #: Parts whose lattices are held together; it bounds memory only.
@@ -404,7 +405,7 @@ def encode(docs: DataFrame, text: str = "text", order: str = "doc_id", model: st
     value = F.coalesce(column(rows, text), F.lit(""))
     n, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length(value).cast("bigint"))).first()
     n_blocks = max(1, -(-(size or 0) // BLOCK_BYTES))
-    deals = max(1, -(-(size or 0) // DEAL_BYTES))
+    deals = min(MOST_DEALS, max(1, -(-(size or 0) // DEAL_BYTES)))
     block = F.expr(f"{row} div {max(1, -(-n // n_blocks))}").alias("block")
     texts = rows.select(block, column(rows, order).cast("string").alias("id"), value.alias("text"))
     parts = scratch.keep(texts.select("block", "text").mapInArrow(_distinct_parts(path, deals), PARTS))

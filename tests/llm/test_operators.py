@@ -501,3 +501,24 @@ def test_parts_of_the_lattice_move_packed(spark, tmp_path, monkeypatch):
     packed = piece_lattice.pack_parts(parts)
     assert piece_lattice.unpack_parts(packed) == parts and len(packed) < sum(map(len, parts))
     assert piece_lattice.unpack_parts(piece_lattice.pack_parts([])) == []
+
+
+def test_deals_of_the_lattice_are_bounded(docs, spark, tmp_path, monkeypatch):
+    """A block has a row for each deal, so deals must not grow with the input for ever; a large one is folded in turns."""
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    scan = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    whole = Counter((r.doc_id, tuple(r.ids)) for r in piece_lattice.encode(scan).collect())
+    monkeypatch.setattr(piece_lattice, "DEAL_BYTES", 100)
+    monkeypatch.setattr(piece_lattice, "MOST_DEALS", 3)
+    monkeypatch.setattr(piece_lattice, "HELD_PLACES", 20)
+    kept, deals = Scratch.keep, set()
+
+    def keep(self, df):
+        table = kept(self, df)
+        if "part" in df.columns:
+            deals.update(r.deal for r in table.select("part.deal").collect())
+        return table
+
+    monkeypatch.setattr(Scratch, "keep", keep)
+    assert Counter((r.doc_id, tuple(r.ids)) for r in piece_lattice.encode(scan).collect()) == whole
+    assert deals == {0, 1, 2}
