@@ -120,6 +120,18 @@ def test_op3(spark, folder):
     assert Counter(found) == expected and sum(r[2] > 0 for r in found) > 3
 
 
+def test_op3_text(spark, tmp_path):
+    """What is left of each text is a column: passages of over 50 words go from 400 bytes on, shorter ones and other texts stay."""
+    long, short = " ".join(f"étude{i:02}" for i in range(60)), " ".join(f"w{i:02}" for i in range(60))
+    assert len(long.encode()) > 400 > len(short.encode())
+    rows = [(0, f"{long} aa"), (1, f"bb {long}"), (2, f"{short} cc"), (3, f"dd {short}"), (4, prose(200, 77)), (5, None), (6, f"{'é' * 300}x"), (7, f"y{'é' * 300}")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    left = dict(rows_of(spark, str(tmp_path), "op3_suffix_dedup", "doc_id", "text"))
+    assert left == {**dict(rows), 0: " aa", 1: "bb ", 5: "", 6: "x", 7: "y"}
+    digests = dict(rows_of(spark, str(tmp_path), "op3_suffix_dedup", "doc_id", "kept_sha256"))
+    assert digests == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in left.items()}
+
+
 @pytest.mark.parametrize(("name", "table"), [("op4_exact_dedup", "documents"), ("op10_warc", "pages")])
 def test_against_sql(spark, folder, tmp_path, name, table):
     """Where ids are distinct and not null, as the SQL takes them."""
