@@ -61,6 +61,8 @@ USER_EVENT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 BATCH_CLOCK, STREAM_CLOCK = ClockRules(), ClockRules(most_late=timedelta(minutes=10))
 #: Where the parser puts the broker's timestamp.
 ARRIVAL = "kafka_timestamp"
+#: Column, not written, by which writes of session streams choose the number of files of a partition.
+PARTITION_ROWS = "_partition_rows"
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -146,7 +148,12 @@ def sessions_stream(
     ``clock`` lets through. ``dropped_rows`` of the query tells whether partitions lagged by more than ``clock.slack``.
     """
     return run_stream(
-        messages, _to_sessions(limits, clock), stateful=True, partition_by=SESSION_PARTITIONS, **write
+        messages,
+        _to_sessions(limits, clock),
+        stateful=True,
+        partition_by=SESSION_PARTITIONS,
+        partition_rows=PARTITION_ROWS,
+        **write,
     )
 
 
@@ -174,6 +181,7 @@ def sessions_to_table(
         merge_schema=options.pop("mergeSchema") == "true",
         properties={**(properties or {}), **options},
         format=format,
+        partition_rows=PARTITION_ROWS,
     )
     return run_stream(
         messages, _to_sessions(limits, clock), checkpoint=checkpoint, stateful=True, trigger=trigger, each_batch=writer
@@ -184,7 +192,7 @@ def _to_sessions(limits: dict | None, clock: ClockRules) -> list[Transform]:
     given = {"delay": clock.watermark_delay, **(limits or {})}
     return [
         lambda m: clickstream_events(m, clock),
-        lambda e: stream_session_events(e, clock=None, **given),
+        lambda e: stream_session_events(e, clock=None, rows=PARTITION_ROWS, **given),
         add_layout_columns,
     ]
 

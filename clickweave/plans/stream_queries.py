@@ -399,27 +399,39 @@ arrivals AS (
 clicks AS (SELECT uuid, event_id, page_name, ms FROM arrivals WHERE reason IS NULL)"""
 
 
+# Fixed value: what a task reads at least, where a stream has written many small files.
+READ_BYTES = 32_000_000
+
+
 def drain_arriving(spark, sf_dir: str, label: str, run) -> DataFrame:
     """Run a stream over the events as messages with an arrival, in its order, a third of them at a time; an end marker comes last.
 
-    Each third is landed by all tasks, and a run of the stream takes it as one batch, whatever the number of its files. The next run
-    goes on from the state of the one before.
+    Events are dealt to all tasks first. Each third is landed by all tasks, and a run of the stream takes it as one batch, whatever the number of its
+    files. The next run goes on from the state of the one before.
     """
     events = table(spark, sf_dir, "events")
     closing = spark.createDataFrame([tuple(end_marker(events.schema)[c] for c in events.columns)], events.schema)
     sent = F.unix_millis(F.col("ts").cast("timestamp"))
     lag = F.when(F.expr(AHEAD), -AHEAD_MS).when(F.expr(HELD_UP), HELD_UP_MS).otherwise(F.pmod("event_id", F.lit(5)) * 60_000)
-    timed = events.withColumn("arrived", sent + lag)
+    timed = events.repartition(spark.sparkContext.defaultParallelism).withColumn("arrived", sent + lag)
+    timed = jobs.land(timed, scratch(spark, f"{label}-timed"))
     first, second = timed.approxQuantile("arrived", [1 / 3, 2 / 3], 0.01)
     parts = (F.col("arrived") <= first, (F.col("arrived") > first) & (F.col("arrived") <= second), F.col("arrived") > second)
     source, path, checkpoint = (scratch(spark, f"{label}-{part}") for part in ("in", "out", "checkpoint"))
     for part in (*[timed.filter(p) for p in parts], closing.withColumn("arrived", sent)):
         messages = click_messages(part.drop("arrived")).drop("timestamp")
-        messages = messages.withColumn("event_id", F.get_json_object("value", "$.event_id").cast("bigint"))
-        messages = messages.join(part.select("event_id", F.timestamp_millis("arrived").alias("timestamp")), "event_id").drop("event_id")
+        arrivals = part.select(F.col("event_id").alias("offset"), F.timestamp_millis("arrived").alias("timestamp"))
+        messages = messages.join(arrivals, "offset")
         messages.write.mode("append").parquet(source)
         run(stream_files(spark, source, messages.schema), checkpoint=checkpoint, path=path, trigger=DRAIN).awaitTermination()
-    return spark.read.parquet(path)
+    return read_written(spark, path)
+
+
+def read_written(spark, path: str) -> DataFrame:
+    """What a stream has written, with its many small files read by a few tasks a core, or one for each ``READ_BYTES``."""
+    rows = spark.read.parquet(path)
+    size = rows._jdf.queryExecution().analyzed().stats().sizeInBytes()
+    return rows.coalesce(max(2 * spark.sparkContext.defaultParallelism, -(-size // READ_BYTES)))
 
 
 def rejected(spark, sf_dir: str, label: str, reason: str) -> DataFrame:

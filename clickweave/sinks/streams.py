@@ -19,6 +19,8 @@ OUTPUT_MODES = ("append", "complete", "update")
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 #: Files that one micro-batch writes into one partition at most; so many tasks share the rows of a hot one.
 FILES_PER_PARTITION = 4
+#: Rows that a partition gets in a micro-batch, where that is known, for each of these files.
+ROWS_PER_FILE = 100_000
 #: Last partition column of what ``batch_writer`` writes.
 BATCH = "batch"
 
@@ -56,15 +58,19 @@ def write_stream(
     stateful: bool = False,
     each_batch: Callable[[DataFrame, int], None] | None = None,
     files_per_partition: int = FILES_PER_PARTITION,
+    partition_rows: str | None = None,
 ) -> StreamingQuery:
     """Start a streaming write; give ``table`` for a catalog table, ``path`` for files.
 
     Partitioned rows are clustered first, see ``clustered``; ``files_per_partition`` 0 writes them as they come, from every task.
+    The column ``partition_rows`` is not written.
     """
     if output_mode not in OUTPUT_MODES:
         raise ValueError(f"output mode must be one of {OUTPUT_MODES}")
     if partition_by and files_per_partition and "continuous" not in (trigger or {}):
-        df = clustered(df, partition_by, files_per_partition)
+        df = clustered(df, partition_by, files_per_partition, partition_rows)
+    elif partition_rows is not None:
+        df = df.drop(partition_rows)
     writer = (
         df.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
@@ -83,15 +89,23 @@ def write_stream(
     return writer.start(path) if path else writer.start()
 
 
-def clustered(df: DataFrame, partition_by: list[str], files_per_partition: int = FILES_PER_PARTITION) -> DataFrame:
+def clustered(
+    df: DataFrame, partition_by: list[str], files_per_partition: int = FILES_PER_PARTITION, partition_rows: str | None = None
+) -> DataFrame:
     """The rows shuffled so that each partition is written by at most ``files_per_partition`` tasks.
 
     The rows of a partition are dealt by a hash of all their columns, so one that holds a third of all rows is shared evenly,
-    and a task that runs again gets the same rows.
+    and a task that runs again gets the same rows. ``partition_rows`` names a column that says about how many rows the partition has, which is
+    left out: there is one task then for each ``ROWS_PER_FILE`` of them, up to that number, so that small partitions are one file.
     """
-    hashed = [F.col(f"`{f.name}`") for f in df.schema if f.name not in partition_by and _hashable(f.dataType)]
-    salt = F.pmod(F.xxhash64(*hashed), F.lit(files_per_partition)) if hashed else F.lit(0)
-    return df.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
+    left_out = [*partition_by, partition_rows]
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if f.name not in left_out and _hashable(f.dataType)]
+    files = F.lit(files_per_partition)
+    if partition_rows is not None:
+        files = F.least(files, F.greatest(F.ceil(F.col(partition_rows) / ROWS_PER_FILE).cast("int"), F.lit(1)))
+    salt = F.pmod(F.xxhash64(*hashed), files) if hashed else F.lit(0)
+    rows = df.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
+    return rows if partition_rows is None else rows.drop(partition_rows)
 
 
 def _hashable(kind: DataType) -> bool:
@@ -111,6 +125,7 @@ def batch_writer(
     merge_schema: bool = False,
     properties: dict[str, str] | None = None,
     format: str = "parquet",
+    partition_rows: str | None = None,
 ) -> Callable[[DataFrame, int], bool]:
     """A function for ``foreachBatch`` that leaves a batch's rows there once, however often Spark runs the batch.
 
@@ -118,7 +133,7 @@ def batch_writer(
     folder has an entry for every batch that is whole, and such a batch is not run again; it also has an id of its own, so a
     stream that begins anew, with a new ledger, never replaces what another one wrote. Give ``path`` for files or ``table`` for a
     catalog table, which the first batch creates with ``properties`` if it is not there; ``merge_schema`` adds columns that
-    it lacks. What a batch holds has to follow from its input alone; the processing time must not choose its partitions.
+    it lacks. ``partition_rows`` is as for ``clustered``. What a batch holds has to follow from its input alone; the processing time must not choose its partitions.
     The function returns whether it has written.
     """
     if (path is None) == (table is None):
@@ -133,7 +148,7 @@ def batch_writer(
         if not written(spark, f"{ledger}/id"):
             spark.createDataFrame([(uuid.uuid4().hex,)], "id string").write.mode("overwrite").parquet(f"{ledger}/id")
         name = f"{spark.read.parquet(f'{ledger}/id').first().id}-{batch_id}"
-        rows = clustered(batch.withColumn(BATCH, F.lit(name)), parts, files_per_partition)
+        rows = clustered(batch.withColumn(BATCH, F.lit(name)), parts, files_per_partition, partition_rows)
         if table is not None:
             ensure_table(spark, table, rows.schema, partition_by=parts, properties=properties, format=format)
             write_table(rows, table, "overwrite", parts, format, merge_schema=merge_schema, gather=False)

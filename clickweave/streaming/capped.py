@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from clickweave.functions.event_time import ClockRules, arrival_time, clock_reason
+from clickweave.functions.layout import USER_BUCKETS
 from clickweave.operators.sessions import SessionRules, usable_events
 from clickweave.streaming.windows import DEFAULT_DELAY
 
@@ -33,7 +34,8 @@ OPEN_SCHEMA = "start bigint, last bigint, events bigint"
 BUCKETS = 1024
 # Moments are handed on once the watermark has passed the second they lie in.
 SECOND_MS = 1000
-STARTS = "session_start_time_ms bigint, _settled timestamp"
+DAY_MS = 86_400_000
+STARTS = "session_start_time_ms bigint, _settled timestamp, _rows bigint"
 
 
 def stream_capped_sessions(
@@ -80,13 +82,15 @@ def stream_session_events(
     arrival: str | None = None,
     initial: DataFrame | None = None,
     boundary: Column | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """Event rows with session id, start and the end so far. Needs the RocksDB state store.
 
     ``initial`` and ``boundary`` as for ``stream_capped_sessions``. Column order and types of the input are kept. Moments are given their session start by user; a stream-stream join on
     user and moment brings the starts to the event rows, so the rows of one user are spread over all tasks. Both sides
     of the join are held until the watermark has passed their second, and no longer. Events that break the ``clock``
-    rules are left out, see ``settling_events``.
+    rules are left out, see ``settling_events``. ``rows`` names one more column, by which a table of sessions can be written in few files: about
+    how many rows the batch has for the row's partition of that table, see ``partition_rows``.
     """
     rules = SessionRules(inactivity_minutes, max_minutes, "greedy")
     settling = settling_events(events, user, time_ms, delay, clock, arrival)
@@ -99,9 +103,11 @@ def stream_session_events(
         eventTimeColumnName="_settled",
     )
     starts = starts.withColumnsRenamed({user: "_user", "_settled": "_settled_at"})
+    starts = starts.drop("_rows") if rows is None else starts
     same = (F.col(user) == F.col("_user")) & (F.col(time_ms) == F.col("_moment")) & (F.col("_settled") == F.col("_settled_at"))
     joined = settling.join(starts, same).withColumn("session_end_time_ms", F.col(time_ms))
-    return _describe(joined.select(*[f"`{c}`" for c in events.columns], "session_start_time_ms", "session_end_time_ms"), user)
+    counted = [] if rows is None else [F.col("_rows").alias(rows)]
+    return _describe(joined.select(*[f"`{c}`" for c in events.columns], "session_start_time_ms", "session_end_time_ms", *counted), user)
 
 
 def settling_events(
@@ -172,6 +178,21 @@ def session_starts(
     return starts
 
 
+def partition_rows(codes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """About how many events a batch has for the partition, by date and user bucket, of each moment's session.
+
+    It is told from one bucket of users alone, by their ``codes``, with the moments of a user in ascending order: a partition has the user's own
+    events of the day, of which there may be very many, and its share of those of other users, who are dealt evenly over the
+    buckets. Days are those of UTC.
+    """
+    days = starts // DAY_MS
+    edges = np.flatnonzero((np.diff(codes, prepend=-1) != 0) | (np.diff(days, prepend=days[0]) != 0))
+    own = np.add.reduceat(counts, edges)
+    _, day = np.unique(days[edges], return_inverse=True)
+    others = np.bincount(day, weights=own).astype(np.int64)[day] - own
+    return np.repeat(own + others * BUCKETS // USER_BUCKETS, np.diff(edges, append=len(codes)))
+
+
 class _PerBucket(StatefulProcessor):
     """State and timer handling shared by both processors: the open sessions of the users of one bucket.
 
@@ -277,17 +298,18 @@ class MomentStarts(_PerBucket):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         sessions, users, found = self.sessions(), [], []
-        for user, moments, _, cuts in self.by_user(rows):
+        for code, (user, moments, counts, cuts) in enumerate(self.by_user(rows)):
             start, last, _ = sessions.get(user, (None, None, 0))
             starts = session_starts(moments, start, last, self.gap_ms, self.cap_ms, cuts)
             sessions[user] = (int(starts[-1]), int(moments[-1]), 0)
             users += [user] * len(moments)
-            found.append((moments, starts))
+            found.append((moments, starts, counts, np.full(len(moments), code)))
         self.keep_open(sessions, timerValues)
-        moments, starts = map(np.concatenate, zip(*found))
+        moments, starts, counts, codes = map(np.concatenate, zip(*found))
         ends = (moments // SECOND_MS + 1) * SECOND_MS
         ends = pd.Series(ends.astype("datetime64[ms]")).dt.tz_localize("UTC")
-        yield pd.DataFrame({self.user: users, "_moment": moments, "session_start_time_ms": starts, "_settled": ends})
+        about = partition_rows(codes, starts, counts)
+        yield pd.DataFrame({self.user: users, "_moment": moments, "session_start_time_ms": starts, "_settled": ends, "_rows": about})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.keep_open(self.sessions(), timerValues)
